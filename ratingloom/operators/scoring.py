@@ -63,12 +63,13 @@ def top_n_from_factors(
                 hashed("item", slices).alias("slice"),
             )
         )
-    items = item_factors.select("id", "features", hashed("id", slices).alias("slice")).withColumn(
-        "cell", every(cells)
-    )
+    # Own names on each side: both may come from one table.
+    items = item_factors.select(
+        F.col("id").alias("item_id"), F.col("features").alias("vector"), hashed("id", slices).alias("item_slice")
+    ).withColumn("item_cell", every(cells))
     best = (
         users.groupBy("cell", "slice")
-        .cogroup(items.groupBy("cell", "slice"))
+        .cogroup(items.groupBy("item_cell", "item_slice"))
         .applyInArrow(_block_kernel(n), schemas.RECOMMENDATIONS)
     )
     return best if slices == 1 else rank_top_n(best.drop("rank"), n)
@@ -87,10 +88,10 @@ def _block_kernel(n: int):
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        def vectors(table):
-            table = table.sort_by("id")
-            flat = table["features"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-            ids = table["id"].to_numpy()
+        def vectors(table, key, vector):
+            table = table.sort_by(key)
+            flat = table[vector].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+            ids = table[key].to_numpy()
             return ids, flat.astype(np.float64).reshape(len(ids), -1)
 
         def positions(ids, wanted):
@@ -106,8 +107,8 @@ def _block_kernel(n: int):
         wanted = left.filter(pc.is_null(left["item"]))
         if wanted.num_rows == 0 or right.num_rows == 0:
             return emit([])
-        user_ids, users = vectors(wanted)
-        item_ids, items = vectors(right)
+        user_ids, users = vectors(wanted, "id", "features")
+        item_ids, items = vectors(right, "item_id", "vector")
 
         pairs = left.filter(pc.is_valid(left["item"]))
         pair_user, known_user = positions(user_ids, pairs["id"].to_numpy())

@@ -166,7 +166,7 @@ def _median(per_key: str) -> str:
 
 def _long(report: str, source: str, **values: str) -> str:
     return " union all ".join(
-        f"select '{report}' as report, '{name}' as name, round(cast({value} as double), 6) as value from ({source})"
+        f"select '{report}' as report, '{name}' as name, round(cast({value} as double), 6) as value from ({source}) t"
         for name, value in values.items()
     )
 
@@ -193,7 +193,7 @@ def _explore() -> str:
     }
     values = {
         "avg_rating": "case when bool_or(isnan(rating)) then cast('nan' as double) else avg(cast(rating as double)) end",
-        "std_rating": "cast('nan' as double)",
+        "std_rating": "case when bool_or(isnan(rating)) then cast('nan' as double) else max(0.0) end",
         "min_rating": "min(cast(rating as double))",
         "max_rating": "max(cast(rating as double))",
     }
