@@ -90,7 +90,7 @@ def predictions(rows: DataFrame, item: str = "item_idx") -> DataFrame:
         .groupBy(item)
         .agg(F.avg(F.col("rating").cast("double")).alias("prediction"), F.count("*").alias("n"))
     )
-    return split_join(rows.filter("split <> 'train'"), means, item)
+    return split_join(rows.filter("split <> 'train'"), durable(means, "means"), item)
 
 
 def factors(spark: SparkSession, folder: str) -> DataFrame:

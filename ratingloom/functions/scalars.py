@@ -9,8 +9,10 @@ _HASH_RANGE = 2**32
 
 
 def clamp_rating(score: Column) -> Column:
-    """Score as shown to people; ranking keeps the raw score."""
-    return F.least(F.lit(MAX_RATING), F.greatest(F.lit(MIN_RATING), score))
+    """Score as shown to people; ranking keeps the raw score. Null stays null."""
+    # least and greatest skip nulls.
+    inside = F.least(F.lit(MAX_RATING), F.greatest(F.lit(MIN_RATING), score))
+    return F.when(score.isNotNull(), inside)
 
 
 def star_string(rating: Column) -> Column:

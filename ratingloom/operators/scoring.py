@@ -160,7 +160,7 @@ def with_titles(recs: DataFrame, titles: DataFrame) -> DataFrame:
     """
     recs = durable(recs, "recs")
     slots = recs.groupBy("item_idx").agg(F.count("*").alias("n"))
-    per_item = slots.join(titles, "item_idx", "left")
+    per_item = durable(slots.join(titles, "item_idx", "left"), "titles")
     return split_join(recs, per_item, "item_idx")
 
 
@@ -199,10 +199,11 @@ def recommend(
     slot = ["rank", "item_idx", "predicted_rating"] + ([] if titles is None else ["movieId", "title"])
     # At most 100 slots per user.
     lists = top.groupBy(F.col("user_idx").alias("id")).agg(F.collect_list(F.struct(*slot)).alias("slots"))
-    answers = (
+    answers = durable(
         wanted.join(user_factors.select("id", F.lit(True).alias("known")), "id", "left")
         .join(lists, "id", "left")
-        .select(F.col("id").alias("user_id"), "n", "known", "slots")
+        .select(F.col("id").alias("user_id"), "n", "known", "slots"),
+        "answers",
     )
     status = (
         F.when(~valid, "invalid_request").when(F.col("known").isNull(), "user_not_found").otherwise("success")

@@ -1,36 +1,29 @@
 """Joins of a rating table with a per-key table when a few keys hold most rows."""
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # At most MAX_HOT_KEYS keys can each hold 1/MAX_HOT_KEYS of the rows, so the
-# table of hot keys is small whatever the data. Below MIN_HOT_ROWS rows a key
-# is left alone: one task handles it.
+# table of hot keys is small whatever the data. Up to MIN_HOT_ROWS rows of a
+# key are left to one task.
 MAX_HOT_KEYS = 100_000
 MIN_HOT_ROWS = 2_000_000
 
 
-def _with_parts(per_key: DataFrame, weight: str, max_keys: int, min_rows: int) -> DataFrame:
-    # A hot key has at least `limit` rows and gets one part per `limit` rows.
-    total = per_key.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("total"))
-    limit = F.greatest(F.lit(min_rows).cast("long"), F.ceil(total.scalar() / max_keys))
-    parts = F.when(F.col(weight) < F.col("_limit"), 1).otherwise(F.ceil(F.col(weight) / F.col("_limit")))
-    return per_key.withColumn("_limit", limit).withColumn("_parts", parts.cast("int")).drop("_limit")
-
-
-def hot_keys(
-    per_key: DataFrame,
-    key: str,
-    weight: str = "n",
-    max_keys: int = MAX_HOT_KEYS,
-    min_rows: int = MIN_HOT_ROWS,
-) -> DataFrame:
-    """Keys of ``per_key`` to be split, with their number of parts.
+def hot_limit(
+    per_key: DataFrame, weight: str = "n", max_keys: int = MAX_HOT_KEYS, min_rows: int = MIN_HOT_ROWS
+) -> int | None:
+    """Rows per part when keys must be split, or null when no key is that heavy.
 
-    ``per_key`` has one row per key and its row count. At most ``max_keys`` rows
-    come back, because each of them stands for more than total / max_keys rows.
+    Fewer than ``max_keys`` keys can have more rows than this limit.
     """
-    return _with_parts(per_key, weight, max_keys, min_rows).filter("_parts > 1").select(key, "_parts")
+    total, largest = per_key.agg(F.sum(weight), F.max(weight)).first()
+    if total is None:
+        return None
+    limit = max(min_rows, math.ceil(total / max_keys))
+    return limit if largest > limit else None
 
 
 def split_join(
@@ -42,24 +35,28 @@ def split_join(
     max_keys: int = MAX_HOT_KEYS,
     min_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
-    """Equi-join of ``rows`` with a table of one row per key and its row count.
+    """Equi-join of ``rows`` with a stored table of one row per key.
 
-    Rows of a hot key are spread over several parts, and the single row of that
-    key in ``per_key`` is repeated once per part; other keys have one part. The
-    repeated rows number at most ``2 * max_keys``. ``weight`` is dropped.
+    ``weight`` is the row count of the key; it is dropped. Without hot keys this
+    is a plain join. Otherwise rows of a hot key are spread over parts of
+    ``hot_limit`` rows, and its single row in ``per_key`` is repeated per part,
+    in total less than ``2 * max_keys`` times.
     """
     if how not in ("inner", "left_semi"):
         raise ValueError(f"unsupported join type: {how}")
-    # Bounded by max_keys rows, see hot_keys.
-    hot = F.broadcast(hot_keys(per_key, key, weight, max_keys, min_rows))
+    limit = hot_limit(per_key, weight, max_keys, min_rows)
+    if limit is None:
+        return rows.join(per_key.drop(weight), key, how)
+
+    parts = F.ceil(F.col(weight) / limit).cast("int")
+    # Fewer than max_keys rows, see hot_limit.
+    hot = F.broadcast(per_key.filter(F.col(weight) > limit).select(key, parts.alias("_parts")))
     # Row content and partition number: the same part again when a task is
     # retried, and copies of one row still spread over the map tasks.
     spread = F.pmod(F.xxhash64(F.spark_partition_id(), *rows.columns), F.col("_parts"))
     part = F.when(F.col("_parts").isNull(), 0).otherwise(spread.cast("int"))
     left = rows.join(hot, key, "left").withColumn("_part", part).drop("_parts")
-    right = (
-        _with_parts(per_key, weight, max_keys, min_rows)
-        .withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-        .drop("_parts", weight)
-    )
+    right = per_key.withColumn(
+        "_part", F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1))
+    ).drop(weight)
     return left.join(right, [key, "_part"], how).drop("_part")

@@ -328,7 +328,8 @@ _QUERIES = {
         from customer left join factors on c_custkey = id""",
     "batch_recommend": """
         select cast(c_custkey as int) as user_id, case when f.id is null then 'user_not_found' else 'success' end as status,
-               rank, r.item_idx, round(least(5.0, greatest(0.5, score)), 6) as predicted_rating, i.movieId, title
+               rank, r.item_idx,
+               case when score is not null then round(least(5.0, greatest(0.5, score)), 6) end as predicted_rating, i.movieId, title
         from customer c left join factors f on c_custkey = f.id
         left join ranked r on r.user_idx = c_custkey and rank <= c_nationkey + 1
         left join items i on r.item_idx = i.item_idx left join movies m on i.movieId = m.movieId""",
