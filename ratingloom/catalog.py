@@ -67,9 +67,8 @@ def tags_count(spark, folder):
 def split_roundtrip_counts(spark, folder):
     path = scratch_path(spark, "prepared")
     indexed = fx.indexed(spark, folder)
-    files.write_processed(indexed.drop("split"), path)
+    files.write_processed(indexed, path)
     files.write_movies(fx.movies(spark, folder), path)
-    files.write_splits(indexed, path)
     tables = {
         "ratings_processed": files.read_processed(spark, path),
         "movies": files.read_movies_parquet(spark, path),
@@ -438,7 +437,7 @@ def prepare_job(spark, folder):
 
 def _stored_splits(spark, folder):
     path = scratch_path(spark, "prepared")
-    files.write_splits(fx.indexed(spark, folder), path)
+    files.write_processed(fx.indexed(spark, folder), path)
     return path
 
 

@@ -19,19 +19,30 @@ MIN_ITEM_RATINGS = 25
 _EPOCH = "timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', o_orderdate)"
 
 
+_LAYOUTS = {
+    "lineitem": "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double",
+    "orders": "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz",
+    "part": "p_partkey long, p_name string, p_type string, p_size int",
+    "customer": "c_custkey long, c_nationkey int",
+    "events": "ts timestamp_ntz, user_id long, event_type string, props string",
+    "embeddings": "vec_id long, embedding array<float>",
+}
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(_LAYOUTS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def ratings(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines as ratings; quantities 1 to 4 give values below the valid range."""
     lines = _table(spark, folder, "lineitem")
-    orders = _table(spark, folder, "orders")
+    # The conversion runs per order here; after the join it would run per line.
+    orders = _table(spark, folder, "orders").select("o_orderkey", "o_custkey", F.expr(_EPOCH).alias("o_epoch"))
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_custkey").cast("int").alias("userId"),
         F.col("l_partkey").cast("int").alias("movieId"),
         (F.col("l_quantity") / 10).cast("float").alias("rating"),
-        (F.expr(_EPOCH) + F.col("l_orderkey") * 7 + F.col("l_linenumber")).alias("timestamp"),
+        (F.col("o_epoch") + F.col("l_orderkey") * 7 + F.col("l_linenumber")).alias("timestamp"),
     )
 
 

@@ -9,7 +9,8 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.session import shared_folder
+from ratingloom.operators.scoring import top_n_from_factors
+from ratingloom.session import durable, shared_folder
 from ratingloom.sources.files import write_json_record
 
 # The default training parameters.
@@ -63,23 +64,16 @@ def score(model: ALSModel, df: DataFrame) -> DataFrame:
     return model.transform(df)
 
 
-def _long(recommended: DataFrame) -> DataFrame:
-    return recommended.select("user_idx", F.posexplode("recommendations").alias("pos", "rec")).select(
-        "user_idx",
-        F.col("rec.item_idx").alias("item_idx"),
-        F.col("rec.rating").cast("double").alias("score"),
-        (F.col("pos") + 1).alias("rank"),
-    )
-
-
 def top_n_all(model: ALSModel, n: int) -> DataFrame:
     """Best ``n`` items of every user; rated items are not left out."""
-    return _long(model.recommendForAllUsers(n))
+    return top_n_from_factors(model.userFactors, model.itemFactors, n)
 
 
 def top_n_subset(model: ALSModel, users: DataFrame, n: int) -> DataFrame:
     """Best ``n`` items of the given users; unknown users give no row."""
-    return _long(model.recommendForUserSubset(users.select("user_idx"), n))
+    wanted = users.select(F.col("user_idx").alias("id"))
+    known = durable(model.userFactors.join(wanted, "id", "left_semi"), "wanted-factors")
+    return top_n_from_factors(known, model.itemFactors, n)
 
 
 def first_factor_mean(factors: DataFrame) -> DataFrame:

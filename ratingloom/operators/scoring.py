@@ -11,11 +11,14 @@ from ratingloom.functions import clamp_rating
 from ratingloom.operators.skew import split_join
 from ratingloom.session import durable
 
-# Upper sizes of one task's share: user vectors and item vectors.
-USERS_PER_CELL = 8192
+# Upper sizes of one group: at rank 100 about 50 MB of vectors on each side.
+# Every vector travels once per block of the other side, so larger blocks mean
+# less shuffle.
+USERS_PER_CELL = 65536
 ITEMS_PER_SLICE = 65536
 # Cells are not made smaller than this only to occupy more cores.
 MIN_CELL = 256
+MAX_TASKS = 100_000
 
 
 def top_n_from_factors(
@@ -39,8 +42,11 @@ def top_n_from_factors(
         raise ValueError("n must be positive")
     n_users, n_items = user_factors.count(), item_factors.count()
     cores = user_factors.sparkSession.sparkContext.defaultParallelism
-    cells = max(math.ceil(n_users / users_per_cell), min(cores, math.ceil(n_users / MIN_CELL)), 1)
     slices = max(math.ceil(n_items / items_per_slice), 1)
+    to_fill_cores = min(math.ceil(2 * cores / slices), math.ceil(n_users / MIN_CELL))
+    cells = max(math.ceil(n_users / users_per_cell), to_fill_cores, 1)
+    # The work is the number of pairs, not the bytes by which AQE would merge tasks.
+    tasks = min(cells * slices, MAX_TASKS)
 
     def hashed(column: str, parts: int):
         return F.pmod(F.xxhash64(column), F.lit(parts)).cast("int")
@@ -68,8 +74,9 @@ def top_n_from_factors(
         F.col("id").alias("item_id"), F.col("features").alias("vector"), hashed("id", slices).alias("item_slice")
     ).withColumn("item_cell", every(cells))
     best = (
-        users.groupBy("cell", "slice")
-        .cogroup(items.groupBy("item_cell", "item_slice"))
+        users.repartition(tasks, "cell", "slice")
+        .groupBy("cell", "slice")
+        .cogroup(items.repartition(tasks, "item_cell", "item_slice").groupBy("item_cell", "item_slice"))
         .applyInArrow(_block_kernel(n), schemas.RECOMMENDATIONS)
     )
     return best if slices == 1 else rank_top_n(best.drop("rank"), n)
@@ -191,7 +198,7 @@ def recommend(
     wanted = requests.groupBy(F.col("user_id").alias("id")).agg(
         F.count("*").alias("n"), F.max(F.when(valid, F.col("num_recommendations"))).alias("most")
     )
-    known = user_factors.join(wanted.filter("most is not null"), "id", "left_semi")
+    known = durable(user_factors.join(wanted.filter("most is not null"), "id", "left_semi"), "wanted-factors")
     top = top_n_from_factors(known, item_factors, high if per_request else n, seen)
     if titles is not None:
         top = with_titles(top, titles)

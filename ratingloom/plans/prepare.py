@@ -23,7 +23,7 @@ class PrepareConfig:
 
 
 def prepare(ratings: DataFrame, movies: DataFrame, folder: str, config: PrepareConfig = PrepareConfig()) -> None:
-    """Write ``ratings_processed``, ``movies``, ``splits`` and ``dataset_stats``.
+    """Write ``ratings_processed`` (by split), ``movies`` and ``dataset_stats``.
 
     Text is parsed once; what several passes need is stored in between.
     """
@@ -32,12 +32,11 @@ def prepare(ratings: DataFrame, movies: DataFrame, folder: str, config: PrepareC
     active = durable(
         filter_inactive(cleaned, config.min_user_ratings, config.min_item_ratings), "active"
     )
-    files.write_processed(with_indices(active), folder)
+    indexed = with_split(with_indices(active), config.train_ratio, config.val_ratio)
+    files.write_processed(indexed, folder)
     files.write_movies(movies, folder)
-
-    processed = files.read_processed(spark, folder)
-    files.write_json_record(dataset_statistics(processed), f"{folder}/dataset_stats")
-    files.write_splits(with_split(processed, config.train_ratio, config.val_ratio), folder)
+    stats = dataset_statistics(files.read_processed(spark, folder))
+    files.write_json_record(stats, f"{folder}/dataset_stats")
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -6,10 +6,10 @@ from ratingloom.sources.files import (
     read_ratings_csv,
     read_splits,
     read_tags_csv,
+    write_csv,
     write_json_record,
     write_movies,
     write_processed,
-    write_splits,
 )
 
 __all__ = [
@@ -20,8 +20,8 @@ __all__ = [
     "read_ratings_csv",
     "read_splits",
     "read_tags_csv",
+    "write_csv",
     "write_json_record",
     "write_movies",
     "write_processed",
-    "write_splits",
 ]

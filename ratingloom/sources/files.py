@@ -35,12 +35,27 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True, escape='"')
 
 
-def write_processed(processed: DataFrame, folder: str) -> None:
-    processed.write.mode("overwrite").parquet(f"{folder}/ratings_processed")
+def write_processed(with_split: DataFrame, folder: str) -> None:
+    """Indexed ratings in one pass; ``split`` is a partition column, so reads prune.
+
+    The table serves both as the processed ratings and as the three splits.
+    """
+    with_split.write.mode("overwrite").partitionBy("split").parquet(f"{folder}/ratings_processed")
+
+
+def _processed_with_split(spark: SparkSession, folder: str) -> DataFrame:
+    layout = T.StructType(schemas.INDEXED.fields + [T.StructField("split", T.StringType())])
+    return spark.read.schema(layout).parquet(f"{folder}/ratings_processed")
 
 
 def read_processed(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(schemas.INDEXED).parquet(f"{folder}/ratings_processed")
+    return _processed_with_split(spark, folder).drop("split")
+
+
+def read_splits(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """One DataFrame per split, each reading only its own part of the table."""
+    table = _processed_with_split(spark, folder)
+    return {name: table.filter(F.col("split") == name).drop("split") for name in SPLITS}
 
 
 def write_movies(movies: DataFrame, folder: str) -> None:
@@ -51,18 +66,6 @@ def read_movies_parquet(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(schemas.MOVIES).parquet(f"{folder}/movies")
 
 
-def write_splits(with_split: DataFrame, folder: str) -> None:
-    """All splits in one pass; ``split`` is a partition column, so reads prune."""
-    with_split.write.mode("overwrite").partitionBy("split").parquet(f"{folder}/splits")
-
-
-def read_splits(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """One DataFrame per split, each reading only its own folder."""
-    layout = T.StructType(schemas.INDEXED.fields + [T.StructField("split", T.StringType())])
-    table = spark.read.schema(layout).parquet(f"{folder}/splits")
-    return {name: table.filter(F.col("split") == name).drop("split") for name in SPLITS}
-
-
 def read_factors(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.FACTORS).parquet(path)
 

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ratingloom.functions import dot
-from ratingloom.operators import als, scoring
+from ratingloom.operators import als
 
 REG = 0.1
 
@@ -60,9 +60,10 @@ def test_cold_rows_are_dropped(spark, model):
 
 
 def test_block_product_agrees_with_mllib(spark, model):
-    ours = scoring.top_n_from_factors(model.userFactors, model.itemFactors, 5)
-    theirs = als.top_n_all(model, 5)
-    both = ours.join(theirs.withColumnRenamed("score", "other").drop("item_idx"), ["user_idx", "rank"])
+    ours = als.top_n_all(model, 5)
+    theirs = model.recommendForAllUsers(5).select("user_idx", F.posexplode("recommendations").alias("pos", "rec"))
+    theirs = theirs.select("user_idx", (F.col("pos") + 1).alias("rank"), F.col("rec.rating").alias("other"))
+    both = ours.join(theirs, ["user_idx", "rank"])
     assert both.count() == ours.count() == theirs.count() == 250
     assert both.agg(F.max(F.abs(F.col("score") - F.col("other")))).first()[0] < 1e-5
 
