@@ -3,7 +3,7 @@
 Every function reads whole tables; see FIXTURES.md for the matching SQL.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratingloom.operators.activity import filter_inactive
@@ -16,7 +16,11 @@ from ratingloom.session import durable
 MIN_USER_RATINGS = 30
 MIN_ITEM_RATINGS = 25
 
-_EPOCH = "timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', o_orderdate)"
+
+def _epoch_seconds(time: str) -> Column:
+    """Seconds since 1970 of a time without zone, whatever the session's zone."""
+    day = F.unix_date(F.col(time).cast("date")).cast("long")
+    return ((day * 24 + F.hour(time)) * 60 + F.minute(time)) * 60 + F.second(time)
 
 
 _LAYOUTS = {
@@ -37,7 +41,7 @@ def ratings(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines as ratings; quantities 1 to 4 give values below the valid range."""
     lines = _table(spark, folder, "lineitem")
     # The conversion runs per order here; after the join it would run per line.
-    orders = _table(spark, folder, "orders").select("o_orderkey", "o_custkey", F.expr(_EPOCH).alias("o_epoch"))
+    orders = _table(spark, folder, "orders").select("o_orderkey", "o_custkey", _epoch_seconds("o_orderdate").alias("o_epoch"))
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("o_custkey").cast("int").alias("userId"),
         F.col("l_partkey").cast("int").alias("movieId"),
@@ -76,7 +80,7 @@ def tags(spark: SparkSession, folder: str) -> DataFrame:
         F.col("user_id").cast("int").alias("userId"),
         F.regexp_extract("props", "[0-9]+", 0).try_cast("int").alias("movieId"),
         F.col("event_type").alias("tag"),
-        F.unix_timestamp(F.col("ts").cast("timestamp")).alias("timestamp"),
+        _epoch_seconds("ts").alias("timestamp"),
     )
 
 
@@ -88,8 +92,18 @@ def processed(spark: SparkSession, folder: str) -> DataFrame:
     return filter_inactive(clean(spark, folder), MIN_USER_RATINGS, MIN_ITEM_RATINGS)
 
 
+_prepared: dict[str, DataFrame] = {}
+
+
+def prepare_once(spark: SparkSession, folder: str) -> None:
+    """Let ``indexed`` return one stored table for the rest of the session."""
+    _prepared[folder] = indexed(spark, folder)
+
+
 def indexed(spark: SparkSession, folder: str) -> DataFrame:
-    """Active ratings with dense ids and split, stored once."""
+    """Active ratings with dense ids and split, stored once per call."""
+    if folder in _prepared:
+        return _prepared[folder]
     stored = durable(processed(spark, folder), "processed")
     return durable(with_split(with_indices(stored)), "indexed", partition_by="split")
 
