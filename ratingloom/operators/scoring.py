@@ -126,17 +126,24 @@ def _block_kernel(n: int):
         size = len(item_ids)
         keep = min(n, size)
         step = max(1, 4_000_000 // size)
+        lengths, longest = np.linalg.norm(users, axis=1), np.linalg.norm(items, axis=1).max()
+        # Single precision finds the candidates unless products could overflow.
+        kind = np.float32 if lengths.max() * longest < 1e30 else np.float64
+        rough_users, rough_items = users.astype(kind), items.astype(kind).T
+        # No rough score is further than this from the true one.
+        error = (users.shape[1] + 4) * np.finfo(kind).eps * lengths * longest + np.finfo(kind).tiny
         out = []
         for start in range(0, len(user_ids), step):
             block = users[start : start + step]
-            rough = block @ items.T
+            rough = rough_users[start : start + step] @ rough_items
             here = (pair_user >= start) & (pair_user < start + step)
             rough[pair_user[here] - start, pair_item[here]] = -np.inf
-            # BLAS may differ in the last bit between equal vectors: take all
-            # candidates close to the n-th score and rank them by a plain sum.
+            # Each of the best n is at most two errors below the n-th rough score.
+            # Their true scores, summed alike for equal vectors, give the order.
             last = np.partition(rough, size - keep, axis=1)[:, size - keep]
-            limit = last - 1e-9 * (1.0 + np.abs(last))
-            u, i = np.nonzero((rough >= limit[:, None]) & (rough > -np.inf))
+            limit = np.nextafter((last - 2 * error[start : start + step]).astype(kind), -np.inf, dtype=kind)
+            limit = np.maximum(limit, np.finfo(kind).min)
+            u, i = np.divmod(np.flatnonzero(rough >= limit[:, None]), size)
             score = np.empty(len(u))
             for a in range(0, len(u), 100_000):
                 b = slice(a, a + 100_000)
