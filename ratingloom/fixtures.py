@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ratingloom.operators.activity import filter_inactive
 from ratingloom.operators.indexing import with_indices
-from ratingloom.operators.skew import split_join
+from ratingloom.operators.skew import hot_limit, split_join
 from ratingloom.operators.splitting import with_split
 from ratingloom.session import durable
 
@@ -115,7 +115,8 @@ def predictions(rows: DataFrame, item: str = "item_idx") -> DataFrame:
         .groupBy(item)
         .agg(F.avg(F.col("rating").cast("double")).alias("prediction"), F.count("*").alias("n"))
     )
-    return split_join(rows.filter("split <> 'train'"), durable(means, "means"), item)
+    means = durable(means, "means")
+    return split_join(rows.filter("split <> 'train'"), means, item, hot_limit(means))
 
 
 def factors(spark: SparkSession, folder: str) -> DataFrame:

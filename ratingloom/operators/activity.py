@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratingloom.operators.skew import split_join
+from ratingloom.operators.skew import hot_limits, split_join
 from ratingloom.session import durable
 
 USER_SIDE = "user"
@@ -53,5 +53,7 @@ def filter_inactive(
     counts = durable(rating_counts(ratings), "rating-counts", partition_by="side")
     users = users_of(counts).filter(F.col("n") >= min_user_ratings)
     items = items_of(counts).filter(F.col("n") >= min_item_ratings)
-    kept = split_join(ratings, users, "userId", "left_semi")
-    return split_join(kept, items, "movieId", "left_semi").select(*ratings.columns)
+    limits = hot_limits(counts, "side")
+    kept = split_join(ratings, users, "userId", limits.get(USER_SIDE), "left_semi")
+    kept = split_join(kept, items, "movieId", limits.get(ITEM_SIDE), "left_semi")
+    return kept.select(*ratings.columns)

@@ -9,49 +9,56 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratingloom.operators.activity import ITEM_SIDE, USER_SIDE, rating_counts
-from ratingloom.operators.skew import split_join
+from ratingloom.operators.skew import hot_limits, split_join
 from ratingloom.session import durable
 
 # monotonically_increasing_id() keeps the row number of a partition in its lower 33 bits.
 _ROW_BITS = 33
 
 
-def _positions(counts: DataFrame, order: list, partition_by: str | None = None) -> DataFrame:
-    """``counts`` with the global position ``_pos`` of each row in ``order``."""
-    ordered = durable(
-        counts.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_row", F.monotonically_increasing_id()),
-        "ordered-counts",
-        partition_by,
-    ).withColumn("_chunk", F.shiftright("_row", _ROW_BITS))
-    # One row per range partition, so this window stays as small as the number of tasks.
+def _ordered(counts: DataFrame, order: list, partition_by: str | None = None) -> DataFrame:
+    """``counts`` stored in range partitions: ``_chunk`` and ``_row`` give the order."""
+    ordered = counts.repartitionByRange(*order).sortWithinPartitions(*order)
+    stored = durable(ordered.withColumn("_id", F.monotonically_increasing_id()), "ordered-counts", partition_by)
+    chunk = F.shiftright("_id", _ROW_BITS)
+    return stored.withColumn("_chunk", chunk).withColumn("_row", F.col("_id") - F.shiftleft(chunk, _ROW_BITS)).drop("_id")
+
+
+def _with_position(rows: DataFrame, ordered: DataFrame) -> DataFrame:
+    """``rows`` of ``ordered`` with their global position ``_pos``."""
+    # One row per range partition, so the window and the broadcast stay as small
+    # as the number of tasks.
     before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         ordered.groupBy("_chunk")
         .agg(F.count("*").alias("_size"))
         .select("_chunk", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
     )
-    row = F.col("_row") - F.shiftleft("_chunk", _ROW_BITS)
     return (
-        ordered.join(F.broadcast(starts), "_chunk")
-        .withColumn("_pos", F.col("_start") + row)
+        rows.join(F.broadcast(starts), "_chunk")
+        .withColumn("_pos", F.col("_start") + F.col("_row"))
         .drop("_chunk", "_row", "_start")
     )
 
 
-def dense_indices(ratings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(userId, user_idx, n)`` and ``(movieId, item_idx, n)``, both from one pass."""
+def dense_indices(ratings: DataFrame) -> tuple[DataFrame, DataFrame, dict[str, int | None]]:
+    """Both indices from one pass, with the hot limits of their keys.
+
+    ``(userId, user_idx, n)``, ``(movieId, item_idx, n)``, ``{side: limit}``.
+    """
     label = F.coalesce(F.col("userId"), F.col("movieId")).cast("string")
     order = [F.col("side"), F.col("n").desc(), label]
-    positions = _positions(rating_counts(ratings), order, partition_by="side")
+    ordered = _ordered(rating_counts(ratings), order, partition_by="side")
+    items = ordered.filter(F.col("side") == ITEM_SIDE)
+    users = ordered.filter(F.col("side") == USER_SIDE)
     # Items sort before users, so user positions start after the last item.
-    items = positions.filter(F.col("side") == ITEM_SIDE)
-    users = positions.filter(F.col("side") == USER_SIDE)
     n_items = items.agg(F.count("*")).scalar()
+    user_idx = (F.col("_pos") - n_items).cast("int").alias("user_idx")
+    item_idx = F.col("_pos").cast("int").alias("item_idx")
     return (
-        users.select("userId", (F.col("_pos") - n_items).cast("int").alias("user_idx"), "n"),
-        items.select("movieId", F.col("_pos").cast("int").alias("item_idx"), "n"),
+        _with_position(users, ordered).select("userId", user_idx, "n"),
+        _with_position(items, ordered).select("movieId", item_idx, "n"),
+        hot_limits(ordered, "side"),
     )
 
 
@@ -65,18 +72,16 @@ def item_index(ratings: DataFrame) -> DataFrame:
 
 def _single_index(ratings: DataFrame, key: str, name: str) -> DataFrame:
     counts = ratings.groupBy(key).agg(F.count("*").alias("n"))
-    positions = _positions(counts, [F.col("n").desc(), F.col(key).cast("string")])
-    return positions.select(key, F.col("_pos").cast("int").alias(name), "n")
-
-
-def attach_indices(ratings: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
-    """Ratings with ``user_idx`` and ``item_idx``; hot users and items are split."""
-    joined = split_join(ratings, users, "userId")
-    joined = split_join(joined, items, "movieId")
-    return joined.select(*ratings.columns, "user_idx", "item_idx")
+    ordered = _ordered(counts, [F.col("n").desc(), F.col(key).cast("string")])
+    return _with_position(ordered, ordered).select(key, F.col("_pos").cast("int").alias(name), "n")
 
 
 def with_indices(ratings: DataFrame) -> DataFrame:
-    """Ratings indexed by their own counts; ``ratings`` should be a stored table."""
-    users, items = dense_indices(ratings)
-    return attach_indices(ratings, users, items)
+    """Ratings with ``user_idx`` and ``item_idx`` by their own counts.
+
+    ``ratings`` should be a stored table, since it is read twice.
+    """
+    users, items, limits = dense_indices(ratings)
+    joined = split_join(ratings, users, "userId", limits.get(USER_SIDE))
+    joined = split_join(joined, items, "movieId", limits.get(ITEM_SIDE))
+    return joined.select(*ratings.columns, "user_idx", "item_idx")

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ratingloom import schemas
 from ratingloom.functions import clamp_rating
-from ratingloom.operators.skew import split_join
+from ratingloom.operators.skew import hot_limit, split_join
 from ratingloom.session import durable
 
 # Upper sizes of one group: at rank 100 about 50 MB of vectors on each side.
@@ -175,7 +175,7 @@ def with_titles(recs: DataFrame, titles: DataFrame) -> DataFrame:
     recs = durable(recs, "recs")
     slots = recs.groupBy("item_idx").agg(F.count("*").alias("n"))
     per_item = durable(slots.join(titles, "item_idx", "left"), "titles")
-    return split_join(recs, per_item, "item_idx")
+    return split_join(recs, per_item, "item_idx", hot_limit(per_item))
 
 
 def recommend(
@@ -224,7 +224,7 @@ def recommend(
     )
     mine = F.when(valid, F.filter("slots", lambda s: s["rank"] <= F.col("num_recommendations")))
     return (
-        split_join(requests, answers, "user_id")
+        split_join(requests, answers, "user_id", hot_limit(answers))
         .select("user_id", status.alias("status"), F.explode_outer(mine).alias("slot"))
         .select("user_id", "status", "slot.*")
     )

@@ -12,44 +12,49 @@ MAX_HOT_KEYS = 100_000
 MIN_HOT_ROWS = 2_000_000
 
 
-def hot_limit(
-    per_key: DataFrame, weight: str = "n", max_keys: int = MAX_HOT_KEYS, min_rows: int = MIN_HOT_ROWS
-) -> int | None:
+def _limit(total: int | None, largest: int | None) -> int | None:
+    if total is None or largest is None:
+        return None
+    limit = max(MIN_HOT_ROWS, math.ceil(total / MAX_HOT_KEYS))
+    return limit if largest > limit else None
+
+
+def hot_limit(per_key: DataFrame, weight: str = "n") -> int | None:
     """Rows per part when keys must be split, or null when no key is that heavy.
 
-    Fewer than ``max_keys`` keys can have more rows than this limit.
+    Fewer than ``MAX_HOT_KEYS`` keys can have more rows than this limit.
     """
-    total, largest = per_key.agg(F.sum(weight), F.max(weight)).first()
-    if total is None:
-        return None
-    limit = max(min_rows, math.ceil(total / max_keys))
-    return limit if largest > limit else None
+    return _limit(*per_key.agg(F.sum(weight), F.max(weight)).first())
+
+
+def hot_limits(per_key: DataFrame, by: str, weight: str = "n") -> dict[str, int | None]:
+    """``hot_limit`` of every kind of key in one table; ``by`` has a few values."""
+    rows = per_key.groupBy(by).agg(F.sum(weight), F.max(weight)).collect()
+    return {kind: _limit(total, largest) for kind, total, largest in rows}
 
 
 def split_join(
     rows: DataFrame,
     per_key: DataFrame,
     key: str,
+    limit: int | None,
     how: str = "inner",
     weight: str = "n",
-    max_keys: int = MAX_HOT_KEYS,
-    min_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """Equi-join of ``rows`` with a stored table of one row per key.
 
-    ``weight`` is the row count of the key; it is dropped. Without hot keys this
-    is a plain join. Otherwise rows of a hot key are spread over parts of
-    ``hot_limit`` rows, and its single row in ``per_key`` is repeated per part,
-    in total less than ``2 * max_keys`` times.
+    ``weight`` is the row count of the key; it is dropped. ``limit`` comes from
+    ``hot_limit``; without it this is a plain join. Otherwise rows of a hot key
+    are spread over parts of ``limit`` rows, and its single row in ``per_key`` is
+    repeated per part, in total less than ``2 * MAX_HOT_KEYS`` times.
     """
     if how not in ("inner", "left_semi"):
         raise ValueError(f"unsupported join type: {how}")
-    limit = hot_limit(per_key, weight, max_keys, min_rows)
     if limit is None:
         return rows.join(per_key.drop(weight), key, how)
 
     parts = F.ceil(F.col(weight) / limit).cast("int")
-    # Fewer than max_keys rows, see hot_limit.
+    # Fewer than MAX_HOT_KEYS rows, see hot_limit.
     hot = F.broadcast(per_key.filter(F.col(weight) > limit).select(key, parts.alias("_parts")))
     # Row content and partition number: the same part again when a task is
     # retried, and copies of one row still spread over the map tasks.
