@@ -4,7 +4,6 @@ import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ratingloom import schemas
 from ratingloom.functions import clamp_rating

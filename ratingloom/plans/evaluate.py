@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ratingloom.functions import hash_below
 from ratingloom.operators import als, metrics
 from ratingloom.operators.sampling import SEED
-from ratingloom.session import build_session, durable
+from ratingloom.session import build_session, durable, temporary_tables, widen_shuffles
 from ratingloom.sources import files
 
 RANKING_SAMPLE, CATALOG_SAMPLE, COVERAGE_K = 0.1, 0.05, 100
@@ -55,7 +55,10 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = build_session("evaluate")
     model, _ = als.load_model(spark, args.model_path)
-    files.write_json_record(evaluate(model, files.read_splits(spark, args.data_dir)), args.output)
+    splits = files.read_splits(spark, args.data_dir)
+    widen_shuffles(*splits.values())
+    with temporary_tables(spark):
+        files.write_json_record(evaluate(model, splits), args.output)
 
 
 if __name__ == "__main__":

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ratingloom.operators import profiling as p
 from ratingloom.operators.cleaning import missing_genres
-from ratingloom.session import build_session, durable
+from ratingloom.session import build_session, durable, temporary_tables, widen_shuffles
 from ratingloom.sources import files
 
 
@@ -43,13 +43,16 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
 
     spark = build_session("explore")
-    report = explore(
-        files.read_ratings_csv(spark, args.ratings),
-        files.read_movies_csv(spark, args.movies),
-        files.read_tags_csv(spark, args.tags),
-    )
-    for name, table in report.items():
-        files.write_json_record(table, f"{args.output}/{name}")
+    ratings = files.read_ratings_csv(spark, args.ratings)
+    widen_shuffles(ratings)
+    with temporary_tables(spark):
+        report = explore(
+            ratings,
+            files.read_movies_csv(spark, args.movies),
+            files.read_tags_csv(spark, args.tags),
+        )
+        for name, table in report.items():
+            files.write_json_record(table, f"{args.output}/{name}")
 
 
 if __name__ == "__main__":

@@ -10,7 +10,7 @@ from ratingloom.operators.cleaning import clean_ratings
 from ratingloom.operators.indexing import with_indices
 from ratingloom.operators.profiling import dataset_statistics
 from ratingloom.operators.splitting import with_split
-from ratingloom.session import build_session, durable
+from ratingloom.session import build_session, durable, temporary_tables, widen_shuffles
 from ratingloom.sources import files
 
 
@@ -28,12 +28,14 @@ def prepare(ratings: DataFrame, movies: DataFrame, folder: str, config: PrepareC
     Text is parsed once; what several passes need is stored in between.
     """
     spark = ratings.sparkSession
-    cleaned = durable(clean_ratings(ratings), "cleaned")
-    active = durable(
-        filter_inactive(cleaned, config.min_user_ratings, config.min_item_ratings), "active"
-    )
-    indexed = with_split(with_indices(active), config.train_ratio, config.val_ratio)
-    files.write_processed(indexed, folder)
+    widen_shuffles(ratings)
+    with temporary_tables(spark):
+        cleaned = durable(clean_ratings(ratings), "cleaned")
+        active = durable(
+            filter_inactive(cleaned, config.min_user_ratings, config.min_item_ratings), "active"
+        )
+        indexed = with_split(with_indices(active), config.train_ratio, config.val_ratio)
+        files.write_processed(indexed, folder)
     files.write_movies(movies, folder)
     stats = dataset_statistics(files.read_processed(spark, folder))
     files.write_json_record(stats, f"{folder}/dataset_stats")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ratingloom.operators import als
 from ratingloom.operators.scoring import recommend, title_map
-from ratingloom.session import build_session
+from ratingloom.session import build_session, temporary_tables, widen_shuffles
 from ratingloom.sources import files
 
 
@@ -31,8 +31,10 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = build_session("recommend")
     requests = spark.read.parquet(args.requests).withColumn("user_id", F.col("user_id").cast("int"))
-    answers = answer(spark, args.model_path, args.data_dir, requests, args.n, args.exclude_seen)
-    answers.write.mode("overwrite").parquet(args.output)
+    widen_shuffles(requests, files.read_processed(spark, args.data_dir))
+    with temporary_tables(spark):
+        answers = answer(spark, args.model_path, args.data_dir, requests, args.n, args.exclude_seen)
+        answers.write.mode("overwrite").parquet(args.output)
 
 
 if __name__ == "__main__":

@@ -1,17 +1,30 @@
 """Session settings and durable intermediate tables."""
 
+import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Bytes of input per shuffle task, and the most tasks: beyond, map outputs cost
+# more than larger tasks do.
+_BYTES_PER_TASK = 256 * 1024 * 1024
+_MAX_SHUFFLE_TASKS = 50_000
+
+# Paths written by ``durable`` in the open ``temporary_tables`` blocks.
+_open_blocks: list[list[str]] = []
+
 
 def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
-    """Session for the jobs; resource sizes and shuffle width stay with the cluster."""
+    """Session for the jobs; resource sizes stay with the cluster."""
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Hash instead of sort where the smaller side fits in memory task by task.
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m")
         .config("spark.sql.session.timeZone", "UTC")
     )
     if master:
@@ -21,6 +34,19 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
     return builder.getOrCreate()
 
 
+def widen_shuffles(*inputs: DataFrame) -> None:
+    """Raise the session's shuffle width to the size of ``inputs``; AQE may merge tasks again.
+
+    Uses the planner's size of the input files and runs no job.
+    """
+    spark = inputs[0].sparkSession
+    plans = [df._jdf.queryExecution().optimizedPlan() for df in inputs]
+    size = sum(int(str(plan.stats().sizeInBytes())) for plan in plans)
+    wanted = min(math.ceil(size / _BYTES_PER_TASK), _MAX_SHUFFLE_TASKS)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can reach, for tables that cut lineage.
 
@@ -50,8 +76,27 @@ def durable(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if _open_blocks:
+        _open_blocks[-1].append(path)
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that ``durable`` writes in this block when it ends.
+
+    For jobs: results must be written before the end of the block.
+    """
+    written: list[str] = []
+    _open_blocks.append(written)
+    try:
+        yield
+    finally:
+        _open_blocks.remove(written)
+        for name in written:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

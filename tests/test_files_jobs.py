@@ -1,5 +1,8 @@
+from pathlib import Path
+
 import pytest
 
+from ratingloom import session
 from ratingloom.operators import als
 from ratingloom.plans import evaluate, explore, prepare, recommend, train
 from ratingloom.session import shared_folder
@@ -24,6 +27,40 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def stored(spark):
+    return set(Path(shared_folder(spark)).glob("*-*"))
+
+
+def test_temporary_tables_are_deleted_and_others_kept(spark):
+    kept = session.durable(spark.range(3), "kept")
+    before = stored(spark)
+    with session.temporary_tables(spark):
+        inner = session.durable(spark.range(5), "inner")
+        assert inner.count() == 5 and len(stored(spark) - before) == 1
+    with pytest.raises(RuntimeError), session.temporary_tables(spark):
+        session.durable(spark.range(5), "inner")
+        raise RuntimeError
+    assert stored(spark) == before
+    assert kept.count() == 3
+
+
+def test_shuffle_width_follows_the_input_size(spark, monkeypatch):
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    table = session.durable(spark.range(100_000), "numbers")
+    try:
+        session.widen_shuffles(table)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == width
+        monkeypatch.setattr(session, "_BYTES_PER_TASK", 10_000)
+        session.widen_shuffles(table)
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) > int(width)
+        monkeypatch.setattr(session, "_MAX_SHUFFLE_TASKS", 500)
+        monkeypatch.setattr(session, "_BYTES_PER_TASK", 1)
+        session.widen_shuffles(table)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "500"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+
+
 @pytest.fixture(scope="module")
 def raw(tmp_path_factory):
     folder = tmp_path_factory.mktemp("raw")
@@ -42,6 +79,7 @@ def raw(tmp_path_factory):
 
 def test_jobs_end_to_end(spark, raw, tmp_path):
     data, model, out = str(tmp_path / "data"), str(tmp_path / "model"), str(tmp_path / "out")
+    before = stored(spark)
     paths = ["--ratings", f"{raw}/ratings.csv", "--movies", f"{raw}/movies.csv"]
 
     explore.main([*paths, "--tags", f"{raw}/tags.csv", "--output", f"{out}/explore"])
@@ -77,6 +115,8 @@ def test_jobs_end_to_end(spark, raw, tmp_path):
     assert sorted((r.user_id, r["rank"]) for r in rows if r.status == "success") == [(u, k) for u in (0, 59) for k in (1, 2, 3)]
     assert [r.status for r in rows if r.user_id == 700] == ["user_not_found"]
     assert all(0.5 <= r.predicted_rating <= 5 for r in rows if r.status == "success")
+    left = {p.name.split("-")[0] for p in stored(spark) - before}
+    assert not left, left
 
 
 def test_saving_needs_a_path():
