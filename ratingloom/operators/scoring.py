@@ -121,6 +121,8 @@ def _block_kernel(n: int):
         pair_item, known_item = positions(item_ids, pairs["item"].to_numpy())
         known = known_user & known_item
         pair_user, pair_item = pair_user[known], pair_item[known]
+        by_user = np.argsort(pair_user, kind="stable")
+        pair_user, pair_item = pair_user[by_user], pair_item[by_user]
 
         size = len(item_ids)
         keep = min(n, size)
@@ -135,8 +137,8 @@ def _block_kernel(n: int):
         for start in range(0, len(user_ids), step):
             block = users[start : start + step]
             rough = rough_users[start : start + step] @ rough_items
-            here = (pair_user >= start) & (pair_user < start + step)
-            rough[pair_user[here] - start, pair_item[here]] = -np.inf
+            a, b = np.searchsorted(pair_user, (start, start + step))
+            rough[pair_user[a:b] - start, pair_item[a:b]] = -np.inf
             # Each of the best n is at most two errors below the n-th rough score.
             # Their true scores, summed alike for equal vectors, give the order.
             last = np.partition(rough, size - keep, axis=1)[:, size - keep]

@@ -1,6 +1,8 @@
 import math
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
@@ -78,3 +80,26 @@ def test_segments(spark):
 def test_stars(spark):
     df = spark.createDataFrame([(0.5,), (3.99,), (5.0,)], "r double").select(star_string(F.col("r")))
     assert [r[0] for r in df.collect()] == ["☆☆☆☆☆", "⭐⭐⭐☆☆", "⭐⭐⭐⭐⭐"]
+
+
+pairs = st.tuples(st.integers(0, 4), st.integers(0, 6))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(pairs, st.sampled_from([3.5, 4.0, 5.0])), max_size=40), st.dictionaries(st.integers(0, 4), st.lists(st.integers(0, 6), unique=True, min_size=1)))
+def test_ranking_equals_a_plain_loop(spark, rated, lists):
+    test = spark.createDataFrame([(u, i, r) for (u, i), r in rated], TEST)
+    recs = spark.createDataFrame([(u, i, 0.0, k) for u, items in lists.items() for k, i in enumerate(items, 1)], RECS)
+    got = {r.k: (r.precision, r.recall) for r in metrics.precision_recall_at_k(test, recs, ks=(1, 3)).collect()}
+    for k in (1, 3):
+        scores = []
+        for user, items in lists.items():
+            relevant = [i for (u, i), r in rated if u == user and r >= 4]
+            if relevant:
+                hits = len(set(relevant) & set(items[:k]))
+                scores.append((hits / len(items[:k]), hits / len(relevant)))
+        if not scores:
+            assert got[k] == (None, None)
+            continue
+        assert got[k] == pytest.approx(tuple(sum(x) / len(scores) for x in zip(*scores)))
+        assert all(0 <= v <= 1 for v in got[k])
