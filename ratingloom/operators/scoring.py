@@ -224,11 +224,14 @@ def recommend(
         F.when(~valid, "invalid_request").when(F.col("known").isNull(), "user_not_found").otherwise("success")
     )
     mine = F.when(valid, F.filter("slots", lambda s: s["rank"] <= F.col("num_recommendations")))
-    return (
+    answered = (
         split_join(requests, answers, "user_id", hot_limit(answers))
         .select("user_id", status.alias("status"), F.explode_outer(mine).alias("slot"))
         .select("user_id", "status", "slot.*")
     )
+    # A request without a user meets no row in the join.
+    nobody = requests.filter(F.col("user_id").isNull()).withColumn("known", F.lit(None))
+    return answered.unionByName(nobody.select("user_id", status.alias("status")), allowMissingColumns=True)
 
 
 def batch_status(requests: DataFrame, user_factors: DataFrame) -> DataFrame:

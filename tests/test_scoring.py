@@ -73,13 +73,15 @@ def test_titles_follow_the_item_or_are_null(spark):
 def test_requests(spark):
     users, items = factors(spark, [[3.0], [-1.0]]), factors(spark, [[1.0], [2.0], [0.1]])
     requests = spark.createDataFrame(
-        [(0, 2), (0, 1), (0, 1), (1, None), (5, 3), (0, 0), (0, 101)], "user_id int, num_recommendations int"
+        [(0, 2), (0, 1), (0, 1), (1, None), (5, 3), (0, 0), (0, 101), (None, 3), (None, 0)], "user_id int, num_recommendations int"
     )
     got = sorted(
-        (r.user_id, r.status, r["rank"] or 0, -1 if r.item_idx is None else r.item_idx, r.predicted_rating or 0)
+        (-1 if r.user_id is None else r.user_id, r.status, r["rank"] or 0, -1 if r.item_idx is None else r.item_idx, r.predicted_rating or 0)
         for r in scoring.recommend(requests, users, items, n=2).collect()
     )
     assert got == [
+        (-1, "invalid_request", 0, -1, 0),
+        (-1, "user_not_found", 0, -1, 0),
         (0, "invalid_request", 0, -1, 0),
         (0, "invalid_request", 0, -1, 0),
         (0, "success", 1, 1, 5.0),
