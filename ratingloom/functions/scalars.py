@@ -27,8 +27,8 @@ def safe_ratio(part: Column, whole: Column) -> Column:
 
 
 def relative_gap(value: Column, base: Column) -> Column:
-    """By how many percent ``value`` exceeds ``base``."""
-    return (value / base - 1) * 100
+    """By how many percent ``value`` exceeds ``base``; null for a base of 0."""
+    return (value / F.when(base != 0, base) - 1) * 100
 
 
 def dot(left: Column, right: Column) -> Column:

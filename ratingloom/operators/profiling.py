@@ -4,7 +4,7 @@
 in a single scan; the reports are small aggregates over such groups.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratingloom.operators.cleaning import invalid_rating, null_rating
@@ -89,12 +89,26 @@ def activity_stats(per_key: DataFrame) -> DataFrame:
     )
 
 
+def _with_median(histogram: DataFrame, *by: str) -> DataFrame:
+    """Marks as ``is_median`` the count that half of the ``keys`` do not exceed.
+
+    The histogram has one row per distinct rating count. N ratings allow at most
+    sqrt(2N) distinct counts, so its windows stay small, and the median is exact.
+    """
+    up_to = F.sum("keys").over(Window.partitionBy(*by).orderBy("num_ratings"))
+    total = F.sum("keys").over(Window.partitionBy(*by))
+    ranked = histogram.withColumn("_up_to", up_to).withColumn("_half", total / 2)
+    first = (F.col("_up_to") >= F.col("_half")) & (F.col("_up_to") - F.col("keys") < F.col("_half"))
+    return ranked.withColumn("is_median", first).drop("_up_to", "_half")
+
+
 def median_ratings(per_key: DataFrame) -> DataFrame:
     """Average and median rating count; the median is an actual count."""
-    n = F.col("num_ratings")
-    return per_key.agg(
-        F.avg(n).alias("avg_ratings"),
-        F.percentile_approx(n, 0.5).cast("double").alias("median_ratings"),
+    histogram = per_key.groupBy("num_ratings").agg(F.count("*").alias("keys"))
+    n, keys = F.col("num_ratings"), F.col("keys")
+    return _with_median(histogram).agg(
+        (F.sum(n * keys) / F.sum(keys)).alias("avg_ratings"),
+        F.max(F.when(F.col("is_median"), n)).cast("double").alias("median_ratings"),
     )
 
 
@@ -155,18 +169,28 @@ def row_count(name: str, table: DataFrame) -> DataFrame:
 def dataset_statistics(ratings: DataFrame) -> DataFrame:
     """One row of nine statistics, from one scan of ``ratings``."""
     groups = rating_groups(ratings, (USER, ITEM, ALL))
-    users = F.when(in_set(USER), F.col("num_ratings"))
-    items = F.when(in_set(ITEM), F.col("num_ratings"))
-    whole = [F.max(F.when(in_set(ALL), F.col(c))).alias(c) for c in ("avg_rating", "std_rating")]
-    stats = groups.agg(
-        F.coalesce(F.sum(F.when(in_set(ALL), F.col("num_rows"))), F.lit(0)).alias("total_ratings"),
-        F.count(users).alias("num_users"),
-        F.count(items).alias("num_items"),
-        *whole,
-        F.avg(users).alias("avg_ratings_per_user"),
-        F.percentile_approx(users, 0.5).cast("double").alias("median_ratings_per_user"),
-        F.avg(items).alias("avg_ratings_per_item"),
-        F.percentile_approx(items, 0.5).cast("double").alias("median_ratings_per_item"),
+    # The row of the whole table passes through the histogram as its only entry.
+    whole = ("num_rows", "avg_rating", "std_rating")
+    histogram = groups.groupBy("grp", "num_ratings").agg(
+        F.count("*").alias("keys"), *[F.max(F.when(in_set(ALL), F.col(c))).alias(c) for c in whole]
+    )
+    n, keys = F.col("num_ratings"), F.col("keys")
+
+    def per(name: str, side: str) -> list[Column]:
+        mine = in_set(side)
+        return [
+            (F.sum(F.when(mine, n * keys)) / F.sum(F.when(mine, keys))).alias(f"avg_ratings_per_{name}"),
+            F.max(F.when(mine & F.col("is_median"), n)).cast("double").alias(f"median_ratings_per_{name}"),
+        ]
+
+    stats = _with_median(histogram, "grp").agg(
+        F.coalesce(F.max("num_rows"), F.lit(0)).alias("total_ratings"),
+        F.coalesce(F.sum(F.when(in_set(USER), keys)), F.lit(0)).alias("num_users"),
+        F.coalesce(F.sum(F.when(in_set(ITEM), keys)), F.lit(0)).alias("num_items"),
+        F.max("avg_rating").alias("avg_rating"),
+        F.max("std_rating").alias("std_rating"),
+        *per("user", USER),
+        *per("item", ITEM),
     )
     sparsity = _sparsity(F.col("total_ratings"), F.col("num_users"), F.col("num_items"))
     head = ["total_ratings", "num_users", "num_items"]

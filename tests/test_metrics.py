@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import functions as F
 
-from ratingloom.functions import star_string
+from ratingloom.functions import clamp_rating, relative_gap, star_string
 from ratingloom.operators import metrics
 
 TEST = "user_idx int, item_idx int, rating float"
@@ -77,6 +77,16 @@ def test_segments(spark):
     assert gap.gap_pct == pytest.approx((math.sqrt(5) / 0.5 - 1) * 100)
 
 
+def test_gap_to_nothing_is_null(spark):
+    df = spark.createDataFrame([(1.0, 0.0), (None, 1.0), (3.0, 2.0)], "a double, b double")
+    assert [r[0] for r in df.select(relative_gap(F.col("a"), F.col("b"))).collect()] == [None, None, 50.0]
+
+
+def test_clamp_keeps_null(spark):
+    df = spark.createDataFrame([(-1.0,), (2.5,), (9.0,), (None,)], "s double").select(clamp_rating(F.col("s")))
+    assert [r[0] for r in df.collect()] == [0.5, 2.5, 5.0, None]
+
+
 def test_stars(spark):
     df = spark.createDataFrame([(0.5,), (3.99,), (5.0,)], "r double").select(star_string(F.col("r")))
     assert [r[0] for r in df.collect()] == ["☆☆☆☆☆", "⭐⭐⭐☆☆", "⭐⭐⭐⭐⭐"]
