@@ -201,13 +201,18 @@ def recommend(
     asked = F.col("num_recommendations") if per_request else F.lit(n)
     requests = requests.withColumn("num_recommendations", F.coalesce(asked, F.lit(n)).cast("int"))
 
-    # Each user is scored once, however often it is asked for.
+    # Each user is scored once, however often it is asked for, and only as deep
+    # as the longest list asked for.
     valid = F.col("num_recommendations").between(low, high)
-    wanted = requests.groupBy(F.col("user_id").alias("id")).agg(
-        F.count("*").alias("n"), F.max(F.when(valid, F.col("num_recommendations"))).alias("most")
+    wanted = durable(
+        requests.groupBy(F.col("user_id").alias("id")).agg(
+            F.count("*").alias("n"), F.max(F.when(valid, F.col("num_recommendations"))).alias("most")
+        ),
+        "wanted",
     )
+    depth = wanted.agg(F.max("most")).first()[0] or low
     known = durable(user_factors.join(wanted.filter("most is not null"), "id", "left_semi"), "wanted-factors")
-    top = top_n_from_factors(known, item_factors, high if per_request else n, seen)
+    top = top_n_from_factors(known, item_factors, depth, seen)
     if titles is not None:
         top = with_titles(top, titles)
     top = top.withColumn("predicted_rating", clamp_rating(F.col("score")))
