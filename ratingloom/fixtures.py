@@ -1,6 +1,6 @@
 """Rating tables derived from the driver's star-schema tables.
 
-Every function reads whole tables; see FIXTURES.md for the matching SQL.
+Every function reads whole tables; `oracle.py` has the matching SQL.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
