@@ -199,7 +199,8 @@ def _fill(rows: DataFrame, seed: int) -> DataFrame:
     nearer = ~F.col("taken") & (F.abs(F.col("size") - F.col("left")) < F.col("left"))
     nearest = F.min(F.when(nearer, F.struct(F.abs(F.col("size") - F.col("left")), F.col("doc_id")))).over(group)
     last = F.when(nearer, F.col("doc_id").eqNullSafe(nearest["doc_id"]))
-    return rows.filter(F.col("taken") | F.coalesce(last, F.lit(False)))
+    rows = rows.withColumn("last", F.coalesce(last, F.lit(False)))
+    return rows.filter(F.col("taken") | F.col("last"))
 
 
 def plan_mixture(
