@@ -1,6 +1,6 @@
 """Mixing sources to target weights by a multivariate-hypergeometric splitting tree.
 
-Every source is dealt into about sqrt(n) blocks of about sqrt(n) documents by a
+Every source is dealt into about sqrt(n) / 4 blocks of about 4 sqrt(n) documents by a
 hash of the id. What a source must give is a whole number of block copies and a
 part of one boundary block. A tree over the output shards splits these exact
 quotas: each node deals its blocks to two children by a multivariate
@@ -222,7 +222,7 @@ def plan_mixture(
     sources = source_targets(sizes, weights, share)
     full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     sources = durable(
-        sources.withColumn("n_blocks", F.ceil(F.sqrt("n")).cast("long"))
+        sources.withColumn("n_blocks", F.ceil(F.sqrt("n") / 4).cast("long"))
         .withColumn("full", full.cast("long"))
         .withColumn("rest", F.col("target") - F.col("full") * F.col("source_size")),
         "mix-sources",

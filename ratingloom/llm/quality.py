@@ -34,7 +34,7 @@ class Rule:
 RULES = (
     Rule("symbol_share", "n_symbols", "word_chars", 30_000),
     Rule("dup_line_share", "n_dup_lines", "n_lines", 300_000),
-    Rule("repeat_share", "n_repeat_words", "n_words", 200_000),
+    Rule("repeat_share", "n_repeat_words", "n_words", 350_000),
     Rule("word_length", "word_chars", "n_words", 3_000_000),
 )
 SPREAD = 6

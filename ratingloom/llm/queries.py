@@ -1,14 +1,28 @@
 """One query per operator, over the whole driver tables, and SQL where it can state the result."""
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.llm import mixing, quality, topk
+from ratingloom.llm import bpe, minhash, mixing, quality, topk
+
+
+def vocabulary_path() -> str:
+    """The public byte-level vocabulary of 50,257 ids."""
+    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_bpe_roundtrip(spark, folder):
+    return bpe.digests(bpe.transcode(_table(spark, folder, "documents"), vocabulary_path()))
+
+
+def op5_circulant_minhash(spark, folder):
+    return minhash.near_duplicates(_table(spark, folder, "documents"))
+
+
 def op7_source_mix(spark, folder):
     return mixing.mix_report(_table(spark, folder, "documents"))
 
@@ -21,6 +35,6 @@ def op10_quality_rules(spark, folder):
     return quality.quality_rules(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op7_source_mix, op9_exact_topk, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_bpe_roundtrip, op5_circulant_minhash, op7_source_mix, op9_exact_topk, op10_quality_rules)}
 
 ORACLE_SQL = {}
