@@ -23,8 +23,11 @@ from pyspark.sql import functions as F
 
 # Fixed value: how byte-level BPE cuts text into words.
 WORD = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
-# White space beyond single spaces between two other characters, or before a single space that ends the text.
+# A space after white space and before white space or the end: there, runs between spaces depend on each other.
 _IRREGULAR = regex.compile(r"  |\s (?:\s|\Z)|[\x1c-\x1f]")
+# What all such places contain, in UTF-8; searched first, since most texts have none of it.
+_SUSPECT = [b"  ", b"\n ", b"\t ", b"\r ", b"\x0b ", b"\x0c ", b"\x1c", b"\x1d", b"\x1e", b"\x1f"]
+_SUSPECT += [b"\xc2\x85 ", b"\xc2\xa0 ", b"\xe1\x9a\x80 ", b"\xe2\x80", b"\xe2\x81\x9f ", b"\xe3\x80\x80 "]
 # Text encoded with one index, in characters.
 BLOCK = 1 << 23
 
@@ -36,6 +39,11 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def _irregular(text: str) -> bool:
+    data = text.encode()
+    return any(s in data for s in _SUSPECT) and _IRREGULAR.search(text) is not None
+
+
 class Vocabulary:
     """Merges, token bytes and special tokens of a byte-level BPE file."""
 
@@ -143,9 +151,9 @@ class Vocabulary:
         bare: dict[str, bytes] = {}
         spaced: dict[str, bytes] = {}
 
-        def parts(text: str) -> Iterator[tuple[str, bool]]:
-            for piece in special.splititer(text) if special.search(text) else (text,):
-                yield piece, _IRREGULAR.search(piece) is not None
+        def parts(text: str) -> list[tuple[str, bool]]:
+            marked = any(s in text for s in self.special)
+            return [(piece, _irregular(piece)) for piece in (special.split(text) if marked else (text,))]
 
         bare_keys: set[str] = set()
         spaced_keys: set[str] = set()
@@ -166,9 +174,10 @@ class Vocabulary:
 
         out = []
         for text in texts:
-            markers = iter(special.findall(text)) if self.special else iter(())
+            pieces = parts(text)
+            markers = iter(special.findall(text) if len(pieces) > 1 else ())
             line: list[bytes] = []
-            for piece, irregular in parts(text):
+            for piece, irregular in pieces:
                 if irregular:
                     line += [bare[w] for w in WORD.findall(piece)]
                 else:

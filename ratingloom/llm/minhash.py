@@ -21,6 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ratingloom.llm.bloom import Filter, build_filter
 from ratingloom.llm.graph import components
 from ratingloom.llm.words import documents
 from ratingloom.session import durable
@@ -151,20 +152,26 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for ids, texts in _blocks(batch):
-            sets = [s.view(np.int64) for s in shingle_sets(texts)]
-            yield pa.RecordBatch.from_arrays(
-                [ids.cast(pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "shingles"]
-            )
+def _sets_of(wanted: Filter):
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            batch = batch.filter(wanted.mask(batch.column(0)))
+            for ids, texts in _blocks(batch):
+                found = [s.view(np.int64) for s in shingle_sets(texts)]
+                yield pa.RecordBatch.from_arrays(
+                    [ids.cast(pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "shingles"]
+                )
+
+    return sets
 
 
 def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` whose full sets are similar enough."""
     pairs = durable(pairs, "minhash-pairs")
     wanted = durable(pairs.select("a").union(pairs.select("b")).distinct().toDF("doc_id"), "minhash-wanted")
-    sets = docs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets, "doc_id long, shingles array<long>")
+    # The filter only spares sets that no pair names; the join decides.
+    sets = docs.mapInArrow(_sets_of(build_filter(wanted)), "doc_id long, shingles array<long>")
+    sets = sets.join(wanted, "doc_id", "left_semi")
     both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
     shared = both.select(
         "a",
