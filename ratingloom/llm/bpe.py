@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -205,7 +206,7 @@ def blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK) -> Iterator[tu
     """Runs of rows whose texts (the last column, null as empty) have about ``limit`` characters at most."""
     for batch in batches:
         texts = batch.column(batch.num_columns - 1)
-        start, held, lengths = 0, 0, pa.compute.utf8_length(texts).to_pylist()
+        start, held, lengths = 0, 0, pc.utf8_length(texts).to_pylist()
         for i, length in enumerate(lengths):
             held += length or 0
             if held >= limit or i + 1 == len(lengths):

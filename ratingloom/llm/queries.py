@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.llm import bpe, minhash, mixing, quality, topk
+from ratingloom.llm import attribution, bpe, minhash, mixing, quality, secrets, topk
 
 
 def vocabulary_path() -> str:
@@ -23,10 +23,18 @@ def op5_circulant_minhash(spark, folder):
     return minhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op6_secret_layers(spark, folder):
+    return secrets.digests(secrets.find_secrets(_table(spark, folder, "documents")))
+
+
 def op7_source_mix(spark, folder):
     return mixing.mix_report(_table(spark, folder, "documents"))
 
 
+def op8_section_tokens(spark, folder):
+    return attribution.section_tokens(_table(spark, folder, "documents"), vocabulary_path())
+
+
 def op9_exact_topk(spark, folder):
     return topk.top_k(_table(spark, folder, "embeddings"))
 
@@ -35,6 +43,17 @@ def op10_quality_rules(spark, folder):
     return quality.quality_rules(_table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe_roundtrip, op5_circulant_minhash, op7_source_mix, op9_exact_topk, op10_quality_rules)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_bpe_roundtrip,
+        op5_circulant_minhash,
+        op6_secret_layers,
+        op7_source_mix,
+        op8_section_tokens,
+        op9_exact_topk,
+        op10_quality_rules,
+    )
+}
 
 ORACLE_SQL = {}
