@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.llm import attribution, bpe, minhash, mixing, quality, secrets, topk
+from ratingloom.llm import attribution, bpe, langid, minhash, mixing, quality, repeats, secrets, topk
 
 
 def vocabulary_path() -> str:
@@ -19,6 +19,15 @@ def op1_bpe_roundtrip(spark, folder):
     return bpe.digests(bpe.transcode(_table(spark, folder, "documents"), vocabulary_path()))
 
 
+def op3_repeated_bytes(spark, folder):
+    return repeats.digests(repeats.remove_repeats(_table(spark, folder, "documents")))
+
+
+def op4_language(spark, folder):
+    docs = _table(spark, folder, "documents")
+    return langid.identify(docs, langid.fit(docs))
+
+
 def op5_circulant_minhash(spark, folder):
     return minhash.near_duplicates(_table(spark, folder, "documents"))
 
@@ -47,6 +56,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_bpe_roundtrip,
+        op3_repeated_bytes,
+        op4_language,
         op5_circulant_minhash,
         op6_secret_layers,
         op7_source_mix,
