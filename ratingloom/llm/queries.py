@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.llm import attribution, bpe, langid, minhash, mixing, quality, repeats, secrets, topk
+from ratingloom.llm import attribution, bpe, langid, licences, minhash, mixing, quality, repeats, secrets, topk
 
 
 def vocabulary_path() -> str:
@@ -19,6 +19,11 @@ def op1_bpe_roundtrip(spark, folder):
     return bpe.digests(bpe.transcode(_table(spark, folder, "documents"), vocabulary_path()))
 
 
+def op2_licence_scan(spark, folder):
+    docs = _table(spark, folder, "documents")
+    return licences.scan(docs, licences.train(docs))
+
+
 def op3_repeated_bytes(spark, folder):
     return repeats.digests(repeats.remove_repeats(_table(spark, folder, "documents")))
 
@@ -56,6 +61,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_bpe_roundtrip,
+        op2_licence_scan,
         op3_repeated_bytes,
         op4_language,
         op5_circulant_minhash,
