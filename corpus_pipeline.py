@@ -1,11 +1,72 @@
-"""Clean, mix and encode the corpus: stages from ``documents`` to token ids."""
+"""Clean, mix and encode the corpus: stages from ``documents`` to token ids.
 
-STAGES = []
+Each stage takes what the one before kept and returns rows of ``documents``; the
+last returns one row per text with its token ids. Further columns pass through
+the stages up to the last.
+"""
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ratingloom.llm import bpe, langid, minhash, mixing, secrets
+from ratingloom.session import durable
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of a known language; a null ``lang`` becomes the predicted one.
+
+    Rejected are texts that are null or without a letter, and scores under 0.4.
+    """
+    return langid.keep_identified(docs, langid.fit(docs))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that of the smallest id.
+
+    Rows that repeat an id and its text are one document and stay once; rows
+    without id take no part and stay.
+    """
+    found = minhash.near_duplicates(docs)
+    kept = durable(found.filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct(), "near-duplicates-kept")
+    stay = docs.join(kept, docs["doc_id"] == kept["_kept_id"], "left_semi")
+    return stay.dropDuplicates(["doc_id"]).unionByName(docs.filter(docs["doc_id"].isNull()))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, every secret in their text masked; ``n_chars`` is that of the new text."""
+    masked = secrets.redact(docs)
+    if "n_chars" not in docs.columns:
+        return masked
+    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixture: documents as often as their source's target asks, up to twice, in shuffled shards."""
+    return mixing.mix(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text of the mixture with the digests of ids and decoded text."""
+    coded = bpe.transcode(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return bpe.digests(coded, "ids")
+
+
+STAGES = [
+    ("language", identify_language),
+    ("near_duplicates", drop_near_duplicates),
+    ("secrets", mask_secrets),
+    ("mixture", mix_sources),
+    ("bpe", encode),
+]
+
+# SQL has no random field, recursive decoding or BPE.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each result is written and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = durable(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

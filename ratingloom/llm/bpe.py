@@ -242,10 +242,11 @@ def transcode(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     )
 
 
-def digests(transcoded: DataFrame) -> DataFrame:
-    """Digest columns of ``transcode``."""
+def digests(transcoded: DataFrame, *more: str) -> DataFrame:
+    """Digest columns of ``transcode``, and the columns named in ``more``."""
     return transcoded.select(
         "doc_id",
+        *more,
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
