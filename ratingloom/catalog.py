@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 
+from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from ratingloom.operators import activity, als, cleaning, indexing, metrics, pro
 from ratingloom.plans.evaluate import evaluate
 from ratingloom.plans.explore import explore
 from ratingloom.plans.prepare import PrepareConfig, prepare
+from ratingloom.plans.recommend import answer
 from ratingloom.plans.train import train
 from ratingloom.session import durable, scratch_path
 from ratingloom.sources import files
@@ -236,12 +238,12 @@ def top_active_users(spark, folder):
 
 def top_rated_movies(spark, folder):
     popular = profiling.item_popularity(fx.ratings(spark, folder))
-    return _rounded(profiling.top_rated_movies(popular, fx.movies(spark, folder)))
+    return _rounded(profiling.top_rated_movies(popular, fx.titled_movies(spark, folder)))
 
 
-def explore_summary(spark, folder):
+def _explore_long(ratings, spark, folder):
     """All one-row tables of the exploration report as ``(report, name, value)``."""
-    report = explore(fx.dirty_ratings(spark, folder), fx.movies(spark, folder), fx.tags(spark, folder))
+    report = explore(ratings, fx.movies(spark, folder), fx.tags(spark, folder))
     single = (
         "totals",
         "rating_stats",
@@ -263,6 +265,29 @@ def explore_summary(spark, folder):
     return _rounded(result)
 
 
+def explore_summary(spark, folder):
+    return _explore_long(fx.dirty_ratings(spark, folder), spark, folder)
+
+
+def explore_summary_without_nan(spark, folder):
+    return _explore_long(fx.ratings(spark, folder), spark, folder)
+
+
+def explore_tables(spark, folder):
+    """The tables of several rows in the exploration report."""
+    report = explore(fx.ratings(spark, folder), fx.movies(spark, folder), fx.tags(spark, folder))
+
+    def long(name: str, id, rating: str, n: str):
+        return report[name].select(
+            F.lit(name).alias("report"), id.alias("id"), F.col(rating).cast("double").alias("rating"), F.col(n).alias("n")
+        )
+
+    values = long("rating_distribution", F.lit(None).cast("int"), "rating", "n")
+    users = long("top_active_users", F.col("userId"), "avg_rating", "num_ratings")
+    items = long("top_rated_movies", F.col("movieId"), "avg_rating", "num_ratings")
+    return values.union(_rounded(users.union(items)))
+
+
 # Sampling
 
 
@@ -286,6 +311,14 @@ def topn_exclude_seen(spark, folder):
     return _rounded(_top(spark, folder, seen=seen))
 
 
+def topn_bad_vectors(spark, folder):
+    """Lists of the vectors that can be scored, beside the number of those that cannot."""
+    factors = fx.flawed_factors(spark, folder)
+    top = scoring.top_n_from_factors(factors, factors, TOP_N, rejects="skip")
+    rejected = scoring.rejected_factors(factors, factors).agg(F.count("*").alias("n"))
+    return _rounded(top.withColumn("n_rejected", rejected.scalar()))
+
+
 def _rating_like(spark, folder):
     return _top(spark, folder).withColumn("predicted_rating", clamp_rating(1 + 4 * F.col("score")))
 
@@ -300,7 +333,7 @@ def topn_stars(spark, folder):
 
 
 def topn_with_titles(spark, folder):
-    titles = scoring.title_map(fx.indexed(spark, folder), fx.movies(spark, folder))
+    titles = scoring.title_map(indexing.item_index(fx.processed(spark, folder)), fx.titled_movies(spark, folder))
     return scoring.with_titles(_top(spark, folder), titles).select(
         "user_idx", "item_idx", "rank", "movieId", "title"
     )
@@ -311,7 +344,7 @@ def batch_status(spark, folder):
 
 
 def batch_recommend(spark, folder):
-    titles = scoring.title_map(fx.indexed(spark, folder), fx.movies(spark, folder))
+    titles = scoring.title_map(indexing.item_index(fx.processed(spark, folder)), fx.titled_movies(spark, folder))
     factors = fx.factors(spark, folder)
     return _rounded(scoring.recommend(fx.requests(spark, folder), factors, factors, titles))
 
@@ -410,6 +443,27 @@ def als_prediction_keys(spark, folder):
     return scored.select("user_idx", "item_idx", "timestamp", "split")
 
 
+def als_score_check(spark, folder):
+    """Block scoring against MLlib: predictions as ``transform``, errors as ``RegressionEvaluator``."""
+    indexed = fx.indexed(spark, folder)
+    model = _model(indexed)
+    rows = indexed.filter("split <> 'train'").withColumn("row", F.xxhash64("user_idx", "item_idx", "timestamp", "rating"))
+    ours, theirs = durable(als.score(model, rows), "ours"), durable(model.transform(rows), "theirs")
+    pairs = ours.select("user_idx", "item_idx", F.col("prediction").alias("p")).distinct()
+    other = theirs.select("user_idx", "item_idx", F.col("prediction").alias("q")).distinct()
+    both = pairs.join(other, ["user_idx", "item_idx"], "full")
+    same = F.coalesce(F.bool_and(F.coalesce(F.abs(F.col("p") - F.col("q")) < 1e-5, F.lit(False))), F.lit(True))
+    errors = metrics.error_metrics(ours).first()
+    equal = {}
+    for name in ("rmse", "mae"):
+        expected = RegressionEvaluator(metricName=name, labelCol="rating", predictionCol="prediction").evaluate(theirs)
+        equal[name] = abs(errors[name] - expected) < 1e-6
+    n = ours.agg(F.count("*")).scalar()
+    return both.agg(same.alias("as_transform")).select(
+        n.alias("n"), "as_transform", *[F.lit(ok).alias(f"{name}_equal") for name, ok in equal.items()]
+    )
+
+
 def als_topn_counts(spark, folder):
     recs = als.top_n_all(_model(fx.indexed(spark, folder)), 10)
     return recs.groupBy("user_idx").agg(
@@ -435,6 +489,38 @@ def prepare_job(spark, folder):
     return parts[0].union(parts[1]).union(parts[2])
 
 
+def prepare_reports(spark, folder):
+    """Reports and indices of the preparation as ``(report, name, value)``."""
+    source, target = scratch_path(spark, "raw"), scratch_path(spark, "prepared")
+    files.write_csv(fx.dirty_ratings(spark, folder), source)
+    prepare(
+        files.read_ratings_csv(spark, source),
+        fx.movies(spark, folder),
+        target,
+        PrepareConfig(fx.MIN_USER_RATINGS, fx.MIN_ITEM_RATINGS),
+    )
+    names = {
+        "clean_report": ("total", "missing", "out_of_range", "kept", "removed"),
+        "filter_report": (
+            "ratings_before", "users_before", "items_before", "ratings_after", "users_after", "items_after", "removed"
+        ),
+    }
+    parts = []
+    for report, fields in names.items():
+        table = spark.read.schema(", ".join(f"{f} long" for f in fields)).json(f"{target}/{report}")
+        pairs = ", ".join(f"'{f}', double({f})" for f in fields)
+        parts.append(table.selectExpr(f"'{report}' as report", f"stack({len(fields)}, {pairs}) as (name, value)"))
+    shares = spark.read.schema("split string, share_pct double").json(f"{target}/split_shares")
+    parts.append(shares.selectExpr("'split_shares' as report", "split as name", "share_pct as value"))
+    for side, key, index in (("user", "userId", "user_idx"), ("item", "movieId", "item_idx")):
+        table = files.read_index(spark, target, side)
+        parts.append(table.selectExpr(f"'{side}_index' as report", f"string({key}) as name", f"double({index}) as value"))
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.union(part)
+    return _rounded(result)
+
+
 def _stored_splits(spark, folder):
     path = scratch_path(spark, "prepared")
     files.write_processed(fx.indexed(spark, folder), path)
@@ -459,6 +545,26 @@ def evaluate_job(spark, folder):
     return suite.select("metric", "segment", "k", F.col("value").isNotNull().alias("present"))
 
 
+def recommend_job(spark, folder):
+    """The batch job on a stored model without seen items: what each request gets.
+
+    Two requests name an id and a number beyond 32 bits.
+    """
+    path, model_path = _stored_splits(spark, folder), scratch_path(spark, "model")
+    files.write_movies(fx.movies(spark, folder), path)
+    files.write_index(indexing.item_index(fx.processed(spark, folder)), path, "item")
+    als.save_model(_model(fx.indexed(spark, folder)), model_path, [])
+    large = spark.createDataFrame([(1 << 40, 5), (0, 1 << 40)], "user_id long, num_recommendations long")
+    wanted = fx.requests(spark, folder).select(F.col("user_id").cast("long"), F.col("num_recommendations").cast("long"))
+    answers = durable(answer(spark, model_path, path, wanted.union(large), exclude_seen=True), "answers")
+    seen = files.read_splits(spark, path)["train"].select(
+        F.col("user_idx").alias("user_id"), "item_idx", F.lit(True).alias("seen")
+    ).distinct()
+    return answers.join(seen, ["user_id", "item_idx"], "left").groupBy("user_id", "status").agg(
+        F.count("item_idx").alias("n_items"), (F.count("seen") == 0).alias("none_seen")
+    )
+
+
 QUERIES: dict[str, Query] = {
     fn.__name__: fn
     for fn in (
@@ -499,10 +605,13 @@ QUERIES: dict[str, Query] = {
         top_active_users,
         top_rated_movies,
         explore_summary,
+        explore_summary_without_nan,
+        explore_tables,
         user_sample,
         random_users,
         topn_from_factors,
         topn_exclude_seen,
+        topn_bad_vectors,
         topn_clamped,
         topn_stars,
         topn_with_titles,
@@ -522,8 +631,11 @@ QUERIES: dict[str, Query] = {
         factor_first_mean,
         als_factor_info,
         als_prediction_keys,
+        als_score_check,
         als_topn_counts,
         prepare_job,
+        prepare_reports,
+        recommend_job,
         train_job,
         evaluate_job,
     )

@@ -65,16 +65,25 @@ def dirty_ratings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def movies(spark: SparkSession, folder: str) -> DataFrame:
-    """Parts as movies; the largest parts have no row, some others no genre."""
+    """Parts as movies, some without genre."""
     size = F.col("p_size")
     genres = F.when(size < 5, "(no genres listed)").when(size < 10, None).otherwise(F.col("p_type"))
     return (
         _table(spark, folder, "part")
-        .filter(size < 50)
-        .select(F.col("p_partkey").cast("int").alias("movieId"), F.col("p_name").alias("title"), genres.alias("genres"))
+        .select(
+            F.col("p_partkey").cast("int").alias("movieId"),
+            F.col("p_name").alias("title"),
+            genres.alias("genres"),
+        )
     )
 
 
+def titled_movies(spark: SparkSession, folder: str) -> DataFrame:
+    """``movies`` without the largest parts, so that some rated items have no title."""
+    large = _table(spark, folder, "part").filter(F.col("p_size") >= 50).select(F.col("p_partkey").alias("movieId"))
+    return movies(spark, folder).join(large, "movieId", "left_anti")
+
+
 def tags(spark: SparkSession, folder: str) -> DataFrame:
     return _table(spark, folder, "events").select(
         F.col("user_id").cast("int").alias("userId"),
@@ -126,6 +135,19 @@ def factors(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def flawed_factors(spark: SparkSession, folder: str) -> DataFrame:
+    """``factors`` with some vectors null, shortened or holding NaN or infinity."""
+    id, vector = F.col("id"), F.col("features")
+    first = F.when(id % 3 == 0, F.lit(float("nan"))).otherwise(F.lit(float("inf"))).cast("float")
+    flawed = (
+        F.when(id % 11 == 0, None)
+        .when(id % 13 == 0, F.slice(vector, 1, 5))
+        .when(id % 7 == 0, F.concat(F.array(first), F.slice(vector, 2, F.size(vector) - 1)))
+        .otherwise(vector)
+    )
+    return factors(spark, folder).select("id", flawed.alias("features"))
+
+
 def requests(spark: SparkSession, folder: str) -> DataFrame:
     """One request per customer; most customers have no factor vector."""
     return _table(spark, folder, "customer").select(

@@ -31,6 +31,13 @@ def items_of(counts: DataFrame) -> DataFrame:
     return counts.filter(F.col("side") == ITEM_SIDE).select("movieId", "n")
 
 
+def smaller_first(counts: DataFrame, users: DataFrame, items: DataFrame) -> list[tuple[str, DataFrame, str]]:
+    """``(side, table, key)`` of both sides, that of fewer keys in ``counts`` first."""
+    keys = {row["side"]: row["count"] for row in counts.groupBy("side").count().collect()}
+    sides = [(ITEM_SIDE, items, "movieId"), (USER_SIDE, users, "userId")]
+    return sorted(sides, key=lambda side: keys.get(side[0], 0))
+
+
 def active_users(ratings: DataFrame, min_ratings: int = 20) -> DataFrame:
     counts = ratings.groupBy("userId").agg(F.count("*").alias("n"))
     return counts.filter(F.col("n") >= min_ratings)
@@ -41,6 +48,20 @@ def active_items(ratings: DataFrame, min_ratings: int = 5) -> DataFrame:
     return counts.filter(F.col("n") >= min_ratings)
 
 
+def filter_report(before: DataFrame, after: DataFrame) -> DataFrame:
+    """One row: ratings, users and items before and after the activity filter, and ratings removed."""
+    sides = []
+    for name, ratings in (("before", before), ("after", after)):
+        per_side = rating_counts(ratings).agg(
+            F.coalesce(F.sum(F.when(F.col("side") == USER_SIDE, F.col("n"))), F.lit(0)).alias(f"ratings_{name}"),
+            F.count_if(F.col("side") == USER_SIDE).alias(f"users_{name}"),
+            F.count_if(F.col("side") == ITEM_SIDE).alias(f"items_{name}"),
+        )
+        sides.append(per_side.withColumn("one", F.lit(1)))
+    joined = sides[0].join(sides[1], "one").drop("one")
+    return joined.withColumn("removed", F.col("ratings_before") - F.col("ratings_after"))
+
+
 def filter_inactive(
     ratings: DataFrame, min_user_ratings: int = 20, min_item_ratings: int = 5
 ) -> DataFrame:
@@ -48,12 +69,14 @@ def filter_inactive(
 
     Both counts are taken before either filter, so a survivor may fall below its
     minimum. The counts are written once: the planner then knows their size and
-    broadcasts the small side of each semi-join, or shuffles both beyond that.
+    broadcasts the small side of each semi-join, or shuffles both beyond that. The
+    side of fewer keys comes first, so that fewer rows reach the other.
     """
     counts = durable(rating_counts(ratings), "rating-counts", partition_by="side")
     users = users_of(counts).filter(F.col("n") >= min_user_ratings)
     items = items_of(counts).filter(F.col("n") >= min_item_ratings)
     limits = hot_limits(counts, "side")
-    kept = split_join(ratings, users, "userId", limits.get(USER_SIDE), "left_semi")
-    kept = split_join(kept, items, "movieId", limits.get(ITEM_SIDE), "left_semi")
+    kept = ratings
+    for side, per_key, key in smaller_first(counts, users, items):
+        kept = split_join(kept, per_key, key, limits.get(side), "left_semi")
     return kept.select(*ratings.columns)

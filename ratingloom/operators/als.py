@@ -1,7 +1,6 @@
 """ALS training, scoring and storage on MLlib."""
 
 import json
-import math
 import time
 
 from pyspark.errors import AnalysisException
@@ -9,7 +8,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratingloom.operators.scoring import top_n_from_factors
+from ratingloom.operators.scoring import score_pairs, top_n_from_factors
 from ratingloom.session import durable, shared_folder
 from ratingloom.sources.files import write_json_record
 
@@ -26,30 +25,21 @@ DEFAULTS = {
     "implicitPrefs": False,
     "seed": 42,
     "checkpointInterval": 10,
+    # MLlib draws the first factors block by block, so these change the model.
+    "numUserBlocks": 10,
+    "numItemBlocks": 10,
     "intermediateStorageLevel": "MEMORY_AND_DISK",
     "finalStorageLevel": "MEMORY_AND_DISK",
 }
 
-# Ratings per factor block, and the range of the number of blocks. MLlib keeps
-# one buffer per (user block, item block) in each task, hence the upper end.
-_ROWS_PER_BLOCK = 2_000_000
-_MIN_BLOCKS, _MAX_BLOCKS = 10, 2_000
-
-
-def blocks_for(n_ratings: int) -> int:
-    return min(_MAX_BLOCKS, max(_MIN_BLOCKS, math.ceil(n_ratings / _ROWS_PER_BLOCK)))
-
-
 def fit_als(train: DataFrame, **params) -> tuple[ALSModel, dict]:
     """Train on ``train`` and return the model with its history entry.
 
-    ``params`` are MLlib ALS parameters and override ``DEFAULTS``. The number of
-    blocks follows the number of ratings unless given.
+    ``params`` are MLlib ALS parameters and override ``DEFAULTS``. Nothing follows
+    from the data: large inputs need more blocks, about one per two million
+    ratings, and as they change the model they are given, not guessed.
     """
     params = {**DEFAULTS, **params}
-    if "numUserBlocks" not in params or "numItemBlocks" not in params:
-        blocks = blocks_for(train.count())
-        params = {"numUserBlocks": blocks, "numItemBlocks": blocks, **params}
     context = train.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(train.sparkSession))
@@ -60,8 +50,8 @@ def fit_als(train: DataFrame, **params) -> tuple[ALSModel, dict]:
 
 
 def score(model: ALSModel, df: DataFrame) -> DataFrame:
-    """``df`` with ``prediction``; rows of unknown users or items are dropped."""
-    return model.transform(df)
+    """``df (user_idx, item_idx, ...)`` with ``prediction``; rows of unknown users or items are dropped."""
+    return score_pairs(df, model.userFactors, model.itemFactors)
 
 
 def top_n_all(model: ALSModel, n: int) -> DataFrame:
@@ -70,10 +60,17 @@ def top_n_all(model: ALSModel, n: int) -> DataFrame:
 
 
 def top_n_subset(model: ALSModel, users: DataFrame, n: int) -> DataFrame:
-    """Best ``n`` items of the given users; unknown users give no row."""
-    wanted = users.select(F.col("user_idx").alias("id"))
-    known = durable(model.userFactors.join(wanted, "id", "left_semi"), "wanted-factors")
-    return top_n_from_factors(known, model.itemFactors, n)
+    """Best ``n`` items of the given users; unknown users give no row.
+
+    With a column ``depth`` in ``users`` a user gets that many items, ``n`` at
+    most; the deepest of several counts.
+    """
+    if "depth" in users.columns:
+        wanted = users.groupBy(F.col("user_idx").alias("id")).agg(F.max("depth").alias("depth"))
+        known = model.userFactors.join(wanted, "id")
+    else:
+        known = model.userFactors.join(users.select(F.col("user_idx").alias("id")), "id", "left_semi")
+    return top_n_from_factors(durable(known, "wanted-factors"), model.itemFactors, n)
 
 
 def first_factor_mean(factors: DataFrame) -> DataFrame:
@@ -110,6 +107,8 @@ def load_model(spark: SparkSession, path: str) -> tuple[ALSModel, list[dict]]:
     model = ALSModel.load(path)
     try:
         row = spark.read.json(f"{path}_metadata").select("training_history").first()
-    except AnalysisException:
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
         row = None
     return model, json.loads(row[0]) if row else []

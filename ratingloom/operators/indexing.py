@@ -76,12 +76,17 @@ def _single_index(ratings: DataFrame, key: str, name: str) -> DataFrame:
     return _with_position(ordered, ordered).select(key, F.col("_pos").cast("int").alias(name), "n")
 
 
-def with_indices(ratings: DataFrame) -> DataFrame:
+def with_indices(ratings: DataFrame, indices: tuple[DataFrame, DataFrame, dict] | None = None) -> DataFrame:
     """Ratings with ``user_idx`` and ``item_idx`` by their own counts.
 
-    ``ratings`` should be a stored table, since it is read twice.
+    ``ratings`` should be a stored table, since it is read twice. ``indices`` are
+    those of ``dense_indices`` where they are at hand. The index of fewer keys is
+    joined first: it may fit a broadcast and then moves no rating.
     """
-    users, items, limits = dense_indices(ratings)
-    joined = split_join(ratings, users, "userId", limits.get(USER_SIDE))
-    joined = split_join(joined, items, "movieId", limits.get(ITEM_SIDE))
+    users, items, limits = indices or dense_indices(ratings)
+    sides = [(ITEM_SIDE, items, "movieId"), (USER_SIDE, users, "userId")]
+    sizes = {side: table.count() for side, table, _ in sides}
+    joined = ratings
+    for side, table, key in sorted(sides, key=lambda s: sizes[s[0]]):
+        joined = split_join(joined, table, key, limits.get(side))
     return joined.select(*ratings.columns, "user_idx", "item_idx")

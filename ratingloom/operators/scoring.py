@@ -1,84 +1,259 @@
 """Top-N recommendations from factor tables, and the batch request job."""
 
 import math
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ratingloom import schemas
 from ratingloom.functions import clamp_rating
 from ratingloom.operators.skew import hot_limit, split_join
 from ratingloom.session import durable
 
-# Upper sizes of one group: at rank 100 about 50 MB of vectors on each side.
-# Every vector travels once per block of the other side, so larger blocks mean
-# less shuffle.
-USERS_PER_CELL = 65536
-ITEMS_PER_SLICE = 65536
+# Bytes of vectors (as doubles) on each side of one block, and pairs in it. Every
+# vector travels once per block of the other side, so larger blocks mean less shuffle.
+BLOCK_BYTES = 64 * 1024 * 1024
+BLOCK_PAIRS = 4_000_000
 # Cells are not made smaller than this only to occupy more cores.
 MIN_CELL = 256
 MAX_TASKS = 100_000
 
 
+def _problem(rank: int) -> Column:
+    """Why a vector cannot be scored; null when it can."""
+    entries = F.exists("features", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return (
+        F.when(F.col("features").isNull(), "null")
+        .when(F.size("features") != rank, "length")
+        .when(entries, "not finite")
+    )
+
+
+def vector_rank(user_factors: DataFrame, item_factors: DataFrame) -> int:
+    """The most frequent vector length, of items where there are any; the smallest of equals."""
+    for factors in (item_factors, user_factors):
+        sizes = factors.filter(F.col("features").isNotNull()).select(F.size("features").alias("size"))
+        row = sizes.groupBy("size").count().orderBy(F.desc("count"), "size").first()
+        if row:
+            return row["size"]
+    return 0
+
+
+def rejected_factors(user_factors: DataFrame, item_factors: DataFrame, rank: int | None = None) -> DataFrame:
+    """Vectors that cannot be scored: ``side, id, problem`` (null, length, not finite)."""
+    rank = vector_rank(user_factors, item_factors) if rank is None else rank
+    sides = [
+        factors.select(F.lit(side).alias("side"), "id", _problem(rank).alias("problem"))
+        for side, factors in (("user", user_factors), ("item", item_factors))
+    ]
+    return sides[0].union(sides[1]).filter(F.col("problem").isNotNull())
+
+
+@dataclass(frozen=True)
+class _Grid:
+    """Users hashed into cells, items into slices; a cell of many pairs is divided further."""
+
+    cells: int
+    slices: int
+    rank: int
+
+    def cell(self, column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(self.cells)).cast("int").alias("cell")
+
+    def slice(self, column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(self.slices)).cast("int").alias("slice")
+
+
+def _numbers(parts: int | Column) -> Column:
+    last = F.lit(parts - 1) if isinstance(parts, int) else parts - 1
+    return F.explode(F.sequence(F.lit(0), last))
+
+
+def _checked(
+    user_factors: DataFrame, item_factors: DataFrame, rejects: str, users_per_cell: int | None, items_per_slice: int | None
+) -> tuple[DataFrame, DataFrame, _Grid]:
+    """Vectors fit for scoring and their grid. ``rejects``: ``fail`` or ``skip`` those that are not."""
+    if rejects not in ("fail", "skip"):
+        raise ValueError("rejects must be fail or skip")
+    rank = vector_rank(user_factors, item_factors)
+    problem = _problem(rank)
+    counts = [
+        f.agg(F.count("*").alias("n"), F.count_if(problem.isNotNull()).alias("bad")).first()
+        for f in (user_factors, item_factors)
+    ]
+    if rejects == "fail" and any(c["bad"] for c in counts):
+        raise ValueError(
+            f"{counts[0]['bad']} user and {counts[1]['bad']} item vectors are null, not finite or not of length "
+            f"{rank}; rejected_factors lists them, rejects='skip' leaves them out"
+        )
+    if any(c["bad"] for c in counts):
+        user_factors, item_factors = user_factors.filter(problem.isNull()), item_factors.filter(problem.isNull())
+    n_users, n_items = (c["n"] - c["bad"] for c in counts)
+    fit = max(BLOCK_BYTES // (8 * max(rank, 1)), 1)
+    cores = user_factors.sparkSession.sparkContext.defaultParallelism
+    slices = max(math.ceil(n_items / (items_per_slice or fit)), 1)
+    to_fill_cores = min(math.ceil(2 * cores / slices), math.ceil(n_users / MIN_CELL))
+    cells = max(math.ceil(n_users / (users_per_cell or fit)), to_fill_cores, 1)
+    return user_factors, item_factors, _Grid(cells, slices, rank)
+
+
+def _task_keys(spark: SparkSession, tasks: int) -> DataFrame:
+    """``task, key``: for each of ``tasks`` shuffle partitions a number that is hashed into it.
+
+    Hashing the block numbers themselves would leave a third of the tasks empty
+    and give others several blocks.
+    """
+    numbers = spark.range(math.ceil(tasks * (math.log(tasks + 1) + 12)))
+    task = F.pmod(F.hash("id"), F.lit(tasks)).alias("task")
+    return numbers.groupBy(task).agg(F.min("id").alias("key"))
+
+
+def _keyed(df: DataFrame, tasks: int, keys: DataFrame | None) -> DataFrame:
+    """``df`` with ``key``, by which block ``block`` gets a task of its own, or shares it evenly."""
+    if keys is None:
+        return df.withColumn("key", F.col("block"))
+    # At most MAX_TASKS rows.
+    joined = df.join(F.broadcast(keys), F.pmod("block", F.lit(tasks)) == F.col("task"), "left")
+    return joined.withColumn("key", F.coalesce("key", -1 - F.col("block"))).drop("task")
+
+
+def _block_product(users: DataFrame, items: DataFrame, blocks: int, kernel, schema) -> DataFrame:
+    """Cogroup both sides by ``block``, each block in a task of its own as far as there are tasks."""
+    tasks = min(max(blocks, 1), MAX_TASKS)
+    # With many blocks per task the hash alone spreads them well enough.
+    keys = _task_keys(users.sparkSession, tasks) if blocks <= MAX_TASKS else None
+    users, items = (_keyed(side, tasks, keys).repartition(tasks, "key") for side in (users, items))
+    return users.groupBy("key").cogroup(items.groupBy("key")).applyInArrow(kernel, schema)
+
+
 def top_n_from_factors(
     user_factors: DataFrame,
     item_factors: DataFrame,
     n: int,
     seen: DataFrame | None = None,
-    users_per_cell: int = USERS_PER_CELL,
-    items_per_slice: int = ITEMS_PER_SLICE,
+    users_per_cell: int | None = None,
+    items_per_slice: int | None = None,
+    pairs_per_block: int = BLOCK_PAIRS,
+    rejects: str = "fail",
 ) -> DataFrame:
     """The ``n`` best items of each user by dot product: ``RECOMMENDATIONS`` rows.
 
     A block matrix product on an equi-join: users are hashed into cells, items
-    into slices, and each (cell, slice) group is multiplied with NumPy in one
-    task, which returns at most ``n`` rows per user. Group sizes are bounded by
-    the two limits because ids are unique, so nothing is broadcast and no pair
-    is ever a row. Equal scores rank by item id. Pairs in
-    ``seen (user_idx, item_idx)`` are left out before ranking.
+    into slices, and each (cell, slice) block is multiplied with NumPy in one
+    task, which returns at most ``n`` rows per user, or as many as the user's
+    ``depth`` says where ``user_factors`` has that column. Vectors of a block
+    take ``BLOCK_BYTES`` on each side at most, unless the limits are given;
+    nothing is broadcast but one row per task, and no pair is ever a row. Equal
+    scores rank by item id.
+
+    Pairs in ``seen (user_idx, item_idx)`` are left out before ranking. A cell
+    with more than ``pairs_per_block`` of them in one slice is divided by users,
+    so a block holds about that many, or one user's pairs with one slice.
+
+    Vectors that are null, not finite or of another length stop the call with
+    their count; ``rejects="skip"`` leaves them out, and ``rejected_factors``
+    lists them.
     """
     if n < 1:
         raise ValueError("n must be positive")
-    n_users, n_items = user_factors.count(), item_factors.count()
-    cores = user_factors.sparkSession.sparkContext.defaultParallelism
-    slices = max(math.ceil(n_items / items_per_slice), 1)
-    to_fill_cores = min(math.ceil(2 * cores / slices), math.ceil(n_users / MIN_CELL))
-    cells = max(math.ceil(n_users / users_per_cell), to_fill_cores, 1)
-    # The work is the number of pairs, not the bytes by which AQE would merge tasks.
-    tasks = min(cells * slices, MAX_TASKS)
-
-    def hashed(column: str, parts: int):
-        return F.pmod(F.xxhash64(column), F.lit(parts)).cast("int")
-
-    def every(parts: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    user_factors, item_factors, grid = _checked(user_factors, item_factors, rejects, users_per_cell, items_per_slice)
+    depth = F.col("depth").cast("int") if "depth" in user_factors.columns else F.lit(n)
+    users = user_factors.select("id", F.lit(None).cast("int").alias("item"), "features", depth.alias("depth"), grid.cell("id"))
+    users = users.withColumn("slice", _numbers(grid.slices))
+    # Own names on each side: both may come from one table.
+    items = item_factors.select(
+        F.col("id").alias("item_id"), F.col("features").alias("vector"), grid.slice("id")
+    ).withColumn("cell", _numbers(grid.cells))
 
-    users = user_factors.select(
-        "id", F.lit(None).cast("int").alias("item"), "features", hashed("id", cells).alias("cell")
-    ).withColumn("slice", every(slices))
+    most = 1
     if seen is not None:
-        pairs = seen.select(F.col("user_idx").alias("id"), F.col("item_idx").alias("item")).distinct()
-        pairs = pairs.join(user_factors.select("id"), "id", "left_semi")
+        pairs = durable(
+            seen.select(F.col("user_idx").alias("id"), F.col("item_idx").alias("item")).distinct(), "seen-pairs"
+        ).select("id", "item", grid.cell("id"), grid.slice("item"))
+        crowded = pairs.groupBy("cell", "slice").agg(F.count("*").alias("n")).groupBy("cell").agg(F.max("n").alias("n"))
+        parts = durable(
+            crowded.filter(F.col("n") > pairs_per_block).select(
+                "cell", F.ceil(F.col("n") / pairs_per_block).cast("int").alias("parts")
+            ),
+            "crowded-cells",
+        )
+        most = parts.agg(F.max("parts")).first()[0] or 1
+        no_vector = F.lit(None).cast(user_factors.schema["features"].dataType).alias("features")
         users = users.unionByName(
-            pairs.select(
-                "id",
-                "item",
-                F.lit(None).cast(user_factors.schema["features"].dataType).alias("features"),
-                hashed("id", cells).alias("cell"),
-                hashed("item", slices).alias("slice"),
-            )
+            pairs.select("id", "item", no_vector, F.lit(None).cast("int").alias("depth"), "cell", "slice")
+        )
+    if most > 1:
+        divided = F.coalesce("parts", F.lit(1))
+        users = users.join(parts, "cell", "left").withColumn(
+            "part", F.pmod(F.xxhash64("id", F.lit(1)), divided).cast("int")
+        )
+        items = items.join(parts, "cell", "left").withColumn("part", _numbers(divided))
+    else:
+        users, items = users.withColumn("part", F.lit(0)), items.withColumn("part", F.lit(0))
+    block = (F.col("cell").cast("long") * grid.slices + F.col("slice")) * most + F.col("part")
+    left = users.select("id", "item", "features", "depth", block.alias("block"))
+    right = items.select("item_id", "vector", block.alias("block"))
+    best = _block_product(left, right, grid.cells * grid.slices * most, _top_kernel(n), schemas.RECOMMENDATIONS)
+    if grid.slices == 1:
+        return best
+    ranked = rank_top_n(best.drop("rank"), n)
+    if "depth" not in user_factors.columns:
+        return ranked
+    # Each slice gave a user as many rows as asked for; what the merge adds beyond goes.
+    depths = user_factors.select(F.col("id").alias("user_idx"), "depth")
+    return ranked.join(depths, "user_idx").filter(F.col("rank") <= F.col("depth")).drop("depth")
+
+
+def score_pairs(
+    rows: DataFrame,
+    user_factors: DataFrame,
+    item_factors: DataFrame,
+    pairs_per_block: int = BLOCK_PAIRS,
+    rejects: str = "fail",
+) -> DataFrame:
+    """``rows (user_idx, item_idx, ...)`` with ``prediction``, the dot product of their vectors.
+
+    The block product again, with rows instead of all pairs: a row moves once and
+    without vectors, a vector once per block of the other side. A block with more
+    than ``pairs_per_block`` rows is divided by a hash of the row, whatever user
+    or item is behind it. Rows of unknown users or items are dropped.
+    """
+    user_factors, item_factors, grid = _checked(user_factors, item_factors, rejects, None, None)
+    row = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    placed = rows.filter(F.col("user_idx").isNotNull() & F.col("item_idx").isNotNull()).select(
+        F.col("user_idx").alias("id"),
+        F.col("item_idx").alias("item"),
+        row.alias("row"),
+        F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]).alias("spread"),
+        grid.cell("user_idx"),
+        grid.slice("item_idx"),
+    )
+    crowded = placed.groupBy("cell", "slice").agg(F.count("*").alias("n"))
+    parts = durable(
+        crowded.select("cell", "slice", F.ceil(F.col("n") / pairs_per_block).cast("int").alias("parts")), "row-blocks"
+    )
+    most = parts.agg(F.max("parts")).first()[0] or 1
+    block = (F.col("cell").cast("long") * grid.slices + F.col("slice")) * most
+    # Blocks without rows are absent here, so no vector is sent to them.
+    users = user_factors.select("id", "features", grid.cell("id")).join(parts, "cell")
+    users = users.withColumn("part", _numbers(F.col("parts")))
+    items = item_factors.select(F.col("id").alias("item_id"), F.col("features").alias("vector"), grid.slice("id"))
+    items = items.join(parts, "slice").withColumn("part", _numbers(F.col("parts")))
+    placed = placed.join(parts, ["cell", "slice"]).withColumn("part", F.pmod("spread", F.col("parts")))
+    left = placed.select(
+        "id", "item", "row", F.lit(None).cast(user_factors.schema["features"].dataType).alias("features"),
+        (block + F.col("part")).alias("block"),
+    ).unionByName(
+        users.select(
+            "id", F.lit(None).cast("int").alias("item"), F.lit(None).cast(placed.schema["row"].dataType).alias("row"),
+            "features", (block + F.col("part")).alias("block"),
         )
-    # Own names on each side: both may come from one table.
-    items = item_factors.select(
-        F.col("id").alias("item_id"), F.col("features").alias("vector"), hashed("id", slices).alias("item_slice")
-    ).withColumn("item_cell", every(cells))
-    best = (
-        users.repartition(tasks, "cell", "slice")
-        .groupBy("cell", "slice")
-        .cogroup(items.repartition(tasks, "item_cell", "item_slice").groupBy("item_cell", "item_slice"))
-        .applyInArrow(_block_kernel(n), schemas.RECOMMENDATIONS)
     )
-    return best if slices == 1 else rank_top_n(best.drop("rank"), n)
+    right = items.select("item_id", "vector", (block + F.col("part")).alias("block"))
+    schema = T.StructType(rows.schema.fields + [T.StructField("prediction", T.FloatType())])
+    return _block_product(left, right, grid.cells * grid.slices * most, _score_kernel(rows.columns), schema)
 
 
 def rank_top_n(scores: DataFrame, n: int) -> DataFrame:
@@ -87,7 +262,7 @@ def rank_top_n(scores: DataFrame, n: int) -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
 
 
-def _block_kernel(n: int):
+def _top_kernel(n: int):
     # A closure, so tasks get it by value and need no copy of this package.
     def kernel(left, right):
         import numpy as np
@@ -115,6 +290,7 @@ def _block_kernel(n: int):
             return emit([])
         user_ids, users = vectors(wanted, "id", "features")
         item_ids, items = vectors(right, "item_id", "vector")
+        depths = wanted.sort_by("id")["depth"].to_numpy()
 
         pairs = left.filter(pc.is_valid(left["item"]))
         pair_user, known_user = positions(user_ids, pairs["id"].to_numpy())
@@ -152,17 +328,54 @@ def _block_kernel(n: int):
             order = np.lexsort((i, -score, u))
             u, i, score = u[order], i[order], score[order]
             rank = np.arange(len(u)) - np.searchsorted(u, u) + 1
-            top = rank <= n
+            top = rank <= np.minimum(n, depths[start + u])
             out.append((user_ids[start + u[top]], item_ids[i[top]], score[top], rank[top]))
         return emit(out)
 
     return kernel
 
 
-def title_map(processed: DataFrame, movies: DataFrame) -> DataFrame:
-    """``(item_idx, movieId, title)``; the title is null without a movie row."""
-    pairs = processed.select("movieId", "item_idx").distinct()
-    return pairs.join(movies.select("movieId", "title"), "movieId", "left").select(
+def _score_kernel(columns: list[str]):
+    # A closure, as above.
+    def kernel(left, right):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        def vectors(table, key, vector):
+            table = table.sort_by(key)
+            flat = table[vector].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+            ids = table[key].to_numpy()
+            return ids, flat.astype(np.float64).reshape(len(ids), -1)
+
+        def positions(ids, wanted):
+            at = np.minimum(np.searchsorted(ids, wanted), len(ids) - 1)
+            return at, ids[at] == wanted
+
+        has_row = pc.is_valid(left["item"])
+        rows, known_users = left.filter(has_row), left.filter(pc.invert(has_row))
+        if rows.num_rows == 0 or known_users.num_rows == 0 or right.num_rows == 0:
+            rows, prediction = rows.slice(0, 0), np.empty(0, dtype=np.float32)
+        else:
+            user_ids, users = vectors(known_users, "id", "features")
+            item_ids, items = vectors(right, "item_id", "vector")
+            user, known_user = positions(user_ids, rows["id"].to_numpy())
+            item, known_item = positions(item_ids, rows["item"].to_numpy())
+            known = known_user & known_item
+            rows, user, item = rows.filter(pa.array(known)), user[known], item[known]
+            prediction = np.empty(len(user), dtype=np.float32)
+            for start in range(0, len(user), 100_000):
+                part = slice(start, start + 100_000)
+                prediction[part] = (users[user[part]] * items[item[part]]).sum(axis=1)
+        fields = rows["row"].combine_chunks().flatten()
+        return pa.table(dict(zip(columns, fields)) | {"prediction": pa.array(prediction, pa.float32())})
+
+    return kernel
+
+
+def title_map(item_index: DataFrame, movies: DataFrame) -> DataFrame:
+    """``(item_idx, movieId, title)`` from ``item_index (movieId, item_idx)``; the title is null without a movie row."""
+    return item_index.join(movies.select("movieId", "title"), "movieId", "left").select(
         "item_idx", "movieId", "title"
     )
 
@@ -199,7 +412,8 @@ def recommend(
         raise ValueError(f"n must be between {low} and {high}")
     per_request = "num_recommendations" in requests.columns
     asked = F.col("num_recommendations") if per_request else F.lit(n)
-    requests = requests.withColumn("num_recommendations", F.coalesce(asked, F.lit(n)).cast("int"))
+    # Kept as wide as they come: a number or an id beyond 32 bits is a wrong request, not an error.
+    requests = requests.withColumn("num_recommendations", F.coalesce(asked, F.lit(n)).cast("long"))
 
     # Each user is scored once, however often it is asked for, and only as deep
     # as the longest list asked for.
@@ -211,7 +425,10 @@ def recommend(
         "wanted",
     )
     depth = wanted.agg(F.max("most")).first()[0] or low
-    known = durable(user_factors.join(wanted.filter("most is not null"), "id", "left_semi"), "wanted-factors")
+    # In a join the factors' 32-bit id widens to that of the requests.
+    deepest = wanted.filter("most is not null").select("id", F.col("most").cast("int").alias("depth"))
+    known = durable(user_factors.join(deepest, "id").select(*user_factors.columns, "depth"), "wanted-factors")
+    known = known.withColumn("id", F.col("id").cast("int"))
     top = top_n_from_factors(known, item_factors, depth, seen)
     if titles is not None:
         top = with_titles(top, titles)

@@ -17,7 +17,8 @@ _CTES = {
     "movies": """
         select cast(p_partkey as int) as movieId, p_name as title,
                case when p_size < 5 then '(no genres listed)' when p_size < 10 then null else p_type end as genres
-        from part where p_size < 50""",
+        from part""",
+    "titled": "select * from movies where movieId in (select p_partkey from part where p_size < 50)",
     "factors": "select cast(vec_id as int) as id, embedding as features from embeddings",
     "clean": "select * from ratings where rating >= 0.5 and rating <= 5.0",
     "clean_dirty": """
@@ -171,8 +172,8 @@ def _long(report: str, source: str, **values: str) -> str:
     )
 
 
-def _explore() -> str:
-    users, items = _COUNTS_PER_USER.format("dirty"), _COUNTS_PER_ITEM.format("dirty")
+def _explore(ratings: str) -> str:
+    users, items = _COUNTS_PER_USER.format(ratings), _COUNTS_PER_ITEM.format(ratings)
     spread = {
         "avg_ratings": "avg(n)",
         "std_ratings": "stddev_samp(n)",
@@ -193,7 +194,9 @@ def _explore() -> str:
     }
     values = {
         "avg_rating": "case when bool_or(isnan(rating)) then cast('nan' as double) else avg(cast(rating as double)) end",
-        "std_rating": "case when bool_or(isnan(rating)) then cast('nan' as double) else max(0.0) end",
+        # Without the filter the aggregate stops at a NaN, which the other branch covers.
+        "std_rating": "case when bool_or(isnan(rating)) then cast('nan' as double)"
+        " else stddev_samp(cast(rating as double)) filter (where not isnan(rating)) end",
         "min_rating": "min(cast(rating as double))",
         "max_rating": "max(cast(rating as double))",
     }
@@ -201,9 +204,9 @@ def _explore() -> str:
         (
             _long("table_counts", "select * from movies", movies="count(*)"),
             _long("table_counts", "select * from events", tags="count(*)"),
-            _long("totals", "select * from dirty", **totals),
-            _long("rating_stats", "select * from dirty", **values),
-            _long("missing_ratings", "select * from dirty", **missing),
+            _long("totals", f"select * from {ratings}", **totals),
+            _long("rating_stats", f"select * from {ratings}", **values),
+            _long("missing_ratings", f"select * from {ratings}", **missing),
             _long("user_activity_stats", users, **spread),
             _long("item_popularity_stats", items, **spread),
             _long("cold_users", users, **cold),
@@ -298,9 +301,20 @@ _QUERIES = {
         order by n desc, userId limit 10""",
     "top_rated_movies": f"""
         select c.movieId, title, n as num_ratings, round(a, 6) as avg_rating
-        from ({_COUNTS_PER_ITEM.format('ratings')}) c join movies m on c.movieId = m.movieId
+        from ({_COUNTS_PER_ITEM.format('ratings')}) c join titled m on c.movieId = m.movieId
         order by n desc, c.movieId limit 10""",
-    "explore_summary": _explore(),
+    "explore_summary": _explore("dirty"),
+    "explore_summary_without_nan": _explore("ratings"),
+    "explore_tables": f"""
+        select 'rating_distribution' as report, cast(null as int) as id, cast(rating as double) as rating, n
+        from (select rating, count(*) as n from ratings group by rating)
+        union all
+        select * from (select 'top_active_users', userId, round(a, 6), n
+                       from ({_COUNTS_PER_USER.format('ratings')}) order by n desc, userId limit 10)
+        union all
+        select * from (select 'top_rated_movies', c.movieId, round(a, 6), n
+                       from ({_COUNTS_PER_ITEM.format('ratings')}) c join movies m on c.movieId = m.movieId
+                       order by n desc, c.movieId limit 10)""",
     "user_sample": f"select distinct user_idx from test where {_sampled('user_idx', _TENTH)}",
     "random_users": """
         select id from factors
@@ -313,6 +327,15 @@ _QUERIES = {
             from scores s
             where not exists (select 1 from train t where t.user_idx = s.user_idx and t.item_idx = s.item_idx))
         where rank <= 20""",
+    "topn_bad_vectors": """
+        select r.*, n_rejected from (
+            select user_idx, item_idx, round(score, 6) as score,
+                   cast(row_number() over (partition by user_idx order by s.score desc, item_idx) as int) as rank
+            from scores s
+            where user_idx % 7 <> 0 and user_idx % 11 <> 0 and user_idx % 13 <> 0
+              and item_idx % 7 <> 0 and item_idx % 11 <> 0 and item_idx % 13 <> 0) r
+        cross join (select 2 * count(*) filter (id % 7 = 0 or id % 11 = 0 or id % 13 = 0) as n_rejected from factors)
+        where rank <= 20""",
     "topn_clamped": """
         select user_idx, item_idx, rank, round(least(5.0, greatest(0.5, 1 + 4 * score)), 6) as predicted_rating from recs""",
     "topn_stars": """
@@ -321,7 +344,7 @@ _QUERIES = {
         from (select *, least(5.0, greatest(0.5, 1 + 4 * score)) as p from recs)""",
     "topn_with_titles": """
         select user_idx, r.item_idx, rank, i.movieId, title
-        from recs r left join items i on r.item_idx = i.item_idx left join movies m on i.movieId = m.movieId""",
+        from recs r left join items i on r.item_idx = i.item_idx left join titled m on i.movieId = m.movieId""",
     "batch_status": """
         select cast(c_custkey as int) as user_id,
                case when id is null then 'user_not_found' else 'success' end as status
@@ -332,7 +355,7 @@ _QUERIES = {
                case when score is not null then round(least(5.0, greatest(0.5, score)), 6) end as predicted_rating, i.movieId, title
         from customer c left join factors f on c_custkey = f.id
         left join ranked r on r.user_idx = c_custkey and rank <= c_nationkey + 1
-        left join items i on r.item_idx = i.item_idx left join movies m on i.movieId = m.movieId""",
+        left join items i on r.item_idx = i.item_idx left join titled m on i.movieId = m.movieId""",
     "error_metrics": """
         select split, round(sqrt(avg((prediction - rating) * (prediction - rating))), 6) as rmse,
                round(avg(abs(prediction - rating)), 6) as mae, round(avg(prediction), 6) as avg_prediction,
@@ -372,10 +395,53 @@ _QUERIES = {
     "als_prediction_keys": """
         select user_idx, item_idx, timestamp, split from indexed
         where split <> 'train' and user_idx in (select user_idx from train) and item_idx in (select item_idx from train)""",
+    "als_score_check": """
+        select count(*) as n, true as as_transform, true as rmse_equal, true as mae_equal from indexed
+        where split <> 'train' and user_idx in (select user_idx from train) and item_idx in (select item_idx from train)""",
     "als_topn_counts": """
         select user_idx, least(10, n_items) as n, least(10, n_items) as n_items, cast(least(10, n_items) as int) as last_rank
         from (select distinct user_idx from train) cross join (select count(*) as n_items from popularity)""",
     "prepare_job": "select userId, movieId, rating, timestamp, user_idx, item_idx, split from indexed",
+    "prepare_reports": _long(
+        "clean_report",
+        "select * from dirty",
+        total="count(*)",
+        missing="count(*) filter (userId is null or movieId is null or rating is null or isnan(rating))",
+        kept="any_value((select count(*) from clean_dirty))",
+        out_of_range="count(*) filter (userId is not null and movieId is not null and rating is not null"
+        " and not isnan(rating)) - any_value((select count(*) from clean_dirty))",
+        removed="count(*) - any_value((select count(*) from clean_dirty))",
+    )
+    + " union all "
+    + _long(
+        "filter_report",
+        "select * from clean_dirty",
+        ratings_before="count(*)",
+        users_before="count(distinct userId)",
+        items_before="count(distinct movieId)",
+        ratings_after="any_value((select count(*) from processed))",
+        users_after="any_value((select count(distinct userId) from processed))",
+        items_after="any_value((select count(distinct movieId) from processed))",
+        removed="count(*) - any_value((select count(*) from processed))",
+    )
+    + """
+        union all
+        select 'split_shares', split, round(count(*) * 100 / (select count(*) from indexed), 6) from indexed group by split
+        union all
+        select 'user_index', cast(userId as varchar), cast(user_idx as double) from users
+        union all
+        select 'item_index', cast(movieId as varchar), cast(item_idx as double) from items""",
+    "recommend_job": """
+        with known as (select distinct user_idx from train), wanted as (
+            select cast(c_custkey as bigint) as user_id, c_nationkey + 1 as asked from customer
+            union all select 1099511627776, 5 union all select 0, 1099511627776),
+        seen as (select user_idx, count(distinct item_idx) as n_seen from train group by user_idx)
+        select user_id,
+               case when asked > 100 then 'invalid_request' when k.user_idx is null then 'user_not_found' else 'success' end as status,
+               cast(case when asked <= 100 and k.user_idx is not null
+                         then least(asked, (select count(*) from popularity) - n_seen) else 0 end as bigint) as n_items,
+               true as none_seen
+        from wanted left join known k on k.user_idx = user_id left join seen s on s.user_idx = user_id""",
     "train_job": f"""
         select metric, 'validation' as segment, cast(null as int) as k, true as present,
                cast(case when metric = 'num_predictions' then n end as double) as value
@@ -394,9 +460,11 @@ _QUERIES = {
 
 
 def _with_ctes(name: str, sql: str) -> str:
-    ctes = {**_ALL, **_pipeline("clean_dirty")} if name == "prepare_job" else _ALL
+    ctes = {**_ALL, **_pipeline("clean_dirty")} if name in ("prepare_job", "prepare_reports") else _ALL
     body = ",\n".join(f"{cte} as ({text})" for cte, text in ctes.items())
-    return f"with {body}\n{sql}"
+    # A query may bring tables of its own.
+    own = sql.lstrip()
+    return f"with {body},\n{own[5:]}" if own.startswith("with ") else f"with {body}\n{sql}"
 
 
 def oracle_sql() -> dict[str, str]:

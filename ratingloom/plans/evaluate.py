@@ -9,32 +9,49 @@ from pyspark.sql import functions as F
 from ratingloom.functions import hash_below
 from ratingloom.operators import als, metrics
 from ratingloom.operators.sampling import SEED
-from ratingloom.session import build_session, durable, temporary_tables, widen_shuffles
+from ratingloom.schemas import RANKING_KS
+from ratingloom.session import build_session, durable, temporary_tables, wide_shuffles
 from ratingloom.sources import files
 
 RANKING_SAMPLE, CATALOG_SAMPLE, COVERAGE_K = 0.1, 0.05, 100
 
 
+def users_to_score(splits: dict[str, DataFrame], ranking_sample: float, catalog_sample: float) -> DataFrame:
+    """``user_idx, depth``: how many items each sampled user needs for all metrics.
+
+    Users of the coverage sample need ``COVERAGE_K``, those of the ranking and
+    popularity samples the largest k of the ranking metrics.
+    """
+
+    def sampled(split: str, share: float, depth: int) -> DataFrame:
+        users = splits[split].select("user_idx").filter(hash_below(F.col("user_idx"), share, SEED))
+        return users.select("user_idx", F.lit(depth).alias("depth"))
+
+    ranked = sampled("test", max(ranking_sample, catalog_sample), max(RANKING_KS))
+    covered = sampled("train", catalog_sample, COVERAGE_K)
+    return ranked.union(covered).groupBy("user_idx").agg(F.max("depth").alias("depth"))
+
+
 def evaluate(
     model: ALSModel,
     splits: dict[str, DataFrame],
     ranking_sample: float = RANKING_SAMPLE,
     catalog_sample: float = CATALOG_SAMPLE,
+    recs: DataFrame | None = None,
 ) -> DataFrame:
-    """Long metrics table; sampled users are scored once for all metrics."""
+    """Long metrics table; sampled users are scored once for all metrics.
+
+    ``recs`` are lists that hold at least those of ``users_to_score``.
+    """
     train, validation, test = (splits[name] for name in files.SPLITS)
     held_out = validation.withColumn("split", F.lit("validation")).union(
         test.withColumn("split", F.lit("test"))
     )
     predictions = durable(als.score(model, held_out), "predictions")
 
-    users = (
-        test.select("user_idx")
-        .filter(hash_below(F.col("user_idx"), max(ranking_sample, catalog_sample), SEED))
-        .union(train.select("user_idx").filter(hash_below(F.col("user_idx"), catalog_sample, SEED)))
-        .distinct()
-    )
-    recs = durable(als.top_n_subset(model, users, COVERAGE_K), "recs")
+    if recs is None:
+        users = users_to_score(splits, ranking_sample, catalog_sample)
+        recs = durable(als.top_n_subset(model, users, COVERAGE_K), "recs")
     return metrics.evaluation_suite(
         predictions,
         recs,
@@ -56,8 +73,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session("evaluate")
     model, _ = als.load_model(spark, args.model_path)
     splits = files.read_splits(spark, args.data_dir)
-    widen_shuffles(*splits.values())
-    with temporary_tables(spark):
+    with wide_shuffles(files.read_processed(spark, args.data_dir)), temporary_tables(spark):
         files.write_json_record(evaluate(model, splits), args.output)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ratingloom.operators import profiling as p
 from ratingloom.operators.cleaning import missing_genres
-from ratingloom.session import build_session, durable, temporary_tables, widen_shuffles
+from ratingloom.session import build_session, durable, temporary_tables, wide_shuffles
 from ratingloom.sources import files
 
 
@@ -44,8 +44,7 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = build_session("explore")
     ratings = files.read_ratings_csv(spark, args.ratings)
-    widen_shuffles(ratings)
-    with temporary_tables(spark):
+    with wide_shuffles(ratings), temporary_tables(spark):
         report = explore(
             ratings,
             files.read_movies_csv(spark, args.movies),

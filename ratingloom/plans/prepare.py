@@ -5,12 +5,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from ratingloom.operators.activity import filter_inactive
-from ratingloom.operators.cleaning import clean_ratings
-from ratingloom.operators.indexing import with_indices
+from ratingloom.operators.activity import filter_inactive, filter_report
+from ratingloom.operators.cleaning import clean_ratings, clean_report
+from ratingloom.operators.indexing import dense_indices, with_indices
 from ratingloom.operators.profiling import dataset_statistics
-from ratingloom.operators.splitting import with_split
-from ratingloom.session import build_session, durable, temporary_tables, widen_shuffles
+from ratingloom.operators.splitting import split_shares, with_split
+from ratingloom.session import build_session, durable, temporary_tables, wide_shuffles
 from ratingloom.sources import files
 
 
@@ -23,22 +23,30 @@ class PrepareConfig:
 
 
 def prepare(ratings: DataFrame, movies: DataFrame, folder: str, config: PrepareConfig = PrepareConfig()) -> None:
-    """Write ``ratings_processed`` (by split), ``movies`` and ``dataset_stats``.
+    """Write ``ratings_processed`` (by split), both indices, ``movies`` and the reports.
 
-    Text is parsed once; what several passes need is stored in between.
+    Reports: ``dataset_stats``, ``clean_report``, ``filter_report`` and
+    ``split_shares``. What several passes need is stored in between.
     """
     spark = ratings.sparkSession
-    widen_shuffles(ratings)
-    with temporary_tables(spark):
-        cleaned = durable(clean_ratings(ratings), "cleaned")
+    with wide_shuffles(ratings), temporary_tables(spark):
+        raw = durable(ratings, "raw")
+        files.write_json_record(clean_report(raw), f"{folder}/clean_report")
+        cleaned = durable(clean_ratings(raw), "cleaned")
         active = durable(
             filter_inactive(cleaned, config.min_user_ratings, config.min_item_ratings), "active"
         )
-        indexed = with_split(with_indices(active), config.train_ratio, config.val_ratio)
+        files.write_json_record(filter_report(cleaned, active), f"{folder}/filter_report")
+        users, items, limits = dense_indices(active)
+        files.write_index(users, folder, "user")
+        files.write_index(items, folder, "item")
+        stored = files.read_index(spark, folder, "user"), files.read_index(spark, folder, "item"), limits
+        indexed = with_split(with_indices(active, stored), config.train_ratio, config.val_ratio)
         files.write_processed(indexed, folder)
-    files.write_movies(movies, folder)
-    stats = dataset_statistics(files.read_processed(spark, folder))
-    files.write_json_record(stats, f"{folder}/dataset_stats")
+        files.write_movies(movies, folder)
+        processed = files.read_processed(spark, folder, with_split=True)
+        files.write_json_record(split_shares(processed), f"{folder}/split_shares")
+        files.write_json_record(dataset_statistics(processed.drop("split")), f"{folder}/dataset_stats")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -49,6 +57,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--output", required=True)
     parser.add_argument("--min-user-ratings", type=int, default=defaults.min_user_ratings)
     parser.add_argument("--min-item-ratings", type=int, default=defaults.min_item_ratings)
+    parser.add_argument("--train-ratio", type=float, default=defaults.train_ratio)
+    parser.add_argument("--val-ratio", type=float, default=defaults.val_ratio)
     args = parser.parse_args(argv)
 
     spark = build_session("prepare")
@@ -56,7 +66,7 @@ def main(argv: list[str] | None = None) -> None:
         files.read_ratings_csv(spark, args.ratings),
         files.read_movies_csv(spark, args.movies),
         args.output,
-        PrepareConfig(args.min_user_ratings, args.min_item_ratings),
+        PrepareConfig(args.min_user_ratings, args.min_item_ratings, args.train_ratio, args.val_ratio),
     )
 
 

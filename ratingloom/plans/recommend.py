@@ -3,18 +3,17 @@
 import argparse
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ratingloom.operators import als
 from ratingloom.operators.scoring import recommend, title_map
-from ratingloom.session import build_session, temporary_tables, widen_shuffles
+from ratingloom.session import build_session, temporary_tables, wide_shuffles
 from ratingloom.sources import files
 
 
 def answer(spark, model_path: str, data_dir: str, requests: DataFrame, n: int = 10, exclude_seen: bool = False) -> DataFrame:
     """Ranked, clamped and titled answers to ``requests``; ids are dense user ids."""
     model, _ = als.load_model(spark, model_path)
-    titles = title_map(files.read_processed(spark, data_dir), files.read_movies_parquet(spark, data_dir))
+    titles = title_map(files.read_index(spark, data_dir, "item"), files.read_movies_parquet(spark, data_dir))
     seen = files.read_splits(spark, data_dir)["train"] if exclude_seen else None
     return recommend(requests, model.userFactors, model.itemFactors, titles, n, seen)
 
@@ -30,9 +29,9 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
 
     spark = build_session("recommend")
-    requests = spark.read.parquet(args.requests).withColumn("user_id", F.col("user_id").cast("int"))
-    widen_shuffles(requests, files.read_processed(spark, args.data_dir))
-    with temporary_tables(spark):
+    requests = spark.read.parquet(args.requests)
+    inputs = [requests] + ([files.read_processed(spark, args.data_dir)] if args.exclude_seen else [])
+    with wide_shuffles(*inputs), temporary_tables(spark):
         answers = answer(spark, args.model_path, args.data_dir, requests, args.n, args.exclude_seen)
         answers.write.mode("overwrite").parquet(args.output)
 

@@ -46,6 +46,22 @@ INDEXED = T.StructType(
     ]
 )
 
+USER_INDEX = T.StructType(
+    [
+        T.StructField("userId", T.IntegerType()),
+        T.StructField("user_idx", T.IntegerType()),
+        T.StructField("n", T.LongType()),
+    ]
+)
+
+ITEM_INDEX = T.StructType(
+    [
+        T.StructField("movieId", T.IntegerType()),
+        T.StructField("item_idx", T.IntegerType()),
+        T.StructField("n", T.LongType()),
+    ]
+)
+
 FACTORS = T.StructType(
     [
         T.StructField("id", T.IntegerType()),

@@ -5,6 +5,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 _BYTES_PER_TASK = 256 * 1024 * 1024
 _MAX_SHUFFLE_TASKS = 50_000
 
-# Paths written by ``durable`` in the open ``temporary_tables`` blocks.
-_open_blocks: list[list[str]] = []
+# Paths written by ``durable`` in the open ``temporary_tables`` block of this thread's job.
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
 
 def build_session(app_name: str, master: str | None = None, **conf: str) -> SparkSession:
@@ -34,17 +35,25 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
     return builder.getOrCreate()
 
 
-def widen_shuffles(*inputs: DataFrame) -> None:
-    """Raise the session's shuffle width to the size of ``inputs``; AQE may merge tasks again.
+@contextmanager
+def wide_shuffles(*inputs: DataFrame) -> Iterator[None]:
+    """Shuffle width for the size of ``inputs`` in this block; AQE may merge tasks again.
 
-    Uses the planner's size of the input files and runs no job.
+    Uses the planner's size of the input files and runs no job. Name each table
+    once: the size of a filtered table is that of the whole. The session's own
+    width is back when the block ends.
     """
     spark = inputs[0].sparkSession
+    own = spark.conf.get("spark.sql.shuffle.partitions")
     plans = [df._jdf.queryExecution().optimizedPlan() for df in inputs]
     size = sum(int(str(plan.stats().sizeInBytes())) for plan in plans)
     wanted = min(math.ceil(size / _BYTES_PER_TASK), _MAX_SHUFFLE_TASKS)
-    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    try:
+        if wanted > int(own):
+            spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", own)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -76,8 +85,9 @@ def durable(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    if _open_blocks:
-        _open_blocks[-1].append(path)
+    written = _written.get()
+    if written is not None:
+        written.append(path)
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(partition_by)
@@ -89,14 +99,15 @@ def durable(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
 def temporary_tables(spark: SparkSession) -> Iterator[None]:
     """Delete the tables that ``durable`` writes in this block when it ends.
 
-    For jobs: results must be written before the end of the block.
+    For jobs: results must be written before the end of the block. Jobs in other
+    threads keep theirs.
     """
     written: list[str] = []
-    _open_blocks.append(written)
+    token = _written.set(written)
     try:
         yield
     finally:
-        _open_blocks.remove(written)
+        _written.reset(token)
         for name in written:
             path = spark._jvm.org.apache.hadoop.fs.Path(name)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -48,8 +48,9 @@ def _processed_with_split(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(layout).parquet(f"{folder}/ratings_processed")
 
 
-def read_processed(spark: SparkSession, folder: str) -> DataFrame:
-    return _processed_with_split(spark, folder).drop("split")
+def read_processed(spark: SparkSession, folder: str, with_split: bool = False) -> DataFrame:
+    table = _processed_with_split(spark, folder)
+    return table if with_split else table.drop("split")
 
 
 def read_splits(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -58,6 +59,15 @@ def read_splits(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: table.filter(F.col("split") == name).drop("split") for name in SPLITS}
 
 
+def write_index(index: DataFrame, folder: str, side: str) -> None:
+    """``user`` or ``item`` index: source id, dense id and number of ratings."""
+    index.write.mode("overwrite").parquet(f"{folder}/{side}_index")
+
+
+def read_index(spark: SparkSession, folder: str, side: str) -> DataFrame:
+    return spark.read.schema(schemas.USER_INDEX if side == "user" else schemas.ITEM_INDEX).parquet(f"{folder}/{side}_index")
+
+
 def write_movies(movies: DataFrame, folder: str) -> None:
     movies.write.mode("overwrite").parquet(f"{folder}/movies")
 

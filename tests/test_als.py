@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ratingloom.functions import dot
-from ratingloom.operators import als
+from ratingloom.operators import als, scoring
 
 REG = 0.1
 
@@ -96,7 +96,31 @@ def test_implicit_feedback_is_accepted(train):
     assert model.rank == 2 and history["params"]["implicitPrefs"] is True
 
 
-def test_blocks_grow_with_the_data():
-    assert als.blocks_for(0) == 10
-    assert als.blocks_for(10**8) == 50
-    assert als.blocks_for(10**12) == 2000
+def test_blocks_are_parameters_and_change_the_model(train, model):
+    _, history = als.fit_als(train, rank=4, maxIter=1)
+    assert (history["params"]["numUserBlocks"], history["params"]["numItemBlocks"]) == (10, 10)
+    # Three times the rows give the same model settings; other blocks give another model.
+    _, history = als.fit_als(train.union(train).union(train), rank=4, maxIter=1)
+    assert (history["params"]["numUserBlocks"], history["params"]["numItemBlocks"]) == (10, 10)
+    other, _ = als.fit_als(train, rank=4, maxIter=6, regParam=REG, numUserBlocks=3, numItemBlocks=3)
+    same, _ = als.fit_als(train, rank=4, maxIter=6, regParam=REG)
+    assert vectors(other.userFactors)[0] == pytest.approx(vectors(other.userFactors)[0])
+    assert np.allclose(vectors(same.userFactors)[0], vectors(model.userFactors)[0])
+    assert not np.allclose(vectors(other.userFactors)[0], vectors(model.userFactors)[0])
+
+
+@pytest.mark.parametrize("pairs_per_block", [1, 7, 10**6])
+def test_block_scoring_equals_transform(spark, train, model, pairs_per_block):
+    unknown = spark.createDataFrame([(999, 0, 1.0), (0, 999, 1.0), (None, 0, 1.0), (0, None, 1.0)], train.schema)
+    rows = train.union(train.limit(5)).union(unknown)
+    ours = scoring.score_pairs(rows, model.userFactors, model.itemFactors, pairs_per_block)
+    expected = {(r.user_idx, r.item_idx): r.prediction for r in model.transform(train).collect()}
+    got = ours.collect()
+    assert len(got) == train.count() + 5
+    assert ours.columns == [*rows.columns, "prediction"]
+    assert all(abs(r.prediction - expected[r.user_idx, r.item_idx]) < 1e-5 for r in got)
+
+
+def test_no_vector_rides_with_a_row(train, model):
+    plan = als.score(model, train)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan.split("FlatMapCoGroupsInArrow")[0]

@@ -47,18 +47,17 @@ def test_temporary_tables_are_deleted_and_others_kept(spark):
 def test_shuffle_width_follows_the_input_size(spark, monkeypatch):
     width = spark.conf.get("spark.sql.shuffle.partitions")
     table = session.durable(spark.range(100_000), "numbers")
-    try:
-        session.widen_shuffles(table)
+    with session.wide_shuffles(table):
         assert spark.conf.get("spark.sql.shuffle.partitions") == width
-        monkeypatch.setattr(session, "_BYTES_PER_TASK", 10_000)
-        session.widen_shuffles(table)
+    monkeypatch.setattr(session, "_BYTES_PER_TASK", 10_000)
+    with session.wide_shuffles(table):
         assert int(spark.conf.get("spark.sql.shuffle.partitions")) > int(width)
-        monkeypatch.setattr(session, "_MAX_SHUFFLE_TASKS", 500)
-        monkeypatch.setattr(session, "_BYTES_PER_TASK", 1)
-        session.widen_shuffles(table)
+    monkeypatch.setattr(session, "_MAX_SHUFFLE_TASKS", 500)
+    monkeypatch.setattr(session, "_BYTES_PER_TASK", 1)
+    with pytest.raises(RuntimeError), session.wide_shuffles(table):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "500"
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", width)
+        raise RuntimeError
+    assert spark.conf.get("spark.sql.shuffle.partitions") == width
 
 
 @pytest.fixture(scope="module")
@@ -109,6 +108,12 @@ def test_jobs_end_to_end(spark, raw, tmp_path):
     assert first.keys() == again.keys()
     assert all(first[m] == pytest.approx(again[m]) for m in first)
 
+    clean = spark.read.json(f"{data}/clean_report").first()
+    assert (clean.total, clean.out_of_range, clean.missing, clean.kept) == (1202, 1, 1, 1200)
+    assert spark.read.json(f"{data}/filter_report").first().removed == 0
+    assert {r.split for r in spark.read.json(f"{data}/split_shares").collect()} == {"train", "validation", "test"}
+    assert files.read_index(spark, data, "user").count() == 60
+
     spark.createDataFrame([(0,), (59,), (700,)], "user_id long").write.parquet(str(tmp_path / "requests"))
     recommend.main(["--data-dir", data, "--model-path", model, "--requests", str(tmp_path / "requests"), "--output", f"{out}/recs", "-n", "3", "--exclude-seen"])
     rows = spark.read.parquet(f"{out}/recs").collect()

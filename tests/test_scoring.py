@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ratingloom.operators import scoring
 from ratingloom.schemas import FACTORS
@@ -50,6 +51,59 @@ def test_seen_pairs_are_left_out_before_ranking(spark, matrices, sizes):
     assert ranks(top) == brute_force(users, items, 10, pairs | {(0, 0)})
 
 
+def test_crowded_cells_are_divided(spark, matrices):
+    users, items = matrices
+    # One user has seen nearly everything, two others much.
+    pairs = {(5, i) for i in range(88)} | {(u, i) for u in (6, 7) for i in range(0, 90, 2)}
+    seen = spark.createDataFrame(sorted(pairs), "user_idx int, item_idx int")
+    for sizes in ({"users_per_cell": 100}, {"users_per_cell": 20, "items_per_slice": 40}):
+        top = scoring.top_n_from_factors(factors(spark, users), factors(spark, items), 10, seen, pairs_per_block=10, **sizes)
+        assert ranks(top) == brute_force(users, items, 10, pairs)
+
+
+def test_depth_per_user(spark, matrices):
+    users, items = matrices
+    deep = factors(spark, users).withColumn("depth", F.col("id") % 4 + 1)
+    for sizes in ({}, {"items_per_slice": 11}):
+        top = scoring.top_n_from_factors(deep, factors(spark, items), 4, **sizes)
+        assert ranks(top) == {r for r in brute_force(users, items, 4) if r[2] <= r[0] % 4 + 1}
+
+
+BAD = ([float("nan")] * 5, [float("inf")] + [0.0] * 4, [1.0], None, [None] * 5)
+
+
+@pytest.mark.parametrize("bad", BAD)
+@pytest.mark.parametrize("side", ["user", "item"])
+def test_bad_vectors_are_reported_and_cost_nobody_else(spark, matrices, bad, side):
+    users, items = matrices
+    spoiled = spark.createDataFrame([(7, bad)], FACTORS)
+    sides = {"user": factors(spark, users), "item": factors(spark, items)}
+    sides[side] = sides[side].filter("id <> 7").union(spoiled)
+    with pytest.raises(ValueError, match=f"{int(side == 'user')} user and {int(side == 'item')} item"):
+        scoring.top_n_from_factors(sides["user"], sides["item"], 5)
+    rejected = scoring.rejected_factors(sides["user"], sides["item"]).collect()
+    assert [(r.side, r.id) for r in rejected] == [(side, 7)]
+    left = {(u, i) for u in range(60) for i in range(90) if (u if side == "user" else i) == 7}
+    top = scoring.top_n_from_factors(sides["user"], sides["item"], 5, rejects="skip")
+    assert ranks(top) == {r for r in brute_force(users, items, 5, left) if r[0] != 7 or side == "item"}
+
+
+@pytest.mark.parametrize("blocks", [1, 16, 200, 1000])
+def test_every_block_has_its_own_task(spark, blocks):
+    keys = scoring._task_keys(spark, blocks)
+    numbers = spark.range(blocks).withColumnRenamed("id", "block")
+    placed = scoring._keyed(numbers, blocks, keys).repartition(blocks, "key").select(F.spark_partition_id().alias("p"))
+    sizes = [r["count"] for r in placed.groupBy("p").count().collect()]
+    assert len(sizes) >= 0.99 * blocks and max(sizes) <= 2
+
+
+def test_requests_beyond_32_bits(spark):
+    users, items = factors(spark, [[3.0]]), factors(spark, [[1.0]])
+    requests = spark.createDataFrame([(1 << 40, 2), (0, 1 << 40), (0, 1)], "user_id long, num_recommendations long")
+    got = sorted((r.user_id, r.status) for r in scoring.recommend(requests, users, items).collect())
+    assert got == [(0, "invalid_request"), (0, "success"), (1 << 40, "user_not_found")]
+
+
 def test_all_scores_equal(spark):
     zero = np.zeros((3, 4))
     top = scoring.top_n_from_factors(factors(spark, zero), factors(spark, zero, [9, 4, 6]), 2)
@@ -64,9 +118,9 @@ def test_empty_sides(spark):
 
 def test_titles_follow_the_item_or_are_null(spark):
     recs = spark.createDataFrame([(1, 0, 2.0, 1), (1, 1, 1.0, 2), (1, 7, 0.5, 3)], "user_idx int, item_idx int, score double, rank int")
-    processed = spark.createDataFrame([(100, 0), (100, 0), (101, 1)], "movieId int, item_idx int")
+    index = spark.createDataFrame([(100, 0, 2), (101, 1, 1)], "movieId int, item_idx int, n long")
     movies = spark.createDataFrame([(100, "A")], "movieId int, title string")
-    got = {(r.item_idx, r.movieId, r.title) for r in scoring.with_titles(recs, scoring.title_map(processed, movies)).collect()}
+    got = {(r.item_idx, r.movieId, r.title) for r in scoring.with_titles(recs, scoring.title_map(index, movies)).collect()}
     assert got == {(0, 100, "A"), (1, 101, None), (7, None, None)}
 
 
