@@ -5,14 +5,17 @@ the first spreads the shingles, the second is applied after a circular shift by
 k for coordinate k (Li and Li, 2022). Bands of five coordinates out of 200 make
 buckets; a pair of similarity 0.8 shares none with probability 1.3e-7.
 
-Equal sets are one class from the start. Then every class is compared with the
-smallest class it shares a bucket with; what remains are pairs of different
-components inside a bucket, whose signatures are compared in blocks of bounded
-size. All links are confirmed on the full sets. So a group of copies of any size
-never becomes all its pairs, and no link between different components is lost.
+Equal sets are one class from the start. Signatures that agree in 130 of 200
+coordinates, compared inside the buckets, make families: first every class with
+the smallest class of its buckets, then what still differs inside a bucket, in
+tiles of bounded size, each of which returns a forest and not its pairs. A family
+holds every link of its members. Their full sets meet once, in tiles again, and a
+search from set to set that drops what it has reached links them exactly. So a
+group of copies of any size never becomes all its pairs, and no link between
+different components is lost.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,10 +33,10 @@ SHINGLE = 4
 BANDS, ROWS = 40, 5
 # Links have 100 * intersection >= SIMILARITY * union.
 SIMILARITY = 80
-# Agreeing coordinates, of 200, below which a pair of similarity 0.8 cannot be (seven standard deviations).
-AGREEING = 120
-# Members of a bucket compared in one block.
-TILE = 2048
+# Agreeing coordinates, of 200, that a pair of similarity 0.8 misses by five standard deviations.
+AGREEING = 130
+# Members of a bucket or family, and shingles of a family, on one side of a tile.
+TILE, TILE_SHINGLES = 2048, 1 << 21
 # Shingles hashed at once; the arrays stay in the processor's cache.
 _RUN = 1 << 15
 # Text held at once, in characters.
@@ -165,60 +168,102 @@ def _sets_of(wanted: Filter):
     return sets
 
 
-def _verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs ``(a, b)`` whose full sets are similar enough."""
-    pairs = durable(pairs, "minhash-pairs")
-    wanted = durable(pairs.select("a").union(pairs.select("b")).distinct().toDF("doc_id"), "minhash-wanted")
-    # The filter only spares sets that no pair names; the join decides.
-    sets = docs.mapInArrow(_sets_of(build_filter(wanted)), "doc_id long, shingles array<long>")
-    sets = sets.join(wanted, "doc_id", "left_semi")
-    both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
-    shared = both.select(
-        "a",
-        "b",
-        F.size(F.array_intersect("set_a", "set_b")).alias("shared"),
-        (F.size("set_a") + F.size("set_b")).alias("sizes"),
-    )
-    return shared.filter(100 * F.col("shared") >= SIMILARITY * (F.col("sizes") - F.col("shared"))).select("a", "b")
-
-
-def _across(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Candidate pairs of different components; frames come sorted by bucket and tile."""
-
-    def pairs(group: pd.DataFrame) -> list[tuple[int, int]]:
-        ids, component = group["doc_id"].to_numpy(), group["component"].to_numpy()
-        side, i, j = group["side"].to_numpy(), group["i"].iat[0], group["j"].iat[0]
-        codes = np.frombuffer(b"".join(group["code"]), dtype=np.uint8).reshape(len(ids), -1)
-        left = np.flatnonzero(side == i)
-        right = np.flatnonzero(side == j)
-        out = []
-        for at in left:
-            others = right[component[right] != component[at]]
-            if i == j:
-                others = others[others > at]
-            alike = (codes[others] == codes[at]).sum(axis=1)
-            out += [(ids[at], ids[o]) for o in others[alike >= AGREEING]]
-        return out
+def _alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs ``(a, b)`` whose codes agree often enough."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        left, right = (
+            np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, -1)
+            for i in (2, 3)
+        )
+        yield batch.select([0, 1]).filter(pa.array((left == right).sum(axis=1) >= AGREEING))
+
+
+def _by_tile(forest: Callable[[pd.DataFrame], list[tuple[int, int]]]):
+    """Run ``forest`` on every whole tile of frames sorted by ``key, i, j``."""
 
     def emit(whole: pd.DataFrame) -> pd.DataFrame:
-        found = set()
         keys = whole[["key", "i", "j"]].to_numpy()
         cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        found = set()
         for part in np.split(np.arange(len(whole)), cuts):
             if len(part) > 1:
-                found.update((min(p), max(p)) for p in pairs(whole.iloc[part]))
+                found.update(forest(whole.iloc[part]))
         return pd.DataFrame(sorted(found), columns=["a", "b"], dtype="int64")
 
-    held = None
-    for frame in frames:
-        held = frame if held is None else pd.concat([held, frame], ignore_index=True)
-        last = (held[["key", "i", "j"]].to_numpy() == held[["key", "i", "j"]].to_numpy()[-1]).all(axis=1)
-        done = held[~last]
-        if len(done):
-            yield emit(done)
-        held = held[last].reset_index(drop=True)
-    if held is not None and len(held):
-        yield emit(held)
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for frame in frames:
+            held = frame if held is None else pd.concat([held, frame], ignore_index=True)
+            if not len(held):
+                continue
+            keys = held[["key", "i", "j"]].to_numpy()
+            last = (keys == keys[-1]).all(axis=1)
+            if not last.all():
+                yield emit(held[~last])
+                held = held[last].reset_index(drop=True)
+        if held is not None and len(held):
+            yield emit(held)
+
+    return run
+
+
+def _code_forest(tile: pd.DataFrame) -> list[tuple[int, int]]:
+    """Edges that join the components of a tile whose codes are alike."""
+    ids, component = tile["doc_id"].to_numpy(), tile["component"].to_numpy().copy()
+    codes = np.frombuffer(b"".join(tile["code"]), dtype=np.uint8).reshape(len(ids), -1)
+    edges = []
+    for at in range(len(ids)):
+        others = np.flatnonzero(component != component[at])
+        if not len(others):
+            break
+        alike = others[(codes[others] == codes[at]).sum(axis=1) >= AGREEING]
+        reached, first = np.unique(component[alike], return_index=True)
+        edges += [(ids[at], ids[o]) for o in alike[first]]
+        component[np.isin(component, reached)] = component[at]
+    return edges
+
+
+def _set_forest(tile: pd.DataFrame) -> list[tuple[int, int]]:
+    """Edges of similarity enough that connect what is connected in a tile, by exact intersection."""
+    ids, sets = tile["doc_id"].to_numpy(), tile["shingles"].tolist()
+    sizes = np.array([len(s) for s in sets])
+    ends = np.cumsum(sizes)
+    values, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    own = [flat[e - n : e] for e, n in zip(ends.tolist(), sizes.tolist())]
+    marked = np.zeros(len(values), dtype=np.int32)
+    left, edges = np.arange(len(ids)), []
+    while len(left):
+        # One component: every set reached is compared with those not yet reached.
+        waiting, left = [left[0]], left[1:]
+        joined, starts = None, None
+        while waiting and len(left):
+            at = waiting.pop()
+            if joined is None:
+                joined = np.concatenate([own[i] for i in left])
+                starts = np.cumsum(sizes[left]) - sizes[left]
+            marked[own[at]] = 1
+            shared = np.add.reduceat(marked[joined], starts)
+            marked[own[at]] = 0
+            linked = 100 * shared >= SIMILARITY * (sizes[at] + sizes[left] - shared)
+            if linked.any():
+                edges += [(ids[at], ids[o]) for o in left[linked]]
+                waiting += left[linked].tolist()
+                left, joined = left[~linked], None
+    return edges
+
+
+def _tiled(members: DataFrame, sizes: DataFrame, *columns: str) -> DataFrame:
+    """``members(key, doc_id, ...)`` in tiles of ``sizes(key, tiles)``: one row for every tile a member is in."""
+    return (
+        members.join(sizes, "key")
+        .withColumn("side", F.pmod(F.xxhash64("doc_id"), "tiles").cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        .select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "doc_id", *columns)
+        .repartition("key", "i", "j")
+        .sortWithinPartitions("key", "i", "j", "doc_id")
+    )
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -250,38 +295,35 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     copies = linked.join(
         classes.filter("n > 1").select("set_hash", F.col("doc_id").alias("first")), "set_hash"
     ).select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
-    nearest = shared.groupBy("doc_id").agg(F.min("leader").alias("leader")).filter("doc_id > leader")
-    first = durable(
-        copies.filter("a > b").union(_verified(docs, nearest.toDF("a", "b"))).distinct(), "minhash-links"
-    )
-    labels = durable(components(first), "minhash-labels")
+    copies = copies.filter("a > b").distinct()
+    codes = linked.select("doc_id", "code").dropDuplicates(["doc_id"])
+    stars = shared.filter("doc_id > leader").select(F.col("doc_id").alias("a"), F.col("leader").alias("b")).distinct()
+    stars = stars.join(codes.toDF("a", "code_a"), "a").join(codes.toDF("b", "code_b"), "b")
+    stars = durable(stars.select("a", "b", "code_a", "code_b").mapInArrow(_alike, "a long, b long"), "minhash-stars")
+    families = durable(components(stars), "minhash-families").toDF("doc_id", "component")
 
-    known = labels.toDF("doc_id", "component")
-    members = shared.drop("leader").join(known, "doc_id", "left")
+    members = shared.select("key", "doc_id").join(families, "doc_id", "left")
     members = members.withColumn("component", F.coalesce("component", "doc_id"))
     mixed = members.groupBy("key").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")
     )
     mixed = mixed.filter("low < high").select("key", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
-    codes = linked.select("doc_id", "code").dropDuplicates(["doc_id"])
-    tiles = (
-        members.join(mixed, "key")
-        .join(codes, "doc_id")
-        .withColumn("side", F.pmod(F.xxhash64("doc_id"), "tiles").cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-        .select(
-            "key",
-            F.least("side", "other").alias("i"),
-            F.greatest("side", "other").alias("j"),
-            "side",
-            "doc_id",
-            "component",
-            "code",
-        )
+    tiles = _tiled(members.join(codes, "doc_id"), mixed, "component", "code")
+    across = durable(tiles.mapInPandas(_by_tile(_code_forest), "a long, b long"), "minhash-across")
+    families = durable(components(stars.union(across)), "minhash-families").toDF("doc_id", "key")
+
+    wanted = families.select("doc_id").distinct()
+    # The filter only spares sets that no family needs; the join decides.
+    sets = docs.mapInArrow(_sets_of(build_filter(wanted)), "doc_id long, shingles array<long>")
+    sets = sets.join(families, "doc_id")
+    sums = linked.select("doc_id", "n_shingles").join(families, "doc_id").groupBy("key")
+    counts = sums.agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"))
+    counts = counts.select(
+        "key",
+        F.greatest(F.ceil(F.col("n") / TILE), F.ceil(F.col("shingles") / TILE_SHINGLES)).cast("int").alias("tiles"),
     )
-    ordered = tiles.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "doc_id")
-    rest = ordered.mapInPandas(_across, "a long, b long").distinct()
-    links = first.union(_verified(docs, rest))
+    exact = _tiled(sets, counts, "shingles").mapInPandas(_by_tile(_set_forest), "a long, b long")
+    links = copies.union(exact)
     final = durable(components(links), "minhash-components").toDF("node", "component")
     return signed.join(final, F.col("doc_id") == F.col("node"), "left").select(
         "doc_id",
