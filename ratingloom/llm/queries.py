@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.llm import attribution, bpe, langid, licences, minhash, mixing, quality, repeats, secrets, topk
+from ratingloom.llm import attribution, bpe, langid, licences, minhash, mixing, oracle, quality, repeats, secrets, topk
 
 
 def vocabulary_path() -> str:
@@ -73,4 +73,4 @@ QUERIES = {
     )
 }
 
-ORACLE_SQL = {}
+ORACLE_SQL = oracle.SQL
