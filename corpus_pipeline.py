@@ -24,13 +24,14 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that of the smallest id.
 
-    Rows that repeat an id and its text are one document and stay once; rows
-    without id take no part and stay.
+    Rows that repeat an id and its text are one document and stay once; an id
+    with several texts is one document and keeps them; rows without id take no
+    part and stay.
     """
     found = minhash.near_duplicates(docs)
     kept = durable(found.filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct(), "near-duplicates-kept")
     stay = docs.join(kept, docs["doc_id"] == kept["_kept_id"], "left_semi")
-    return stay.dropDuplicates(["doc_id"]).unionByName(docs.filter(docs["doc_id"].isNull()))
+    return stay.dropDuplicates(["doc_id", "text"]).unionByName(docs.filter(docs["doc_id"].isNull()))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -299,11 +299,10 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     The result has one partition per shard or fewer; ``docs`` keeps its columns.
     """
     mixture, _ = plan_mixture(docs.select("doc_id", "source", "text"), **options)
-    columns = docs.columns
-    taken = mixture.of(docs, docs["source"], docs["doc_id"])
-    rows = taken.select(*columns, F.explode("_places").alias("_place"))
-    sorted_rows = rows.repartition(F.col("_place")["shard"]).sortWithinPartitions("_place")
-    return sorted_rows.select(*columns)
+    # Rows ride as one column, so their names cannot meet those of the mix.
+    rows = docs.select("doc_id", "source", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    taken = mixture.of(rows, rows["source"], rows["doc_id"]).select("row", F.explode("_places").alias("_place"))
+    return taken.repartition(F.col("_place")["shard"]).sortWithinPartitions("_place").select("row.*")
 
 
 def mix_report(docs: DataFrame, **options) -> DataFrame:

@@ -1,0 +1,112 @@
+import base64
+import gzip
+import random
+import re
+import urllib.parse
+import zlib
+
+import pytest
+
+from ratingloom.llm import secrets
+
+KEY = "AKIA" + "Z9" * 10
+HEX = "0123456789abcdef" * 2
+
+
+def spans(text):
+    return [(k, s, e, v) for s, k, e, v in secrets.scan_layers(text)]
+
+
+def plain_base(text):
+    """The three forms by the plain patterns, leftmost and without overlap."""
+    found = []
+    assign = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+    found += [(m.start(), 0, m.end()) for m in assign.finditer(text) if len(m[2]) >= 6]
+    found += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if m.end() - m.start() >= 20]
+    found += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if m.end() - m.start() >= 24]
+    return sorted(found)
+
+
+def test_base_findings_equal_the_plain_patterns():
+    rng = random.Random(6)
+    pieces = ["password", "PassWd", "secret", "token", "api_key", "APIKEY", "AKIA", "A1B2C3", "0123456789ab", "f" * 9,
+              "=", ":", " ", "'", '"', "x", "ſecret", "Key", "\n", ".", "Z" * 16, "ä", "-", "toKen"]
+    for _ in range(4000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 14)))
+        base = [(s, secrets.KINDS.index(k), e) for k, s, e, v in spans(text) if v == ""]
+        assert base == plain_base(text), text
+
+
+def test_short_values_are_consumed_and_dropped():
+    assert spans("token=ab token=abcdef") == [("assign", 9, 21, "")]
+
+
+@pytest.mark.parametrize("wrap, via", [
+    (lambda s: urllib.parse.quote(s, safe="").replace("A", "%41"), "url"),
+    (lambda s: "".join(f"\\u{ord(c):04x}" for c in s), "unicode"),
+    (lambda s: "".join(f"&#{ord(c)};" for c in s), "unicode"),
+    (lambda s: base64.b64encode(s.encode()).decode(), "base64"),
+    (lambda s: base64.urlsafe_b64encode(gzip.compress(s.encode())).decode().rstrip("="), "base64>compressed"),
+    (lambda s: base64.b64encode(zlib.compress(gzip.compress(s.encode()))).decode(), "base64>compressed>compressed"),
+    (lambda s: base64.b64encode(base64.b64encode(s.encode())).decode(), "base64>base64"),
+    (lambda s: urllib.parse.quote(base64.b64encode(s.encode()).decode().replace("Q", "%51"), safe=""), "url>url>base64"),
+    (lambda s: urllib.parse.quote(urllib.parse.quote(s, safe="").replace("A", "%41"), safe=""), "url>url"),
+])
+def test_wrapped_keys_are_found_and_mapped(wrap, via):
+    wrapped = wrap(f"x {KEY} y")
+    text = f"é before {wrapped} after"
+    found = [f for f in spans(text) if f[0] == "access"]
+    assert len(found) == 1 and found[0][3] == via
+    start, end = found[0][1:3]
+    assert text.index(wrapped) <= start < end <= text.index(wrapped) + len(wrapped)
+
+
+def test_exact_places_through_layers():
+    text = f"a%41b %41{KEY[1:]}!"
+    assert spans(text) == [("access", 6, 6 + 2 + len(KEY), "url")]
+    padded = base64.b64encode(f"012{KEY}xyz".encode()).decode()
+    start, end = [f[1:3] for f in spans("== " + padded) if f[0] == "access"][0]
+    assert (start, end) == (3 + 4, 3 + 4 + 32)
+
+
+def test_base_findings_stay_beside_those_of_layers():
+    text = f"token=abcdef%67%68 {HEX}"
+    found = spans(text)
+    assert ("assign", 0, 12, "") in found and ("assign", 0, 18, "url") in found and found.count(("hex", 19, 51, "")) == 1
+
+
+def test_fixpoints_and_broken_encodings_end():
+    for text in ("%25" * 50, "%2525252541", "%", "%zz%4", "\\u", "\\ud800\\udfff", "&#99999999;", "A" * 64, "=" * 40, "%C3%28 %E2%82", "H4sIAAAA" * 4, "eJxjYAAA" * 3):
+        secrets.scan_layers(text)
+    text = "token=abcdef "
+    for _ in range(12):
+        text = urllib.parse.quote(text, safe="")
+    # The outer layers also hold long runs of the digits 2 and 5.
+    assert {f[0] for f in spans(text)} - {"hex"} == {"assign"}
+
+
+@pytest.mark.parametrize("table", ["small", "odd", "empty"])
+def test_tables(request, table):
+    docs = request.getfixturevalue(table)
+    rows = {(r.doc_id, r.base_sha256): r for r in secrets.digests(secrets.find_secrets(docs)).collect()}
+    import hashlib
+
+    total = 0
+    for r in docs.collect():
+        base = plain_base(r.text or "")
+        joined = ",".join(f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in base)
+        row = rows[r.doc_id, hashlib.sha256(joined.encode()).hexdigest()]
+        assert (row.n_assign, row.n_access, row.n_hex) == tuple(sum(k == n for _, k, _ in base) for n in range(3))
+        assert set(joined.split(",")) <= set(row.spans.split(","))
+        total += 1
+    assert total == docs.count()
+
+
+def test_redaction_keeps_rows_columns_and_other_text(spark, odd):
+    text = f"a password = hunter22 b {KEY} c"
+    docs = odd.withColumn("text", odd["text"]).limit(0).unionByName(
+        spark.createDataFrame([(1, text), (2, None), (3, "clean")], "doc_id long, text string"), allowMissingColumns=True
+    )
+    out = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
+    assert out == {1: "a [SECRET] b [SECRET] c", 2: None, 3: "clean"}
+    assert secrets.redact(odd).columns == odd.columns and secrets.redact(odd).count() == odd.count()
