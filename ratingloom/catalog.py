@@ -176,6 +176,16 @@ def split_test(spark, folder):
     return splitting.split_of(fx.processed(spark, folder), splitting.TEST)
 
 
+def split_by_hash(spark, folder):
+    """Valid ratings split by a seeded hash instead of time."""
+    rows = splitting.with_hash_split(fx.clean(spark, folder), seed=42)
+    return rows.groupBy("split").agg(F.count("*").alias("n"), F.sum("timestamp").alias("sum_timestamp"))
+
+
+def filter_inactive_twice(spark, folder):
+    return activity.filter_inactive(fx.clean(spark, folder), fx.MIN_USER_RATINGS, fx.MIN_ITEM_RATINGS, iterations=2)
+
+
 def split_shares(spark, folder):
     stored = durable(splitting.with_split(fx.processed(spark, folder)).select("split"), "split")
     return _rounded(splitting.split_shares(stored))
@@ -390,6 +400,11 @@ def cold_warm_segments(spark, folder):
     return per_user.join(segments, "userId").select("userId", "segment", "n_train", "n_test")
 
 
+def user_segments_with_mid(spark, folder):
+    rows = _split(splitting.with_split(fx.clean(spark, folder)), "train")
+    return metrics.user_segments(rows, "userId", mid=True).groupBy("segment").agg(F.count("*").alias("n"))
+
+
 def cold_warm_rmse(spark, folder):
     return _rounded(metrics.cold_warm_rmse(*_unfiltered(spark, folder), "userId"))
 
@@ -589,6 +604,8 @@ QUERIES: dict[str, Query] = {
         split_train,
         split_val,
         split_test,
+        split_by_hash,
+        filter_inactive_twice,
         split_shares,
         dataset_counts,
         rating_distribution,
@@ -623,6 +640,7 @@ QUERIES: dict[str, Query] = {
         catalog_coverage,
         popularity_bias,
         cold_warm_segments,
+        user_segments_with_mid,
         cold_warm_rmse,
         cold_warm_gap,
         evaluation_suite,

@@ -63,15 +63,19 @@ def filter_report(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 def filter_inactive(
-    ratings: DataFrame, min_user_ratings: int = 20, min_item_ratings: int = 5
+    ratings: DataFrame, min_user_ratings: int = 20, min_item_ratings: int = 5, iterations: int = 1
 ) -> DataFrame:
     """Ratings whose user and item both have enough ratings in ``ratings``.
 
     Both counts are taken before either filter, so a survivor may fall below its
-    minimum. The counts are written once: the planner then knows their size and
+    minimum; each of ``iterations`` filters the result of the one before and
+    stores it. The counts are written once: the planner then knows their size and
     broadcasts the small side of each semi-join, or shuffles both beyond that. The
     side of fewer keys comes first, so that fewer rows reach the other.
     """
+    if iterations > 1:
+        once = filter_inactive(ratings, min_user_ratings, min_item_ratings)
+        return filter_inactive(durable(once, "active"), min_user_ratings, min_item_ratings, iterations - 1)
     counts = durable(rating_counts(ratings), "rating-counts", partition_by="side")
     users = users_of(counts).filter(F.col("n") >= min_user_ratings)
     items = items_of(counts).filter(F.col("n") >= min_item_ratings)

@@ -148,10 +148,13 @@ def segment_of(n_train: Column) -> Column:
     return F.when(n_train < COLD_BELOW, "cold").when(n_train >= WARM_FROM, "warm")
 
 
-def user_segments(train: DataFrame, key: str = "user_idx") -> DataFrame:
-    """Cold and warm users by their number of train rows."""
+def user_segments(train: DataFrame, key: str = "user_idx", mid: bool = False) -> DataFrame:
+    """Cold and warm users by their number of train rows, with ``mid`` those between, too."""
     counts = train.groupBy(key).agg(F.count("*").alias("n_train"))
-    return counts.withColumn("segment", segment_of(F.col("n_train"))).filter("segment is not null")
+    segment = segment_of(F.col("n_train"))
+    if mid:
+        segment = F.coalesce(segment, F.lit("mid"))
+    return counts.withColumn("segment", segment).filter("segment is not null")
 
 
 def cold_warm_rmse(train: DataFrame, predictions: DataFrame, key: str = "user_idx") -> DataFrame:

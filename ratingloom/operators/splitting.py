@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratingloom.functions import bucket
+from ratingloom.functions import bucket, hash32
 
 TRAIN, VALIDATION, TEST = "train", "validation", "test"
 
@@ -21,6 +21,24 @@ def with_split(df: DataFrame, train_ratio: float = 0.8, val_ratio: float = 0.1)
     return df.withColumn("split", F.when(b.isNotNull(), name))
 
 
+def with_hash_split(
+    df: DataFrame,
+    seed: int,
+    train_ratio: float = 0.8,
+    val_ratio: float = 0.1,
+    key: tuple[str, ...] = ("userId", "movieId", "timestamp"),
+) -> DataFrame:
+    """``df`` with a ``split`` that a seeded hash of ``key`` decides, whatever the time.
+
+    Shares are those of ``with_split``; rows equal in ``key`` stay together, and
+    a null in it counts as an empty text.
+    """
+    text = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key])
+    b = hash32(text, seed) % 100
+    name = F.when(b < round(train_ratio * 100), TRAIN).when(b < round((train_ratio + val_ratio) * 100), VALIDATION)
+    return df.withColumn("split", name.otherwise(TEST))
+
+
 def split_of(df: DataFrame, name: str, **ratios: float) -> DataFrame:
     return with_split(df, **ratios).filter(F.col("split") == name).drop("split")
 

@@ -263,6 +263,15 @@ _QUERIES = {
     "split_train": "select * from processed where timestamp % 100 < 80",
     "split_val": "select * from processed where timestamp % 100 >= 80 and timestamp % 100 < 90",
     "split_test": "select * from processed where timestamp % 100 >= 90",
+    "split_by_hash": """
+        select case when b < 80 then 'train' when b < 90 then 'validation' else 'test' end as split, count(*) as n,
+               cast(sum(timestamp) as bigint) as sum_timestamp
+        from (select timestamp, cast('0x' || substr(md5('42:' || userId || ':' || movieId || ':' || timestamp), 1, 8) as bigint) % 100 as b
+              from clean) group by 1""",
+    "filter_inactive_twice": """
+        select p.* from processed p
+        where userId in (select userId from processed group by userId having count(*) >= 30)
+          and movieId in (select movieId from processed group by movieId having count(*) >= 25)""",
     "split_shares": """
         select split, count(*) as n, round(count(*) * 100 / (select count(*) from indexed), 6) as share_pct
         from indexed group by split""",
@@ -379,6 +388,8 @@ _QUERIES = {
         select t.userId, segment, n_train, count(*) as n_test
         from clean_split t join segments s on t.userId = s.userId
         where t.split = 'test' and segment is not null group by t.userId, segment, n_train""",
+    "user_segments_with_mid": """
+        select coalesce(segment, 'mid') as segment, count(*) as n from segments group by 1""",
     "cold_warm_rmse": "select segment, round(rmse, 6) as rmse, num_predictions from segment_rmse",
     "cold_warm_gap": """
         select round(c, 6) as cold_rmse, round(w, 6) as warm_rmse, round((c / w - 1) * 100, 6) as gap_pct
