@@ -65,8 +65,10 @@ _QUALITY = rf"""
     words as (select n, doc_id, lang, source, coalesce(text, '') as text, {_WORDS} as words,
                      list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
               from numbered),
-    windows as (select n, i, count(*) over (partition by n, array_to_string(words[i:i + 2], ' ')) as times
-                from (select n, words, unnest(range(1, len(words) - 1)) as i from words)),
+    thirds as (select n, unnest(range(1, len(words) - 1)) as i,
+                      unnest(list_transform(range(1, len(words) - 1),
+                             lambda k: words[k] || ' ' || words[k + 1] || ' ' || words[k + 2])) as third from words),
+    windows as (select n, i, count(*) over (partition by n, third) as times from thirds),
     repeated as (select n, count(distinct place) as n_repeat_words
                  from (select n, unnest([i, i + 1, i + 2]) as place from windows where times > 1) group by n),
     measured as (
