@@ -1,7 +1,7 @@
-"""A Bloom filter of fixed size, to spare a shuffle what a join would drop anyway.
+"""A Bloom filter of bounded size, to spare a shuffle what a join would drop anyway.
 
-Results never depend on it: a join follows. The filter takes the same 4 MB
-whatever the data; with more keys than it can tell apart it only spares less.
+Results never depend on it. It has about twelve bits per key up to 64 MB, enough
+for some hundred million keys; with more it only spares less.
 """
 
 from collections.abc import Iterator
@@ -11,37 +11,44 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BITS = 1 << 25
+BITS_PER_KEY = 12
+LEAST_BITS, MOST_BITS = 1 << 16, 1 << 29
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-_SHIFT = 64 - BITS.bit_length() + 1
 
 
-def _bits(keys: np.ndarray) -> list[np.ndarray]:
+def _bits(keys: np.ndarray, size: int) -> list[np.ndarray]:
+    """Places of the keys in a filter of ``size`` bits, a power of two."""
     keys = keys.astype(np.int64, copy=False).view(np.uint64)
-    return [(keys * np.uint64(m)) >> np.uint64(_SHIFT) for m in _MULTIPLIERS]
+    return [(keys * np.uint64(m)) >> np.uint64(65 - size.bit_length()) for m in _MULTIPLIERS]
 
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bits of a task's keys, gathered into words of 64."""
-    bitmap = np.zeros(BITS, dtype=bool)
-    for batch in batches:
-        for bit in _bits(batch.column(0).to_numpy(zero_copy_only=False)):
-            bitmap[bit.astype(np.int64)] = True
-    words = np.packbits(bitmap, bitorder="little").view(np.int64)
-    filled = np.flatnonzero(words)
-    yield pa.RecordBatch.from_arrays([pa.array(filled), pa.array(words[filled])], names=["word", "bits"])
+def _words_of(size: int):
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Bits of a batch's keys, gathered into words of 64."""
+        for batch in batches:
+            bits = np.unique(np.concatenate(_bits(batch.column(0).to_numpy(zero_copy_only=False), size)))
+            if not len(bits):
+                continue
+            word, first = np.unique(bits >> np.uint64(6), return_index=True)
+            values = np.bitwise_or.reduceat(np.uint64(1) << (bits & np.uint64(63)), first)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(word.astype(np.int64)), pa.array(values.view(np.int64))], names=["word", "bits"]
+            )
+
+    return words
 
 
 class Filter:
     """Membership test of 64-bit integers; pickles as a reference to one broadcast bitmap."""
 
-    def __init__(self, broadcast):
+    def __init__(self, broadcast, size: int):
         self._broadcast = broadcast
+        self._size = size
 
     def of(self, keys: np.ndarray) -> np.ndarray:
         words = np.frombuffer(self._broadcast.value, dtype=np.uint64)
         held = np.ones(len(keys), dtype=bool)
-        for bit in _bits(keys):
+        for bit in _bits(keys, self._size):
             held &= ((words[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1)) > 0
         return held
 
@@ -54,14 +61,11 @@ class Filter:
 def build_filter(keys: DataFrame) -> Filter:
     """Filter of the one 64-bit integer column of ``keys``, whose bits are gathered in the executors."""
     name = keys.columns[0]
-    words = (
-        keys.filter(F.col(name).isNotNull())
-        .mapInArrow(_words, "word long, bits long")
-        .groupBy("word")
-        .agg(F.expr("bit_or(bits)").alias("bits"))
-    )
-    bitmap = np.zeros(BITS // 64, dtype=np.int64)
-    # At most BITS / 64 rows of 16 bytes.
+    keys = keys.filter(F.col(name).isNotNull())
+    size = min(max(1 << (BITS_PER_KEY * keys.count()).bit_length(), LEAST_BITS), MOST_BITS)
+    words = keys.mapInArrow(_words_of(size), "word long, bits long").groupBy("word").agg(F.expr("bit_or(bits)").alias("bits"))
+    bitmap = np.zeros(size // 64, dtype=np.int64)
+    # At most MOST_BITS / 64 rows of 16 bytes.
     filled = words.toArrow()
     bitmap[filled["word"].to_numpy()] = filled["bits"].to_numpy()
-    return Filter(keys.sparkSession.sparkContext.broadcast(bitmap.tobytes()))
+    return Filter(keys.sparkSession.sparkContext.broadcast(bitmap.tobytes()), size)
