@@ -16,7 +16,8 @@ from ratingloom.session import durable
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of a known language; a null ``lang`` becomes the predicted one.
 
-    Rejected are texts that are null or without a letter, and scores under 0.4.
+    Rejected are texts that are null or without a letter, and scores under 0.3: a text
+    of several languages keeps a higher one.
     """
     return langid.keep_identified(docs, langid.fit(docs))
 

@@ -310,7 +310,7 @@ def label_words(docs: DataFrame, field: Field) -> DataFrame:
     )
 
 
-def keep_identified(docs: DataFrame, field: Field | None, least: float = 0.4) -> DataFrame:
+def keep_identified(docs: DataFrame, field: Field | None, least: float = 0.3) -> DataFrame:
     """``docs`` without those of unknown language or a score under ``least``; a null ``lang`` becomes the prediction."""
     shared = docs.sparkSession.sparkContext.broadcast(field)
     text, lang = docs.columns.index("text"), docs.columns.index("lang")
