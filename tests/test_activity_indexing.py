@@ -56,3 +56,23 @@ def test_index_is_a_permutation(spark, pairs):
     for raw, dense in (("userId", "user_idx"), ("movieId", "item_idx")):
         mapping = {(r[raw], r[dense]) for r in rows}
         assert sorted(d for _, d in mapping) == list(range(len({r[raw] for r in rows})))
+
+
+def test_the_side_of_fewer_keys_comes_first(spark):
+    for users, items in ((50, 4), (4, 50)):
+        rows = [(u, m) for u in range(users) for m in range(items)]
+        counts = activity.rating_counts(spark.createDataFrame(rows, "userId int, movieId int"))
+        sides = activity.smaller_first(counts, activity.users_of(counts), activity.items_of(counts))
+        assert [s[0] for s in sides] == (["item", "user"] if items < users else ["user", "item"])
+
+
+def test_repeated_filtering_reaches_users_that_fell_below(spark):
+    # User 9 has two ratings, one of an item that goes; a second pass takes the user, too.
+    rows = [(u, m) for u in range(3) for m in range(3)] + [(9, 0), (9, 7)]
+    ratings = spark.createDataFrame(rows, "userId int, movieId int")
+    once = activity.filter_inactive(ratings, 2, 2)
+    assert {r.userId for r in once.collect()} == {0, 1, 2, 9}
+    assert {r.userId for r in activity.filter_inactive(ratings, 2, 2, iterations=2).collect()} == {0, 1, 2}
+    report = activity.filter_report(ratings, once).first()
+    assert (report.ratings_before, report.ratings_after, report.removed) == (11, 10, 1)
+    assert (report.items_before, report.items_after, report.users_after) == (4, 3, 4)

@@ -127,3 +127,15 @@ def test_jobs_end_to_end(spark, raw, tmp_path):
 def test_saving_needs_a_path():
     with pytest.raises(SystemExit):
         train.main(["--data-dir", "d", "--output", "o", "--save-model"])
+
+
+def test_full_evaluation_scores_once(spark, raw, tmp_path, monkeypatch):
+    data, out = str(tmp_path / "data"), str(tmp_path / "out")
+    prepare.main(["--ratings", f"{raw}/ratings.csv", "--movies", f"{raw}/movies.csv", "--output", data])
+    calls, score = [], als.top_n_subset
+    monkeypatch.setattr(als, "top_n_subset", lambda *args: calls.append(args) or score(*args))
+    _, report = train.train(spark, data, out, full_evaluation=True, rank=3, maxIter=2)
+    assert len(calls) == 1
+    assert dict(report.dtypes) == {"metric": "string", "segment": "string", "k": "int", "value": "double"}
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    assert width == "8"
