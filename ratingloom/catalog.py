@@ -343,7 +343,7 @@ def topn_stars(spark, folder):
 
 
 def topn_with_titles(spark, folder):
-    titles = scoring.title_map(indexing.item_index(fx.processed(spark, folder)), fx.titled_movies(spark, folder))
+    titles = scoring.title_map(fx.item_index(spark, folder), fx.titled_movies(spark, folder))
     return scoring.with_titles(_top(spark, folder), titles).select(
         "user_idx", "item_idx", "rank", "movieId", "title"
     )
@@ -354,7 +354,7 @@ def batch_status(spark, folder):
 
 
 def batch_recommend(spark, folder):
-    titles = scoring.title_map(indexing.item_index(fx.processed(spark, folder)), fx.titled_movies(spark, folder))
+    titles = scoring.title_map(fx.item_index(spark, folder), fx.titled_movies(spark, folder))
     factors = fx.factors(spark, folder)
     return _rounded(scoring.recommend(fx.requests(spark, folder), factors, factors, titles))
 
@@ -567,7 +567,7 @@ def recommend_job(spark, folder):
     """
     path, model_path = _stored_splits(spark, folder), scratch_path(spark, "model")
     files.write_movies(fx.movies(spark, folder), path)
-    files.write_index(indexing.item_index(fx.processed(spark, folder)), path, "item")
+    files.write_index(fx.item_index(spark, folder), path, "item")
     als.save_model(_model(fx.indexed(spark, folder)), model_path, [])
     large = spark.createDataFrame([(1 << 40, 5), (0, 1 << 40)], "user_id long, num_recommendations long")
     wanted = fx.requests(spark, folder).select(F.col("user_id").cast("long"), F.col("num_recommendations").cast("long"))

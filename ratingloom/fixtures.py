@@ -6,6 +6,7 @@ Every function reads whole tables; `oracle.py` has the matching SQL.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratingloom.operators import indexing
 from ratingloom.operators.activity import filter_inactive
 from ratingloom.operators.indexing import with_indices
 from ratingloom.operators.skew import hot_limit, split_join
@@ -102,11 +103,21 @@ def processed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _prepared: dict[str, DataFrame] = {}
+_item_index: dict[str, DataFrame] = {}
 
 
 def prepare_once(spark: SparkSession, folder: str) -> None:
-    """Let ``indexed`` return one stored table for the rest of the session."""
+    """Let ``indexed`` and ``item_index`` return one stored table for the rest of the session."""
     _prepared[folder] = indexed(spark, folder)
+    items = _prepared[folder].groupBy("movieId", "item_idx").agg(F.count("*").alias("n"))
+    _item_index[folder] = durable(items, "item-index")
+
+
+def item_index(spark: SparkSession, folder: str) -> DataFrame:
+    """``movieId, item_idx, n`` of the active items."""
+    if folder in _item_index:
+        return _item_index[folder]
+    return indexing.item_index(processed(spark, folder))
 
 
 def indexed(spark: SparkSession, folder: str) -> DataFrame:
