@@ -198,10 +198,10 @@ def scan(docs: DataFrame, classifier: Classifier, confirm: float = CONFIRM) -> D
     cues = F.array(*[F.lit(w) for w in classifier.cues])
     # A look at the words first: few lines hold a cue, and the others are unknown.
     lines = paragraphs(docs.select("doc_id", "text")).withColumn("words", _words(F.col("text")))
-    lines = lines.filter(F.arrays_overlap("words", cues)).dropDuplicates(["doc_id", "paragraph", "text"])
-    key = ["doc_id", "paragraph", "text"]
-    candidates = lines.select(*key, _ngrams("words").alias("grams"))
-    candidates = durable(candidates, "licence-candidates")
+    # Joins go by a hash of the line; its text stays behind.
+    key = ["doc_id", "paragraph", "line"]
+    lines = lines.filter(F.arrays_overlap("words", cues)).withColumn("line", F.xxhash64("text")).dropDuplicates(key)
+    candidates = durable(lines.select(*key, "text", _ngrams("words").alias("grams")), "licence-candidates")
     k = len(classifier.families)
     sums = [F.sum(F.get("logits", F.lit(i))).alias(f"s{i}") for i in range(k)]
     exploded = candidates.select(*key, F.size("grams").alias("n"), F.explode("grams").alias("gram"))
@@ -224,11 +224,15 @@ def scan(docs: DataFrame, classifier: Classifier, confirm: float = CONFIRM) -> D
         "template", "family", F.size("grams").alias("size"), F.explode("grams").alias("gram")
     )
     predicted = found.select(*[F.col(c).alias(f"of_{c}") for c in key], "family", "probability")
-    same = F.lit(True)
-    for c in key:
-        same = same & F.col(c).eqNullSafe(F.col(f"of_{c}"))
+
+    def same(prefix: str) -> Column:
+        found = F.lit(True)
+        for c in key:
+            found = found & F.col(c).eqNullSafe(F.col(f"{prefix}_{c}"))
+        return found
+
     pairs = (
-        exploded.join(predicted, same)
+        exploded.join(predicted, same("of"))
         .join(template_grams, ["family", "gram"])
         .groupBy(*key, "family", "probability", "template", "n", "size")
         .agg(F.count("*").alias("shared"))
@@ -243,8 +247,11 @@ def scan(docs: DataFrame, classifier: Classifier, confirm: float = CONFIRM) -> D
         F.col("best.similarity").alias("best_similarity"),
     )
     similarity = F.coalesce("best_similarity", F.lit(0.0))
-    return found.join(matched, same, "left").select(
-        *key,
+    texts = candidates.select(*[F.col(c).alias(f"text_{c}") for c in key], "text")
+    return found.join(matched, same("of"), "left").join(texts, same("text")).select(
+        "doc_id",
+        "paragraph",
+        "text",
         "family",
         "probability",
         "template",
