@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from ratingloom.llm.bloom import Filter, build_filter
 from ratingloom.llm.graph import components
 from ratingloom.llm.words import documents
+from ratingloom.operators.skew import hot_limit, split_join
 from ratingloom.session import durable
 
 SHINGLE = 4
@@ -292,10 +293,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     leaders = buckets.groupBy("key").agg(F.min("doc_id").alias("leader"), F.count("*").alias("n")).filter("n > 1")
     shared = durable(buckets.join(leaders.drop("n"), "key"), "minhash-buckets")
 
-    copies = linked.join(
-        classes.filter("n > 1").select("set_hash", F.col("doc_id").alias("first")), "set_hash"
-    ).select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
-    copies = copies.filter("a > b").distinct()
+    # A set with very many copies is dealt to several tasks.
+    firsts = durable(
+        classes.filter("n > 1").select("set_hash", F.col("doc_id").alias("first"), "n"), "minhash-copies"
+    )
+    copies = split_join(linked.select("set_hash", "doc_id"), firsts, "set_hash", hot_limit(firsts))
+    copies = copies.select(F.col("doc_id").alias("a"), F.col("first").alias("b")).filter("a > b").distinct()
     codes = linked.select("doc_id", "code").dropDuplicates(["doc_id"])
     stars = shared.filter("doc_id > leader").select(F.col("doc_id").alias("a"), F.col("leader").alias("b")).distinct()
     stars = stars.join(codes.toDF("a", "code_a"), "a").join(codes.toDF("b", "code_b"), "b")
