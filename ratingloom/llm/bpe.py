@@ -30,7 +30,7 @@ _IRREGULAR = regex.compile(r"  |\s (?:\s|\Z)|[\x1c-\x1f]")
 _SUSPECT = [b"  ", b"\n ", b"\t ", b"\r ", b"\x0b ", b"\x0c ", b"\x1c", b"\x1d", b"\x1e", b"\x1f"]
 _SUSPECT += [b"\xc2\x85 ", b"\xc2\xa0 ", b"\xe1\x9a\x80 ", b"\xe2\x80", b"\xe2\x81\x9f ", b"\xe3\x80\x80 "]
 # Text encoded with one index, in characters.
-BLOCK = 1 << 23
+BLOCK = 1 << 21
 
 
 def _byte_alphabet() -> dict[str, int]:

@@ -33,6 +33,8 @@ SEQUENCE = 240
 EPOCHS = 12
 RATE = 0.4
 PENALTY = 1e-6
+# Text labelled at once, in characters: its longest document sets the number of steps.
+BLOCK = 1 << 23
 
 
 def words_of(text: str) -> list[str]:
@@ -112,7 +114,7 @@ def posteriors(
     starts = (np.cumsum(lengths) - lengths)[order]
     sizes = lengths[order]
     move = np.exp(steps - steps.max())
-    forward = np.empty((len(ids), potentials.shape[1]))
+    forward = np.empty((len(ids), potentials.shape[1]), dtype=potentials.dtype)
     active = np.searchsorted(-sizes, -np.arange(1, (sizes[0] if len(sizes) else 0) + 1), side="right")
     state = None
     for t, n in enumerate(active):
@@ -233,30 +235,34 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
     return train([r["text"] for r in taken], [r["lang"] for r in taken])
 
 
-def label_block(field: Field, texts: list[str]) -> tuple[list[list[str]], np.ndarray]:
-    """Words of each text, and the posteriors of all of them in order."""
-    words = [words_of(t) for t in texts]
+def label_block(field: Field, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words, the number of each word of all texts in order, words per text, and their posteriors."""
     vocabulary: dict[str, int] = {}
     number = vocabulary.setdefault
-    ids = np.array([number(w, len(vocabulary)) for ws in words for w in ws], dtype=np.int64)
-    lengths = np.array([len(ws) for ws in words])
+    # Only numbers are kept of a text, which take less room than its words.
+    per_text = []
+    for text in texts:
+        words = words_of(text)
+        per_text.append(np.fromiter((number(w, len(vocabulary)) for w in words), dtype=np.int32, count=len(words)))
+    lengths = np.array([len(ids) for ids in per_text])
+    ids = np.concatenate(per_text) if per_text else np.empty(0, dtype=np.int32)
     if not len(ids):
-        return words, np.empty((0, len(field.languages)))
-    potentials = field.potentials(list(vocabulary))
+        return [], ids, lengths, np.empty((0, len(field.languages)))
+    distinct = list(vocabulary)
+    potentials = field.potentials(distinct).astype(np.float32)
     filled = lengths[lengths > 0]
-    return words, posteriors(potentials, ids, filled, field.steps, field.first)[0]
+    return distinct, ids, lengths, posteriors(potentials, ids, filled, field.steps, field.first)[0]
 
 
 def _predictions(field: Field | None, texts: list[str]) -> tuple[list[str], np.ndarray]:
     names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
     if field is None:
         return names, scores
-    words, marginals = label_block(field, texts)
-    lengths = np.array([len(w) for w in words])
+    _, _, lengths, marginals = label_block(field, texts)
     filled = np.flatnonzero(lengths)
     if len(filled):
         starts = (np.cumsum(lengths) - lengths)[filled]
-        mean = np.add.reduceat(marginals, starts, axis=0) / lengths[filled, None]
+        mean = np.add.reduceat(marginals.astype(np.float64), starts, axis=0) / lengths[filled, None]
         best = mean.argmax(axis=1)
         scores[filled] = np.clip(mean[np.arange(len(filled)), best], 0, 1)
         for row, at in zip(filled.tolist(), best.tolist()):
@@ -274,7 +280,7 @@ def identify(docs: DataFrame, field: Field | None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in blocks(batches):
+        for part, texts in blocks(batches, BLOCK):
             names, scores = _predictions(shared.value, texts)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), pa.array(names), pa.array(scores)],
@@ -290,17 +296,16 @@ def label_words(docs: DataFrame, field: Field) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in blocks(batches):
-            words, marginals = label_block(shared.value, texts)
-            lengths = [len(w) for w in words]
+        for part, texts in blocks(batches, BLOCK):
+            distinct, ids, lengths, marginals = label_block(shared.value, texts)
             best = marginals.argmax(axis=1)
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column(0).take(pa.array(np.repeat(np.arange(len(words)), lengths))),
+                    part.column(0).take(pa.array(np.repeat(np.arange(len(lengths)), lengths))),
                     pa.array(np.concatenate([np.arange(n) for n in lengths] or [[]]).astype(np.int32)),
-                    pa.array([w for ws in words for w in ws], pa.string()),
+                    pa.array(distinct, pa.string()).take(pa.array(ids)),
                     pa.array(shared.value.languages).take(pa.array(best)),
-                    pa.array(marginals[np.arange(len(best)), best]),
+                    pa.array(marginals[np.arange(len(best)), best].astype(np.float64)),
                 ],
                 names=["doc_id", "position", "word", "lang", "score"],
             )
@@ -321,7 +326,7 @@ def keep_identified(docs: DataFrame, field: Field | None, least: float = 0.3) ->
                 [pa.array(np.arange(batch.num_rows)), batch.column(text)], names=["row", "text"]
             )
             names, scores = [], []
-            for _, texts in blocks([with_text]):
+            for _, texts in blocks([with_text], BLOCK):
                 found = _predictions(shared.value, texts)
                 names += found[0]
                 scores += found[1].tolist()

@@ -31,6 +31,8 @@ from ratingloom.session import durable
 
 LENGTH = 100
 GRAM = 24
+# Text of which equal stretches leave a task once, in characters.
+BLOCK = 1 << 23
 # Grams inside a window, so windows per anchor at most.
 WINDOW = LENGTH - GRAM + 1
 BUCKET_GRAM = 25
@@ -129,7 +131,7 @@ def _encoded(texts: list[str]) -> list[bytes]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for _, texts in blocks(batches):
+    for _, texts in blocks(batches, BLOCK):
         hashes, n = np.unique(stretches(_encoded(texts))[4], return_counts=True)
         yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(n.astype(np.int64))], names=["anchor", "n"])
 
@@ -138,7 +140,7 @@ def _emit(repeated: Filter, hot: Filter):
     """Stretches of repeated anchors; equal ones leave a block once, the others are marked as found."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in blocks(batches):
+        for part, texts in blocks(batches, BLOCK):
             # In order of documents, so that the first of equal stretches is the earliest.
             ids, keys = (part.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             order = np.lexsort((keys, ids))
