@@ -8,14 +8,14 @@ the margin over the unknown class into a calibrated probability; below one half
 a paragraph stays unknown. What is predicted is compared with the templates of
 its family and confirmed where enough of the n-grams agree.
 
-An n-gram is a feature only if one of its words is a cue, a word of the notices
-that the background sample lacks. A paragraph without a cue thus has no feature
-and is unknown, which the scan tells without expanding it.
+Every n-gram of the notices is a feature, whatever words the background sample
+holds; the regression weighs them. A paragraph without any word of the notices
+has no feature and is unknown, which the scan tells without expanding it.
 """
 
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,6 +57,8 @@ UNKNOWN = "unknown"
 # Bounds of the training sample: background documents (by hash of the id, about as many), variants of a notice.
 BACKGROUND = 300
 VARIANTS = 24
+# Share of a notice's three-word n-grams from which a sampled paragraph is no background: below it are ordinary phrases.
+NOTICE = 0.25
 # Share of a paragraph's or a template's n-grams that must agree.
 CONFIRM = 0.6
 
@@ -95,12 +97,12 @@ def paragraphs(docs: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Classifier:
-    """What training learned: ``weights(gram, logits)`` in the order of ``families``, intercepts, calibration."""
+    """What training learned: the features, the regression over ``families``, words of the notices, calibration."""
 
     families: list[str]
-    cues: list[str]
-    weights: DataFrame
-    intercepts: list[float]
+    words: list[str]
+    vectors: CountVectorizerModel
+    model: LogisticRegressionModel
     slope: float
     offset: float
 
@@ -125,12 +127,12 @@ def train(docs: DataFrame, background: int = BACKGROUND, variants: int = VARIANT
     share = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(1 << 40)) / float(1 << 40)
     sample = docs.filter(share < background / max(docs.count(), 1)).select("doc_id", "text")
     sampled = paragraphs(sample).select(_words(F.col("text")).alias("words")).withColumn("grams", _ngrams("words"))
-    triples = F.array(*[F.lit(g) for g in known if g.count(" ") == 2])
-    plain = durable(sampled.filter(~F.arrays_overlap("grams", triples)), "licence-background")
-    single = {g for g in known if " " not in g}
-    used = plain.select(F.explode("words").alias("word")).filter(F.col("word").isin(sorted(single))).distinct()
-    common = {r["word"] for r in used.collect()}
-    vocabulary = [g for g in known if not common.issuperset(g.split(" "))]
+    notice = F.lit(False)
+    for _, words in sorted((r["template"], r["words"]) for r in templates.select("template", "words").collect()):
+        triples = sorted({" ".join(words[i : i + 3]) for i in range(len(words) - 2)})
+        held = F.size(F.array_intersect("grams", F.array(*map(F.lit, triples))))
+        notice = notice | (held >= NOTICE * len(triples))
+    plain = durable(sampled.filter(~notice), "licence-background")
 
     label = F.create_map(*[x for i, f in enumerate(families) for x in (F.lit(f), F.lit(float(i)))])
     number = F.explode(F.sequence(F.lit(0), F.lit(variants - 1)))
@@ -152,7 +154,7 @@ def train(docs: DataFrame, background: int = BACKGROUND, variants: int = VARIANT
     # One word of a notice alone decides nothing.
     scraps = templates.select(F.explode("words").alias("word")).distinct().select(*of_unknown(F.array("word")))
     rows = varied.union(lines).union(scraps).withColumn("grams", _ngrams("words"))
-    vectors = CountVectorizerModel.from_vocabulary(vocabulary, "grams", "features")
+    vectors = CountVectorizerModel.from_vocabulary(known, "grams", "features")
     vectors.setBinary(True)
     held = (F.pmod(F.col("variant"), F.lit(3)) == 1).alias("held")
     rows = durable(vectors.transform(rows).select("label", "features", held).coalesce(1), "licence-training")
@@ -165,18 +167,11 @@ def train(docs: DataFrame, background: int = BACKGROUND, variants: int = VARIANT
         array_to_vector(F.array(_margin(F.col("logits"), unknown))).alias("features"),
     )
     calibrated = LogisticRegression(maxIter=40, regParam=0.01).fit(margins)
-    intercepts = [float(x) for x in model.interceptVector]
-    grams = templates.select(F.explode("grams").alias("gram")).distinct().filter(F.col("gram").isin(vocabulary))
-    alone = model.transform(vectors.transform(grams.withColumn("grams", F.array("gram")))).select("gram", raw)
-    weights = alone.select(
-        "gram",
-        F.transform("logits", lambda x, i: x - F.get(F.array(*map(F.lit, intercepts)), i)).alias("logits"),
-    )
     return Classifier(
         families,
-        sorted(single - common),
-        durable(weights, "licence-weights"),
-        intercepts,
+        [g for g in known if " " not in g],
+        vectors,
+        model,
         float(calibrated.coefficients[0]),
         float(calibrated.intercept),
     )
@@ -195,29 +190,30 @@ def scan(docs: DataFrame, classifier: Classifier, confirm: float = CONFIRM) -> D
     ignored; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    cues = F.array(*[F.lit(w) for w in classifier.cues])
-    # A look at the words first: few lines hold a cue, and the others are unknown.
+    known = F.array(*[F.lit(w) for w in classifier.words])
+    # A look at the words first: without a word of a notice a line has no feature and is unknown.
     lines = paragraphs(docs.select("doc_id", "text")).withColumn("words", _words(F.col("text")))
-    # Joins go by a hash of the line; its text stays behind.
-    key = ["doc_id", "paragraph", "line"]
-    lines = lines.filter(F.arrays_overlap("words", cues)).withColumn("line", F.xxhash64("text")).dropDuplicates(key)
-    candidates = durable(lines.select(*key, "text", _ngrams("words").alias("grams")), "licence-candidates")
+    lines = lines.filter(F.arrays_overlap("words", known)).withColumn("grams", _ngrams("words"))
+    raw = classifier.model.transform(classifier.vectors.transform(lines))
     k = len(classifier.families)
-    sums = [F.sum(F.get("logits", F.lit(i))).alias(f"s{i}") for i in range(k)]
-    exploded = candidates.select(*key, F.size("grams").alias("n"), F.explode("grams").alias("gram"))
-    summed = exploded.join(classifier.weights, "gram").groupBy(*key, "n").agg(*sums)
-    logits = F.array(*[F.col(f"s{i}") + classifier.intercepts[i] for i in range(k)])
-    margin = _margin(F.col("logits"), k - 1)
     best = F.slice("logits", 1, k - 1)
-    scored = summed.select(*key, "n", logits.alias("logits")).select(
-        *key,
-        "n",
+    margin = _margin(F.col("logits"), k - 1)
+    scored = raw.withColumn("logits", vector_to_array("rawPrediction")).select(
+        "doc_id",
+        "paragraph",
+        "text",
+        "grams",
         F.get(
             F.array(*map(F.lit, classifier.families)), (F.array_position(best, F.array_max(best)) - 1).cast("int")
         ).alias("family"),
         (1 / (1 + F.exp(-(classifier.slope * margin + classifier.offset)))).alias("probability"),
     )
-    found = durable(scored.filter("probability >= 0.5"), "licence-found")
+    # Joins go by a hash of the line; its text stays behind.
+    key = ["doc_id", "paragraph", "line"]
+    scored = scored.filter("probability >= 0.5").withColumn("line", F.xxhash64("text")).dropDuplicates(key)
+    candidates = durable(scored, "licence-found")
+    exploded = candidates.select(*key, F.size("grams").alias("n"), F.explode("grams").alias("gram"))
+    found = candidates.select(*key, "family", "probability")
 
     templates = _templates(spark).withColumn("grams", _ngrams("words"))
     template_grams = templates.select(

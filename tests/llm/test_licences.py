@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 
 from ratingloom.llm import licences
@@ -50,3 +53,16 @@ def test_odd_and_empty_tables(odd, empty, classifier):
     rows = sorted((r.doc_id or 0, r.paragraph, r.family) for r in licences.scan(twice, classifier).collect())
     assert rows == [(0, 0, "MIT"), (1, 1, "MIT")]
     assert licences.scan(odd, licences.train(empty)).count() == 0
+
+
+def test_notices_over_a_background_of_all_their_words(spark):
+    """Every word of the notices stands singly in the background, as in ordinary text about software."""
+    words = sorted({w for _, t in licences.TEMPLATES for w in re.split("[^a-z0-9]+", t.lower()) if w})
+    rng = random.Random(1)
+    prose = [" ".join(x for w in rng.sample(words, 25) for x in (w, rng.choice(["tree", "river", "stone"]))) for _ in range(250)]
+    rows = list(enumerate(prose)) + [(1000 + i, t) for i, (_, t) in enumerate(licences.TEMPLATES)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.family for r in licences.scan(docs, licences.train(docs)).collect()}
+    right = [found.get(1000 + i) == f for i, (f, _) in enumerate(licences.TEMPLATES)]
+    assert sum(right) >= 0.9 * len(right)
+    assert not [i for i in found if i < 1000]
