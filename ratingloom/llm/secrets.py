@@ -131,12 +131,19 @@ def _unfolded(data: bytes) -> bytes | None:
         return None
 
 
-def _readable(data: bytes) -> str | None:
+def _texts(data: bytes) -> Iterator[tuple[str, np.ndarray]]:
+    """Readings of ``data``, each with the bytes its characters take: UTF-8 or else bytes, and UTF-16 where NULs alternate."""
     try:
         text = data.decode("utf-8")
+        widths = np.ones(len(text), dtype=np.int64) if len(text) == len(data) else [len(c.encode()) for c in text]
     except UnicodeDecodeError:
-        return None
-    return text if all(c.isprintable() or c in "\t\n\r" for c in text) else None
+        text, widths = data.decode("latin-1"), np.ones(len(data), dtype=np.int64)
+    yield text, np.asarray(widths)
+    for code, high in (("utf-16-le", data[1::2]), ("utf-16-be", data[::2])):
+        # A secret within other scripts still has this many.
+        if high.count(0) >= 6:
+            wide = data[: len(data) // 2 * 2].decode(code, "replace")
+            yield wide, np.array([4 if ord(c) > 0xFFFF else 2 for c in wide], dtype=np.int64)
 
 
 def _base64(layer: Layer) -> Iterator[Layer]:
@@ -152,17 +159,17 @@ def _base64(layer: Layer) -> Iterator[Layer]:
         while opened is not None:
             # Compressed data maps to the whole run.
             how, data, opened = f"{how}>compressed", opened, _unfolded(opened)
-        text = _readable(data)
-        if not text:
-            continue
-        if how == "base64":
-            first = np.cumsum([0, *(len(c.encode()) for c in text)])
-            starts = m.start() + first[:-1] // 3 * 4
-            ends = np.minimum(m.start() + ((first[1:] - 1) // 3 + 1) * 4, m.end())
-        else:
-            starts = np.full(len(text), m.start())
-            ends = np.full(len(text), m.end())
-        yield layer.child(text, starts, ends, how)
+        for text, widths in _texts(data):
+            if not text:
+                continue
+            if how == "base64":
+                first = np.minimum(np.cumsum([0, *widths]), len(data))
+                starts = m.start() + first[:-1] // 3 * 4
+                ends = np.minimum(m.start() + ((np.maximum(first[1:], 1) - 1) // 3 + 1) * 4, m.end())
+            else:
+                starts = np.full(len(text), m.start())
+                ends = np.full(len(text), m.end())
+            yield layer.child(text, starts, ends, how)
 
 
 def scan_layers(text: str) -> list[tuple[int, str, int, str]]:
@@ -174,7 +181,7 @@ def scan_layers(text: str) -> list[tuple[int, str, int, str]]:
         for child in (_url(layer), _unicode(layer), *_base64(layer)):
             if child is None or child.text == layer.text:
                 continue
-            where = (child.place(0, len(child.text)), blake2b(child.text.encode(), digest_size=16).digest())
+            where = (child.place(0, len(child.text)), blake2b(child.text.encode("utf-8", "surrogatepass"), digest_size=16).digest())
             if where in seen:
                 continue
             seen.add(where)

@@ -110,3 +110,16 @@ def test_redaction_keeps_rows_columns_and_other_text(spark, odd):
     out = {r.doc_id: r.text for r in secrets.redact(docs).collect()}
     assert out == {1: "a [SECRET] b [SECRET] c", 2: None, 3: "clean"}
     assert secrets.redact(odd).columns == odd.columns and secrets.redact(odd).count() == odd.count()
+
+
+@pytest.mark.parametrize("around", ["\u00a0", "\u3000", "\u200b", "\u00ad", "\ufeff", "\u2028", "\x0c", "\x00", "日本語"])
+@pytest.mark.parametrize("code", ["utf-8", "utf-16", "utf-16-be"])
+def test_layers_with_any_character_are_scanned(around, code):
+    for pack in (bytes, gzip.compress):
+        text = base64.b64encode(pack(f"{around}été {KEY} {around}".encode(code))).decode()
+        assert [f for f in spans(text) if f[0] == "access"], (pack, text)
+
+
+def test_layers_with_bytes_that_are_no_text_are_scanned():
+    text = base64.b64encode(b"\xff\x80 " + KEY.encode() + b" \xc3").decode()
+    assert [f[:3] for f in spans(text)] == [("access", 4, 4 + 32)]
