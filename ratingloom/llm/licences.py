@@ -82,6 +82,11 @@ def _ngrams(words: str) -> Column:
     return F.array_distinct(F.concat(*grams))
 
 
+def _once(column: Column) -> Column:
+    """``column``, computed once a row: no filter or later column repeats what is generated."""
+    return F.explode(F.array(column))
+
+
 def _templates(spark: SparkSession) -> DataFrame:
     """``template, family, words`` of the fixed notices."""
     rows = F.array(*[F.struct(F.lit(f).alias("family"), F.lit(t).alias("text")) for f, t in TEMPLATES])
@@ -126,7 +131,8 @@ def train(docs: DataFrame, background: int = BACKGROUND, variants: int = VARIANT
     known = sorted(r["gram"] for r in templates.select(F.explode("grams").alias("gram")).distinct().collect())
     share = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(1 << 40)) / float(1 << 40)
     sample = docs.filter(share < background / max(docs.count(), 1)).select("doc_id", "text")
-    sampled = paragraphs(sample).select(_words(F.col("text")).alias("words")).withColumn("grams", _ngrams("words"))
+    sampled = paragraphs(sample).select(_once(_words(F.col("text"))).alias("words"))
+    sampled = sampled.select("words", _once(_ngrams("words")).alias("grams"))
     notice = F.lit(False)
     for _, words in sorted((r["template"], r["words"]) for r in templates.select("template", "words").collect()):
         triples = sorted({" ".join(words[i : i + 3]) for i in range(len(words) - 2)})
@@ -192,13 +198,13 @@ def scan(docs: DataFrame, classifier: Classifier, confirm: float = CONFIRM) -> D
     spark = docs.sparkSession
     known = F.array(*[F.lit(w) for w in classifier.words])
     # A look at the words first: without a word of a notice a line has no feature and is unknown.
-    lines = paragraphs(docs.select("doc_id", "text")).withColumn("words", _words(F.col("text")))
-    lines = lines.filter(F.arrays_overlap("words", known)).withColumn("grams", _ngrams("words"))
+    lines = paragraphs(docs.select("doc_id", "text")).select("*", _once(_words(F.col("text"))).alias("words"))
+    lines = lines.filter(F.arrays_overlap("words", known)).select("*", _once(_ngrams("words")).alias("grams"))
     raw = classifier.model.transform(classifier.vectors.transform(lines))
     k = len(classifier.families)
     best = F.slice("logits", 1, k - 1)
     margin = _margin(F.col("logits"), k - 1)
-    scored = raw.withColumn("logits", vector_to_array("rawPrediction")).select(
+    scored = raw.select("*", _once(vector_to_array("rawPrediction")).alias("logits")).select(
         "doc_id",
         "paragraph",
         "text",
