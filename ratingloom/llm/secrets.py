@@ -9,7 +9,6 @@ findings are reported there.
 """
 
 import base64
-import binascii
 import re
 import zlib
 from collections.abc import Iterator
@@ -39,6 +38,12 @@ _WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}")
+# Runs that go on over line breaks, as base64 is wrapped.
+_BREAK = re.compile(r"\r?\n[ \t]*")
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
+# Where compressed data can begin behind text that a run is glued to.
+_SEPARATOR = re.compile(r"[/_-]")
+_GLUED = re.compile(r"(?<=[/_-])(?:H4sI|e[A-P])")
 # Bytes that one compressed layer may unfold to, so that a bomb cannot fill the memory.
 UNFOLD_LIMIT = 1 << 26
 
@@ -146,30 +151,59 @@ def _texts(data: bytes) -> Iterator[tuple[str, np.ndarray]]:
             yield wide, np.array([4 if ord(c) > 0xFFFF else 2 for c in wide], dtype=np.int64)
 
 
+def _decoded(run: str) -> bytes:
+    """Bytes of ``run``, without what its last characters leave unfinished."""
+    run = run[: len(run) - 1] if len(run) % 4 == 1 else run
+    return base64.b64decode(run.replace("-", "+").replace("_", "/") + "=" * (-len(run) % 4))
+
+
+def _runs(text: str) -> Iterator[tuple[str, np.ndarray, int, list[int]]]:
+    """Base64 runs, each line and wrapped lines joined: characters, their places, the end, starts of lines in the run."""
+    for m in _BASE64.finditer(text):
+        yield m[0].rstrip("="), np.arange(m.start(), m.end()), m.end(), []
+    for m in _WRAPPED.finditer(text):
+        lines, places, starts, at, n = [], [], [], m.start(), 0
+        for line in _BREAK.finditer(text, m.start(), m.end()):
+            lines.append(text[at : line.start()])
+            places.append(np.arange(at, line.start()))
+            n += line.start() - at
+            starts.append(n)
+            at = line.end()
+        lines.append(text[at : m.end()])
+        places.append(np.arange(at, m.end()))
+        yield "".join(lines).rstrip("="), np.concatenate(places), m.end(), starts
+
+
 def _base64(layer: Layer) -> Iterator[Layer]:
-    for m in _BASE64.finditer(layer.text):
-        run = m[0].rstrip("=")
-        if len(run) % 4 == 1:
-            continue
-        try:
-            data = base64.b64decode(run.replace("-", "+").replace("_", "/") + "=" * (-len(run) % 4), validate=True)
-        except binascii.Error:
-            continue
-        how, opened = "base64", _unfolded(data)
-        while opened is not None:
-            # Compressed data maps to the whole run.
-            how, data, opened = f"{how}>compressed", opened, _unfolded(opened)
-        for text, widths in _texts(data):
-            if not text:
+    for run, places, stop, lines in _runs(layer.text):
+        # What a run is glued to shifts it by 0 to 3 characters; compressed data must begin at its first byte.
+        glued = [m.start() for m in _GLUED.finditer(run)]
+        glued += [n for n in lines if run.startswith(("H4sI", "eA", "eJ", "eN", "eF"), n)]
+        shifts = {0, *(m.end() % 4 for m in _SEPARATOR.finditer(run)), *(n % 4 for n in lines)}
+        for skip in [*sorted(shifts), *sorted(set(glued) - shifts)]:
+            if not skip and not lines and len(run) % 4 == 1:
+                continue
+            data, how = _decoded(run[skip:]), "base64"
+            opened = _unfolded(data)
+            if skip not in shifts and opened is None:
                 continue
-            if how == "base64":
-                first = np.minimum(np.cumsum([0, *widths]), len(data))
-                starts = m.start() + first[:-1] // 3 * 4
-                ends = np.minimum(m.start() + ((np.maximum(first[1:], 1) - 1) // 3 + 1) * 4, m.end())
-            else:
-                starts = np.full(len(text), m.start())
-                ends = np.full(len(text), m.end())
-            yield layer.child(text, starts, ends, how)
+            while opened is not None:
+                # Compressed data maps to the whole run.
+                how, data, opened = f"{how}>compressed", opened, _unfolded(opened)
+            for text, widths in _texts(data):
+                if not text:
+                    continue
+                if how == "base64":
+                    first = np.minimum(np.cumsum([0, *widths]), len(data))
+                    last = len(run) - 1
+                    starts = places[np.minimum(skip + first[:-1] // 3 * 4, last)]
+                    final = skip + (np.maximum(first[1:], 1) - 1) // 3 * 4 + 3
+                    # The padding belongs to the last characters.
+                    ends = np.where(final > last, stop, places[np.minimum(final, last)] + 1)
+                else:
+                    starts = np.full(len(text), places[skip])
+                    ends = np.full(len(text), stop)
+                yield layer.child(text, starts, ends, how)
 
 
 def scan_layers(text: str) -> list[tuple[int, str, int, str]]:

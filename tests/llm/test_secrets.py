@@ -123,3 +123,25 @@ def test_layers_with_any_character_are_scanned(around, code):
 def test_layers_with_bytes_that_are_no_text_are_scanned():
     text = base64.b64encode(b"\xff\x80 " + KEY.encode() + b" \xc3").decode()
     assert [f[:3] for f in spans(text)] == [("access", 4, 4 + 32)]
+
+
+@pytest.mark.parametrize("width", [64, 76])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_wrapped_base64_is_read_over_its_line_ends(width, end):
+    rng = random.Random(width)
+    noise = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(400))
+    for shift in range(0, 60, 7):
+        for pack in (bytes, gzip.compress, zlib.compress):
+            for text in ("é" * shift + KEY, noise + KEY, "x" * shift + f" {KEY}"):
+                coded = base64.b64encode(pack(text.encode())).decode()
+                lines = end.join(coded[i : i + width] for i in range(0, len(coded), width))
+                found = [f for f in spans(f"see\n\n{lines}\n\nend") if f[0] == "access"]
+                assert found and all(5 <= f[1] < f[2] <= 5 + len(lines) for f in found), (shift, pack, text)
+
+
+@pytest.mark.parametrize("before", ["/v1/", "a/", "ab-", "abc_", "path/to_the-file/"])
+def test_base64_glued_to_text_is_read(before):
+    for pack in (bytes, gzip.compress, zlib.compress):
+        coded = base64.b64encode(pack(f"x {KEY} y".encode())).decode()
+        found = [f for f in spans(before + coded) if f[0] == "access"]
+        assert found and all(f[2] <= len(before + coded) for f in found), (pack, before)
