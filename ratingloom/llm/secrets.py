@@ -11,9 +11,10 @@ findings are reported there.
 import base64
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from hashlib import blake2b
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +45,9 @@ _WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}(?:\r?\n[ \t]*[A
 # Where compressed data can begin behind text that a run is glued to.
 _SEPARATOR = re.compile(r"[/_-]")
 _GLUED = re.compile(r"(?<=[/_-])(?:H4sI|e[A-P])")
-# Bytes that one compressed layer may unfold to, so that a bomb cannot fill the memory.
-UNFOLD_LIMIT = 1 << 26
+# Bytes unfolded at once, and of a window of compressed data that is scanned at once; it ends at a space,
+# or at HELD bytes without one, and begins again OVERLAP bytes before the last one's end.
+PIECE, WINDOW, HELD, OVERLAP = 1 << 18, 1 << 21, 1 << 24, 1 << 14
 
 
 @dataclass(frozen=True)
@@ -126,14 +128,63 @@ def _unicode(layer: Layer) -> Layer | None:
     return _replaced(layer, pieces, "unicode") if pieces else None
 
 
-def _unfolded(data: bytes) -> bytes | None:
-    """Contents of gzip or zlib data."""
-    if data[:2] != b"\x1f\x8b" and not (len(data) > 2 and data[0] == 0x78 and (data[0] * 256 + data[1]) % 31 == 0):
-        return None
-    try:
-        return zlib.decompressobj(47).decompress(data, UNFOLD_LIMIT)
-    except zlib.error:
+def _packed(data: bytes) -> bool:
+    return data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] == 0x78 and (data[0] * 256 + data[1]) % 31 == 0)
+
+
+def _pieces(chunks: Iterable[bytes]) -> Iterator[bytes]:
+    """Contents of gzip or zlib data, member after member, up to its end or a fault."""
+    tool = zlib.decompressobj(47)
+    for data in chunks:
+        while True:
+            try:
+                out = tool.decompress(data, PIECE)
+            except zlib.error:
+                return
+            if out:
+                yield out
+            if tool.eof:
+                data, tool = tool.unused_data.lstrip(b"\0"), zlib.decompressobj(47)
+                if not data:
+                    break
+            else:
+                data = tool.unconsumed_tail
+                if not data and len(out) < PIECE:
+                    break
+
+
+def _windows(pieces: Iterable[bytes]) -> Iterator[bytes]:
+    held = b""
+    for piece in pieces:
+        held += piece
+        if len(held) < WINDOW:
+            continue
+        cut = held.rfind(b" ", 2 * OVERLAP)
+        if cut < 0:
+            if len(held) < HELD:
+                continue
+            cut = len(held)
+        # An even cut keeps the two bytes of UTF-16 together.
+        cut -= cut % 2
+        yield held[:cut]
+        held = held[cut - OVERLAP :]
+    if held:
+        yield held
+
+
+def _unfolded(data: bytes) -> tuple[str, Iterator[bytes]] | None:
+    """Way and windows of what gzip or zlib data unfolds to, through all its compressed layers."""
+    if not _packed(data):
         return None
+    how, first, pieces, seen = "", data, iter(()), set()
+    while _packed(first) and first not in seen:
+        seen.add(first)
+        inner = _pieces(chain([first], pieces))
+        begun = next(inner, None)
+        if begun is None:
+            break
+        how, first, pieces = f"{how}>compressed", begun, inner
+    return (how, _windows(chain([first], pieces))) if how else None
 
 
 def _texts(data: bytes) -> Iterator[tuple[str, np.ndarray]]:
@@ -187,10 +238,10 @@ def _base64(layer: Layer) -> Iterator[Layer]:
             opened = _unfolded(data)
             if skip not in shifts and opened is None:
                 continue
-            while opened is not None:
+            if opened is not None:
                 # Compressed data maps to the whole run.
-                how, data, opened = f"{how}>compressed", opened, _unfolded(opened)
-            for text, widths in _texts(data):
+                how = f"base64{opened[0]}"
+            for data, (text, widths) in ((d, t) for d in (opened[1] if opened else [data]) for t in _texts(d)):
                 if not text:
                     continue
                 if how == "base64":
@@ -206,23 +257,34 @@ def _base64(layer: Layer) -> Iterator[Layer]:
                 yield layer.child(text, starts, ends, how)
 
 
+def _children(layer: Layer) -> Iterator[Layer]:
+    for unwrapped in (_url, _unicode):
+        child = unwrapped(layer)
+        if child is not None and child.text != layer.text:
+            yield child
+    for child in _base64(layer):
+        if child.text != layer.text:
+            yield child
+
+
 def scan_layers(text: str) -> list[tuple[int, str, int, str]]:
     """``(start, kind, end, via)`` of all secrets, those of the text itself with an empty ``via``."""
     found = {(start, kind, end): "" for start, kind, end in scan_text(text)}
-    worklist, seen = [Layer(text)], set()
+    # One child of each open layer at a time, so that unfolded windows are not held together.
+    worklist, seen = [_children(Layer(text))], set()
     while worklist:
-        layer = worklist.pop()
-        for child in (_url(layer), _unicode(layer), *_base64(layer)):
-            if child is None or child.text == layer.text:
-                continue
-            where = (child.place(0, len(child.text)), blake2b(child.text.encode("utf-8", "surrogatepass"), digest_size=16).digest())
-            if where in seen:
-                continue
-            seen.add(where)
-            worklist.append(child)
-            for start, kind, end in scan_text(child.text):
-                start, end = child.place(start, end)
-                found.setdefault((start, kind, end), child.via)
+        child = next(worklist[-1], None)
+        if child is None:
+            worklist.pop()
+            continue
+        where = (child.place(0, len(child.text)), blake2b(child.text.encode("utf-8", "surrogatepass"), digest_size=16).digest())
+        if where in seen:
+            continue
+        seen.add(where)
+        for start, kind, end in scan_text(child.text):
+            start, end = child.place(start, end)
+            found.setdefault((start, kind, end), child.via)
+        worklist.append(_children(child))
     order = sorted(found.items(), key=lambda f: (f[0][0], KINDS.index(f[0][1]), f[0][2]))
     return [(start, kind, end, via) for (start, kind, end), via in order]
 
@@ -236,8 +298,8 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     Findings come by start, then kind; positions are code points, the end is
     exclusive; ``via`` names the decoded layers, empty for the text itself. What
     is found in the text itself stays, whatever the layers add; the same span of
-    the same kind is reported once. A compressed layer is read up to 64 MB. A
-    null text counts as empty; every row gives one row, further columns are
+    the same kind is reported once. Compressed layers are read whole,
+    in windows. A null text counts as empty; every row gives one row, further columns are
     ignored; an empty table gives no rows.
     """
 

@@ -145,3 +145,13 @@ def test_base64_glued_to_text_is_read(before):
         coded = base64.b64encode(pack(f"x {KEY} y".encode())).decode()
         found = [f for f in spans(before + coded) if f[0] == "access"]
         assert found and all(f[2] <= len(before + coded) for f in found), (pack, before)
+
+
+def test_all_members_of_compressed_data_are_read():
+    for data in (gzip.compress(b"abc ") + gzip.compress(KEY.encode()), gzip.compress(KEY[:9].encode()) + gzip.compress(KEY[9:].encode())):
+        assert [f[0] for f in spans(base64.b64encode(data).decode())] == ["access"]
+
+
+def test_compressed_data_is_read_to_its_end():
+    text = base64.b64encode(gzip.compress(b"some filler. " * 5_400_000 + KEY.encode(), 1)).decode()
+    assert [f[0] for f in spans(text)] == ["access"]
