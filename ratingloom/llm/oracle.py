@@ -40,6 +40,26 @@ _TOP_K = """
     where rank <= 5"""
 
 
+_HARD_NEGATIVES = """
+    with vectors as (
+      select vec_id, case when vec_id % 7 = 0 then (cast(label as bigint) + 1) % 10 else label end as label,
+             list_transform(embedding, lambda x: floor(256 * cast(x as double))) as w from embeddings
+      where vec_id is not null and label is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    scores as (
+      select a.vec_id as anchor_id, a.label = b.label as same, b.vec_id, cast(list_dot_product(a.w, b.w) as bigint) as score
+      from vectors a join vectors b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+    positives as (
+      select anchor_id, vec_id as positive_id, score as positive_score from scores where same
+      qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+    select anchor_id, positive_id,
+           cast(row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) as int) as rank,
+           vec_id as negative_id, positive_score, score as negative_score
+    from positives join scores using (anchor_id)
+    where not same and 80 * positive_score <= 100 * score and score <= positive_score
+    qualify rank <= 5"""
+
+
 def _rules() -> str:
     return " union all ".join(
         f"select n, lang, source, '{r.name}' as rule, {r.slack} as slack, "
@@ -98,4 +118,5 @@ SQL = {
     "op5_circulant_minhash": _NEAR_DUPLICATES,
     "op9_exact_topk": _TOP_K,
     "op10_quality_rules": _QUALITY,
+    "op11_hard_negatives": _HARD_NEGATIVES,
 }

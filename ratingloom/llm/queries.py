@@ -3,7 +3,21 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ratingloom.llm import attribution, bpe, langid, licences, minhash, mixing, oracle, quality, repeats, secrets, topk
+from ratingloom.llm import (
+    attribution,
+    bpe,
+    conversations,
+    langid,
+    licences,
+    minhash,
+    mixing,
+    negatives,
+    oracle,
+    quality,
+    repeats,
+    secrets,
+    topk,
+)
 
 
 def vocabulary_path() -> str:
@@ -57,6 +71,15 @@ def op10_quality_rules(spark, folder):
     return quality.quality_rules(_table(spark, folder, "documents"))
 
 
+def op11_hard_negatives(spark, folder):
+    return negatives.hard_negatives(negatives.relabelled(_table(spark, folder, "embeddings")))
+
+
+def op13_conversation_repair(spark, folder):
+    turns = _table(spark, folder, "conversations")
+    return conversations.repair(conversations.damage(turns), turns)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -70,6 +93,8 @@ QUERIES = {
         op8_section_tokens,
         op9_exact_topk,
         op10_quality_rules,
+        op11_hard_negatives,
+        op13_conversation_repair,
     )
 }
 

@@ -11,7 +11,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_registered_once_per_operator():
     names = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert names == list(range(1, 11))
+    assert names == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(driver.queries())
 
 
