@@ -17,6 +17,7 @@ from ratingloom.llm import (
     repeats,
     secrets,
     topk,
+    wrappers,
 )
 
 
@@ -75,6 +76,10 @@ def op11_hard_negatives(spark, folder):
     return negatives.hard_negatives(negatives.relabelled(_table(spark, folder, "embeddings")))
 
 
+def op12_page_text(spark, folder):
+    return wrappers.extract(_table(spark, folder, "pages"))
+
+
 def op13_conversation_repair(spark, folder):
     turns = _table(spark, folder, "conversations")
     return conversations.repair(conversations.damage(turns), turns)
@@ -94,6 +99,7 @@ QUERIES = {
         op9_exact_topk,
         op10_quality_rules,
         op11_hard_negatives,
+        op12_page_text,
         op13_conversation_repair,
     )
 }
