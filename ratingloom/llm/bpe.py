@@ -202,17 +202,21 @@ def load_vocabulary(path: str) -> Vocabulary:
         return Vocabulary(file.read())
 
 
-def blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def blocks(
+    batches: Iterator[pa.RecordBatch], limit: int = BLOCK, column: int = -1
+) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Runs of rows whose texts (the last column, null as empty) have about ``limit`` characters at most."""
     for batch in batches:
-        texts = batch.column(batch.num_columns - 1)
-        start, held, lengths = 0, 0, pc.utf8_length(texts).to_pylist()
+        column %= batch.num_columns
+        start, held, lengths = 0, 0, pc.utf8_length(batch.column(column)).to_pylist()
         for i, length in enumerate(lengths):
             held += length or 0
             if held >= limit or i + 1 == len(lengths):
                 part = batch.slice(start, i + 1 - start)
-                yield part, [t or "" for t in part.column(part.num_columns - 1).to_pylist()]
+                yield part, [t or "" for t in part.column(column).to_pylist()]
                 start, held = i + 1, 0
+    # A worker lives on; what it needed here goes back.
+    pa.default_memory_pool().release_unused()
 
 
 def transcode(docs: DataFrame, vocabulary_path: str) -> DataFrame:

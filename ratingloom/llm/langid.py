@@ -33,8 +33,12 @@ SEQUENCE = 240
 EPOCHS = 12
 RATE = 0.4
 PENALTY = 1e-6
-# Text labelled at once, in characters: its longest document sets the number of steps.
-BLOCK = 1 << 23
+# Text labelled at once, in characters.
+BLOCK = 1 << 21
+# Words of a piece: longer texts are cut into pieces that run side by side, so that the number
+# of steps does not grow with the longest text. And distinct words whose features are held at once.
+PIECE = 256
+WORDS = 1 << 14
 
 
 def words_of(text: str) -> list[str]:
@@ -97,34 +101,48 @@ class Field:
 
     def potentials(self, words: list[str]) -> np.ndarray:
         """exp(emission) of each word, scaled to at most 1."""
-        features, owners = word_features(words)
-        e = _per_word(self.table[features], owners, len(words))
-        return np.exp(np.maximum(e - e.max(axis=1, keepdims=True), -30))
+        out = np.empty((len(words), len(self.languages)))
+        for start in range(0, len(words), WORDS):
+            part = words[start : start + WORDS]
+            features, owners = word_features(part)
+            e = _per_word(self.table[features], owners, len(part))
+            out[start : start + WORDS] = np.exp(np.maximum(e - e.max(axis=1, keepdims=True), -30))
+        return out
 
 
 def posteriors(
-    potentials: np.ndarray, ids: np.ndarray, lengths: np.ndarray, steps: np.ndarray, first: np.ndarray
+    potentials: np.ndarray,
+    ids: np.ndarray,
+    lengths: np.ndarray,
+    steps: np.ndarray,
+    first: np.ndarray,
+    enter: np.ndarray | None = None,
+    leave: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Marginals of every word of every sequence, and the summed expected transitions, by forward-backward.
 
     ``ids`` hold the words of all sequences one after the other. Sequences run
     side by side, longest first, so the work per step shrinks as they end.
+    ``enter`` and ``leave`` hold what a piece of a longer sequence gets from the
+    words before and behind it; without them a sequence is a whole one.
     """
     order = np.argsort(-lengths, kind="stable")
     starts = (np.cumsum(lengths) - lengths)[order]
     sizes = lengths[order]
     move = np.exp(steps - steps.max())
+    ends = np.ones((len(sizes), potentials.shape[1])) if leave is None else leave[order]
+    begins = np.exp(first - first.max()) if enter is None else enter[order]
     forward = np.empty((len(ids), potentials.shape[1]), dtype=potentials.dtype)
     active = np.searchsorted(-sizes, -np.arange(1, (sizes[0] if len(sizes) else 0) + 1), side="right")
     state = None
     for t, n in enumerate(active):
         at = starts[:n] + t
-        state = np.exp(first - first.max()) * potentials[ids[at]] if t == 0 else (state[:n] @ move) * potentials[ids[at]]
+        state = begins * potentials[ids[at]] if t == 0 else (state[:n] @ move) * potentials[ids[at]]
         state /= state.sum(axis=1, keepdims=True)
         forward[at] = state
     marginals = np.empty_like(forward)
     expected = np.zeros_like(move)
-    back = np.ones((0, potentials.shape[1]))
+    back = ends[:0]
     for t in range(len(active) - 1, -1, -1):
         n = active[t]
         at = starts[:n] + t
@@ -134,15 +152,62 @@ def posteriors(
             here = later @ move.T
             scale = (forward[at[:m]] * here).sum(axis=1, keepdims=True)
             expected += move * (forward[at[:m]].T @ (later / scale))
-            back = np.ones((n, potentials.shape[1]))
+            back = ends[:n].copy()
             back[:m] = here / here.max(axis=1, keepdims=True)
         else:
-            back = np.ones((n, potentials.shape[1]))
+            back = ends[:n].copy()
         both = forward[at] * back
         marginals[at] = both / both.sum(axis=1, keepdims=True)
     return marginals, expected
 
 
+def piecewise_posteriors(
+    potentials: np.ndarray, ids: np.ndarray, lengths: np.ndarray, steps: np.ndarray, first: np.ndarray, piece: int = 0
+) -> np.ndarray:
+    """The marginals of ``posteriors`` in time proportional to the words, however long a sequence is.
+
+    Long sequences are cut into pieces. What a piece does to a message, forward
+    and backward, is a matrix; all matrices are made side by side, the messages
+    between pieces follow from them, and forward-backward then runs inside all
+    pieces at once.
+    """
+    piece = piece or PIECE
+    if not len(lengths) or lengths.max() <= piece:
+        return posteriors(potentials, ids, lengths, steps, first)[0]
+    k = potentials.shape[1]
+    move = np.exp(steps - steps.max())
+    counts = -(-lengths // piece)
+    owner = np.repeat(np.arange(len(lengths)), counts)
+    rank = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+    sizes = np.minimum(lengths[owner] - rank * piece, piece)
+    starts = np.cumsum(sizes) - sizes
+    # through[p, a, b]: from language a before a piece to language b at its last word.
+    through = np.broadcast_to(np.eye(k), (len(owner), k, k)).copy()
+    for t in range(piece):
+        at = np.flatnonzero((sizes > t) & (counts[owner] > 1))
+        if not len(at):
+            break
+        # No move leads to the first word of a sequence.
+        moved = through[at] @ move if t else np.where(rank[at, None, None] > 0, move, np.eye(k))
+        here = moved * potentials[ids[starts[at] + t]][:, None, :]
+        through[at] = here / here.max(axis=(1, 2), keepdims=True)
+    place = np.cumsum(counts) - counts
+    enter, leave = np.empty((len(owner), k)), np.ones((len(owner), k))
+    message = np.tile(np.exp(first - first.max()), (len(lengths), 1))
+    enter[place] = message
+    for j in range(counts.max() - 1):
+        longer = np.flatnonzero(counts > j + 1)
+        at = place[longer] + j
+        here = (message[longer][:, None, :] @ through[at])[:, 0]
+        message[longer] = here / here.sum(axis=1, keepdims=True)
+        enter[at + 1] = message[longer] @ move
+    for j in range(counts.max() - 1, 0, -1):
+        at = place[counts > j] + j
+        here = (through[at] @ leave[at][:, :, None])[:, :, 0]
+        leave[at - 1] = here / here.max(axis=1, keepdims=True)
+    return posteriors(potentials, ids, sizes, steps, first, enter, leave)[0]
+
+
 def _training_sequences(texts: list[list[str]], labels: np.ndarray, rng) -> Iterator[list[tuple[int, int, int]]]:
     """Sequences of (document, start, end): whole documents in segments, most of them strung with other languages."""
     segments = []
@@ -251,7 +316,7 @@ def label_block(field: Field, texts: list[str]) -> tuple[list[str], np.ndarray,
     distinct = list(vocabulary)
     potentials = field.potentials(distinct).astype(np.float32)
     filled = lengths[lengths > 0]
-    return distinct, ids, lengths, posteriors(potentials, ids, filled, field.steps, field.first)[0]
+    return distinct, ids, lengths, piecewise_posteriors(potentials, ids, filled, field.steps, field.first)
 
 
 def _predictions(field: Field | None, texts: list[str]) -> tuple[list[str], np.ndarray]:
@@ -292,7 +357,11 @@ def identify(docs: DataFrame, field: Field | None) -> DataFrame:
 
 
 def label_words(docs: DataFrame, field: Field) -> DataFrame:
-    """Every word with its own language: ``doc_id, position, word, lang, score``."""
+    """Every word with its own language: ``doc_id, position, word, lang, score``.
+
+    Texts that are null or without a letter have no words; every repeated row
+    has its own; an empty table gives none.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,23 +385,22 @@ def label_words(docs: DataFrame, field: Field) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, field: Field | None, least: float = 0.3) -> DataFrame:
-    """``docs`` without those of unknown language or a score under ``least``; a null ``lang`` becomes the prediction."""
+    """``docs`` without those of unknown language or a score under ``least``; a null ``lang`` becomes the prediction.
+
+    Unknown are texts that are null or without a letter, and all texts if
+    nothing was learned; repeated rows are judged alike, further columns stay;
+    an empty table gives none.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(field)
     text, lang = docs.columns.index("text"), docs.columns.index("lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            with_text = pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(batch.num_rows)), batch.column(text)], names=["row", "text"]
-            )
-            names, scores = [], []
-            for _, texts in blocks([with_text], BLOCK):
-                found = _predictions(shared.value, texts)
-                names += found[0]
-                scores += found[1].tolist()
-            kept = pa.array([n != UNKNOWN and s >= least for n, s in zip(names, scores)], pa.bool_())
-            known = [old if old is not None else new for old, new in zip(batch.column(lang).to_pylist(), names)]
-            batch = batch.set_column(lang, batch.schema.field(lang), pa.array(known, batch.schema.field(lang).type))
-            yield batch.filter(kept)
+            for part, texts in blocks(iter([batch]), BLOCK, text):
+                names, scores = _predictions(shared.value, texts)
+                kept = pa.array([n != UNKNOWN and s >= least for n, s in zip(names, scores)], pa.bool_())
+                known = [old if old is not None else new for old, new in zip(part.column(lang).to_pylist(), names)]
+                part = part.set_column(lang, part.schema.field(lang), pa.array(known, part.schema.field(lang).type))
+                yield part.filter(kept)
 
     return docs.mapInArrow(run, docs.schema)

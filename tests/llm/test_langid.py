@@ -1,4 +1,5 @@
 import itertools
+import time
 import zlib
 
 import numpy as np
@@ -92,3 +93,26 @@ def test_nothing_to_learn_from(empty, odd):
 
 def test_training_on_wordless_texts_gives_nothing():
     assert langid.train(["123", ""], ["en", "de"]) is None
+
+
+def test_pieces_give_the_marginals_of_whole_sequences():
+    rng = np.random.default_rng(11)
+    potentials = rng.random((50, 3)) ** 4 + 1e-6
+    steps, first = rng.normal(size=(3, 3)) * 2, rng.normal(size=3)
+    lengths = np.array([1, 7, 8, 9, 40, 1, 63, 16, 200])
+    ids = rng.integers(0, 50, lengths.sum())
+    whole = langid.posteriors(potentials, ids, lengths, steps, first)[0]
+    for piece in (1, 2, 8, 64, 500):
+        assert np.allclose(langid.piecewise_posteriors(potentials, ids, lengths, steps, first, piece), whole, atol=1e-9)
+    assert len(langid.piecewise_posteriors(potentials, ids[:0], lengths[:0], steps, first)) == 0
+
+
+def test_long_text_takes_time_in_proportion():
+    texts = [" ".join(f"wort{i % 97} der die das" for i in range(60)), " ".join(f"word{i % 89} the of and" for i in range(60))]
+    field = langid.train(texts * 4, ["de", "en"] * 4)
+    start = time.perf_counter()
+    many = langid._predictions(field, [texts[1]] * 4000)
+    middle = time.perf_counter()
+    one = langid._predictions(field, [" ".join([texts[1]] * 4000)])
+    assert time.perf_counter() - middle < 5 * (middle - start) + 1
+    assert set(many[0]) == {"en"} == set(one[0])
