@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ratingloom.operators.skew import hot_limit, split_join
 from ratingloom.session import durable
 
 
@@ -12,8 +13,10 @@ def _stars(edges: DataFrame, larger: bool) -> DataFrame:
         both = edges.union(edges.select("b", "a")).toDF("u", "v")
     else:
         both = edges.toDF("u", "v")
-    least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-    joined = both.join(least.withColumnRenamed("u", "u2"), F.col("u") == F.col("u2"))
+    # Summed before the shuffle and stored, so that a node with many links is no hot key: its links are dealt out.
+    least = durable(both.groupBy("u").agg(F.min("v").alias("least"), F.count("*").alias("n")), "least")
+    least = least.select("u", F.least("u", "least").alias("m"), "n")
+    joined = split_join(both, least, "u", hot_limit(least))
     if larger:
         linked = joined.filter("v > u").select("v", "m")
     else:
@@ -21,21 +24,25 @@ def _stars(edges: DataFrame, larger: bool) -> DataFrame:
     return linked.toDF("a", "b").filter("a > b").distinct()
 
 
+def _state(edges: DataFrame) -> tuple[int, int, int]:
+    """Count and checksums of distinct edges; equal tables have equal ones."""
+    code = F.xxhash64("a", "b")
+    return tuple(edges.agg(F.count("*"), F.bit_xor(code), F.bit_xor(F.xxhash64(code, "b"))).first())
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` of every node of ``edges(a, b)``: component is the smallest node it reaches.
 
-    Alternates large and small stars (Kiveris et al., 2014) until nothing
-    changes, in about log(nodes) rounds; each round is stored, so lost executors
-    cost no earlier one. Loops, repeated and reversed edges are allowed. Minima
-    are summed before the shuffle, so a node with many links is no hot group.
+    Nodes are of any type that has an order. Alternates large and small stars
+    (Kiveris et al., 2014) until nothing changes, in about log(nodes) rounds; each
+    round is stored, so lost executors cost no earlier one. Loops, repeated and
+    reversed edges are allowed; a loop alone is no node. An empty table gives none.
     """
     ordered = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b").distinct()
     current = durable(ordered, "edges")
-    while True:
-        following = durable(_stars(_stars(current, True), False), "edges")
-        same = current.exceptAll(following).isEmpty() and following.exceptAll(current).isEmpty()
-        current = following
-        if same:
-            break
+    state, before = _state(current), None
+    while state[0] and state != before:
+        current = durable(_stars(durable(_stars(current, True), "edges"), False), "edges")
+        state, before = _state(current), state
     roots = current.select("b").distinct()
     return current.toDF("node", "component").union(roots.select("b", "b"))

@@ -5,14 +5,15 @@ the first spreads the shingles, the second is applied after a circular shift by
 k for coordinate k (Li and Li, 2022). Bands of five coordinates out of 200 make
 buckets; a pair of similarity 0.8 shares none with probability 1.3e-7.
 
-Equal sets are one class from the start. Signatures that agree in 130 of 200
-coordinates, compared inside the buckets, make families: first every class with
-the smallest class of its buckets, then what still differs inside a bucket, in
-tiles of bounded size, each of which returns a forest and not its pairs. A family
-holds every link of its members. Their full sets meet once, in tiles again, and a
-search from set to set that drops what it has reached links them exactly. So a
-group of copies of any size never becomes all its pairs, and no link between
-different components is lost.
+Equal sets are one class from the start, whatever ids they come with. Signatures
+that agree in 130 of 200 coordinates, compared inside the buckets, make families:
+first every class with the smallest class of its buckets, then what still differs
+inside a bucket, in tiles of bounded size, each of which returns a forest and not
+its pairs. A family holds every link of its members. Their full sets meet once, in
+tiles again, and a search from set to set that drops what it has reached links
+them exactly. So a group of copies of any size never becomes all its pairs, and no
+link between different components is lost. Ids come in at the end: the sets of one
+id are one document.
 """
 
 from collections.abc import Callable, Iterator
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratingloom.llm.bloom import Filter, build_filter
+from ratingloom.llm.bpe import blocks
 from ratingloom.llm.graph import components
 from ratingloom.llm.words import documents
 from ratingloom.operators.skew import hot_limit, split_join
@@ -41,7 +43,7 @@ TILE, TILE_SHINGLES = 2048, 1 << 21
 # Shingles hashed at once; the arrays stay in the processor's cache.
 _RUN = 1 << 15
 # Text held at once, in characters.
-_BLOCK = 1 << 22
+_BLOCK = 1 << 20
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _PLACE = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
@@ -119,52 +121,49 @@ def signatures_of(sets: list[np.ndarray], coordinates: int) -> np.ndarray:
     return result
 
 
-def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, list[str | None]]]:
-    """Ids and texts of ``batch`` in runs of bounded length."""
-    texts = batch.column(1).to_pylist()
-    start, held = 0, 0
-    for i, text in enumerate(texts):
-        held += len(text or "")
-        if held >= _BLOCK or i + 1 == len(texts):
-            yield batch.column(0).slice(start, i + 1 - start), texts[start : i + 1]
-            start, held = i + 1, 0
+def _set_hashes(sets: list[np.ndarray]) -> pa.Array:
+    return pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary())
+
+
+def codes_of(signed: np.ndarray) -> np.ndarray:
+    """One byte per coordinate. The low one: minima of large sets have few high bits."""
+    return (signed & np.uint32(255)).astype(np.uint8)
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for ids, texts in _blocks(batch):
-            sets = shingle_sets(texts)
-            filled = [s for s in sets if len(s)]
-            signed = signatures_of(filled, BANDS * ROWS)
-            grouped = signed.reshape(len(filled), BANDS, ROWS).astype(np.uint64)
-            bands = np.zeros((len(filled), BANDS), dtype=np.uint64)
-            for row in range(ROWS):
-                bands = _mixed(bands + grouped[:, :, row])
-            bands = _mixed(bands + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
-            codes = (signed >> np.uint32(24)).astype(np.uint8)
-            rows = iter(range(len(filled)))
-            place = [next(rows) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    ids.cast(pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                    pa.array([None if p is None else bands[p] for p in place], pa.list_(pa.int64())),
-                    pa.array([None if p is None else codes[p].tobytes() for p in place], pa.binary()),
-                ],
-                names=["doc_id", "n_shingles", "set_hash", "bands", "code"],
-            )
+    for part, texts in blocks(batches, _BLOCK):
+        sets = shingle_sets(texts)
+        filled = [s for s in sets if len(s)]
+        signed = signatures_of(filled, BANDS * ROWS)
+        grouped = signed.reshape(len(filled), BANDS, ROWS)
+        bands = np.zeros((len(filled), BANDS), dtype=np.uint64)
+        for row in range(ROWS):
+            bands = _mixed(bands + grouped[:, :, row].astype(np.uint64))
+        bands = _mixed(bands + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+        codes = codes_of(signed)
+        rows = iter(range(len(filled)))
+        place = [next(rows) if len(s) else None for s in sets]
+        yield pa.RecordBatch.from_arrays(
+            [
+                part.column(0).cast(pa.int64()),
+                pa.array([len(s) for s in sets], pa.int64()),
+                _set_hashes(sets),
+                pa.array([None if p is None else bands[p] for p in place], pa.list_(pa.int64())),
+                pa.array([None if p is None else codes[p].tobytes() for p in place], pa.binary()),
+            ],
+            names=["doc_id", "n_shingles", "set_hash", "bands", "code"],
+        )
 
 
 def _sets_of(wanted: Filter):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            batch = batch.filter(wanted.mask(batch.column(0)))
-            for ids, texts in _blocks(batch):
-                found = [s.view(np.int64) for s in shingle_sets(texts)]
-                yield pa.RecordBatch.from_arrays(
-                    [ids.cast(pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "shingles"]
-                )
+        kept = (batch.filter(wanted.mask(batch.column(0))) for batch in batches)
+        for _, texts in blocks(kept, _BLOCK):
+            found = [s for s in shingle_sets(texts) if len(s)]
+            yield pa.RecordBatch.from_arrays(
+                [_set_hashes(found), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))],
+                names=["set_hash", "shingles"],
+            )
 
     return sets
 
@@ -191,7 +190,7 @@ def _by_tile(forest: Callable[[pd.DataFrame], list[tuple[int, int]]]):
         for part in np.split(np.arange(len(whole)), cuts):
             if len(part) > 1:
                 found.update(forest(whole.iloc[part]))
-        return pd.DataFrame(sorted(found), columns=["a", "b"], dtype="int64")
+        return pd.DataFrame(sorted(found), columns=["a", "b"])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -212,7 +211,7 @@ def _by_tile(forest: Callable[[pd.DataFrame], list[tuple[int, int]]]):
 
 def _code_forest(tile: pd.DataFrame) -> list[tuple[int, int]]:
     """Edges that join the components of a tile whose codes are alike."""
-    ids, component = tile["doc_id"].to_numpy(), tile["component"].to_numpy().copy()
+    ids, component = tile["node"].to_numpy(), tile["component"].to_numpy().copy()
     codes = np.frombuffer(b"".join(tile["code"]), dtype=np.uint8).reshape(len(ids), -1)
     edges = []
     for at in range(len(ids)):
@@ -228,7 +227,7 @@ def _code_forest(tile: pd.DataFrame) -> list[tuple[int, int]]:
 
 def _set_forest(tile: pd.DataFrame) -> list[tuple[int, int]]:
     """Edges of similarity enough that connect what is connected in a tile, by exact intersection."""
-    ids, sets = tile["doc_id"].to_numpy(), tile["shingles"].tolist()
+    ids, sets = tile["node"].to_numpy(), tile["shingles"].tolist()
     sizes = np.array([len(s) for s in sets])
     ends = np.cumsum(sizes)
     values, flat = np.unique(np.concatenate(sets), return_inverse=True)
@@ -255,16 +254,61 @@ def _set_forest(tile: pd.DataFrame) -> list[tuple[int, int]]:
     return edges
 
 
-def _tiled(members: DataFrame, sizes: DataFrame, *columns: str) -> DataFrame:
-    """``members(key, doc_id, ...)`` in tiles of ``sizes(key, tiles)``: one row for every tile a member is in."""
+def _tiled(members: DataFrame, *columns: str) -> DataFrame:
+    """``members(key, tiles, node, ...)``, nodes distinct inside a key: one row for every tile a member is in."""
     return (
-        members.join(sizes, "key")
-        .withColumn("side", F.pmod(F.xxhash64("doc_id"), "tiles").cast("int"))
+        members.withColumn("side", F.pmod(F.xxhash64("node"), "tiles").cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-        .select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "doc_id", *columns)
+        .select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "node", *columns)
         .repartition("key", "i", "j")
-        .sortWithinPartitions("key", "i", "j", "doc_id")
+        .sortWithinPartitions("key", "i", "j", "node")
+    )
+
+
+def _families(classes: DataFrame) -> DataFrame:
+    """``sid, key`` of every class that may have links: those of one key hold all links of each other."""
+    codes = classes.select("sid", "code")
+    buckets = classes.select("sid", F.explode("bands").alias("key"))
+    leaders = buckets.groupBy("key").agg(F.min("sid").alias("leader"), F.count("*").alias("n")).filter("n > 1")
+    leaders = durable(leaders, "minhash-leaders")
+    shared = durable(split_join(buckets, leaders, "key", hot_limit(leaders)), "minhash-buckets")
+
+    stars = shared.filter("sid > leader").select(F.col("sid").alias("a"), F.col("leader").alias("b")).distinct()
+    # Both sides of the joins are stored tables, so a leader of very many classes is divided at run time.
+    stars = durable(stars, "minhash-pairs")
+    stars = stars.join(codes.toDF("a", "code_a"), "a").join(codes.toDF("b", "code_b"), "b")
+    alike = stars.select("a", "b", "code_a", "code_b").mapInArrow(_alike, "a long, b long")
+    families = durable(components(alike), "minhash-families").toDF("sid", "component")
+
+    members = shared.select("key", "sid").join(families, "sid", "left")
+    members = members.withColumn("component", F.coalesce("component", "sid"))
+    mixed = members.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")
+    )
+    mixed = mixed.filter("low < high").select("key", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
+    across = members.join(durable(mixed, "minhash-mixed"), "key").join(codes, "sid").withColumnRenamed("sid", "node")
+    across = _tiled(across, "component", "code").mapInPandas(_by_tile(_code_forest), "a long, b long")
+    across = durable(across, "minhash-across")
+    if not across.isEmpty():
+        families = durable(components(families.union(across).toDF("a", "b")), "minhash-families")
+    return families.toDF("sid", "key")
+
+
+def _set_links(docs: DataFrame, classes: DataFrame, families: DataFrame) -> DataFrame:
+    """Edges ``a, b`` between set hashes that connect what is connected by links of full sets."""
+    members = classes.select("set_hash", "sid", "doc_id", "n_shingles").join(families, "sid")
+    members = durable(members, "minhash-members")
+    counts = members.groupBy("key").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"))
+    counts = counts.filter("n > 1").select(
+        "key",
+        F.greatest(F.ceil(F.col("n") / TILE), F.ceil(F.col("shingles") / TILE_SHINGLES)).cast("int").alias("tiles"),
     )
+    # The filter only spares sets that no family needs; the join decides.
+    wanted = build_filter(members.select("doc_id").distinct())
+    sets = docs.mapInArrow(_sets_of(wanted), "set_hash binary, shingles array<long>").dropDuplicates(["set_hash"])
+    named = members.join(durable(counts, "minhash-tiles"), "key").select("set_hash", "key", "tiles")
+    tiles = _tiled(sets.join(named, "set_hash").withColumnRenamed("set_hash", "node"), "shingles")
+    return tiles.mapInPandas(_by_tile(_set_forest), "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -286,51 +330,44 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "minhash-signatures",
     )
     linked = signed.filter(F.col("set_hash").isNotNull() & F.col("doc_id").isNotNull())
+    # Up to the exact check classes go by 64 bits of their hash: what meets by chance is only one more candidate.
     classes = linked.groupBy("set_hash").agg(
-        F.min("doc_id").alias("doc_id"), F.min_by("bands", "doc_id").alias("bands"), F.count("*").alias("n")
+        F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"),
+        F.first("code").alias("code"), F.count("*").alias("n"),
     )
-    buckets = classes.select("doc_id", F.explode("bands").alias("key"))
-    leaders = buckets.groupBy("key").agg(F.min("doc_id").alias("leader"), F.count("*").alias("n")).filter("n > 1")
-    shared = durable(buckets.join(leaders.drop("n"), "key"), "minhash-buckets")
-
-    # A set with very many copies is dealt to several tasks.
-    firsts = durable(
-        classes.filter("n > 1").select("set_hash", F.col("doc_id").alias("first"), "n"), "minhash-copies"
+    classes = durable(classes.withColumn("sid", F.xxhash64("set_hash")), "minhash-classes")
+    links = _set_links(docs, classes, _families(classes))
+
+    code = F.xxhash64("set_hash")
+    several = linked.groupBy("doc_id").agg(F.min(code).alias("low"), F.max(code).alias("high")).filter("low < high")
+    several = durable(several.select("doc_id"), "minhash-ids")
+    if not several.isEmpty():
+        # The sets of one id are one document.
+        own = durable(linked.join(several, "doc_id").select("doc_id", "set_hash").distinct(), "minhash-ids")
+        firsts = durable(own.groupBy("doc_id").agg(F.min("set_hash").alias("first")), "minhash-ids")
+        links = links.union(own.join(firsts, "doc_id").select("set_hash", "first"))
+
+    final = durable(components(links.toDF("a", "b")), "minhash-components").toDF("set_hash", "component")
+    sets = classes.select("set_hash", "doc_id", "n").join(final, "set_hash", "left")
+    roots = sets.filter("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("root"))
+    # Sets of one row that reach no other need no name.
+    named = durable(
+        sets.join(durable(roots, "minhash-roots"), "component")
+        .select("set_hash", F.col("root").alias("component_id"), "n")
+        .union(sets.filter("component IS NULL AND n > 1").select("set_hash", "doc_id", "n")),
+        "minhash-named",
     )
-    copies = split_join(linked.select("set_hash", "doc_id"), firsts, "set_hash", hot_limit(firsts))
-    copies = copies.select(F.col("doc_id").alias("a"), F.col("first").alias("b")).filter("a > b").distinct()
-    codes = linked.select("doc_id", "code").dropDuplicates(["doc_id"])
-    stars = shared.filter("doc_id > leader").select(F.col("doc_id").alias("a"), F.col("leader").alias("b")).distinct()
-    stars = stars.join(codes.toDF("a", "code_a"), "a").join(codes.toDF("b", "code_b"), "b")
-    stars = durable(stars.select("a", "b", "code_a", "code_b").mapInArrow(_alike, "a long, b long"), "minhash-stars")
-    families = durable(components(stars), "minhash-families").toDF("doc_id", "component")
-
-    members = shared.select("key", "doc_id").join(families, "doc_id", "left")
-    members = members.withColumn("component", F.coalesce("component", "doc_id"))
-    mixed = members.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")
-    )
-    mixed = mixed.filter("low < high").select("key", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
-    tiles = _tiled(members.join(codes, "doc_id"), mixed, "component", "code")
-    across = durable(tiles.mapInPandas(_by_tile(_code_forest), "a long, b long"), "minhash-across")
-    families = durable(components(stars.union(across)), "minhash-families").toDF("doc_id", "key")
-
-    wanted = families.select("doc_id").distinct()
-    # The filter only spares sets that no family needs; the join decides.
-    sets = docs.mapInArrow(_sets_of(build_filter(wanted)), "doc_id long, shingles array<long>")
-    sets = sets.join(families, "doc_id")
-    sums = linked.select("doc_id", "n_shingles").join(families, "doc_id").groupBy("key")
-    counts = sums.agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"))
-    counts = counts.select(
-        "key",
-        F.greatest(F.ceil(F.col("n") / TILE), F.ceil(F.col("shingles") / TILE_SHINGLES)).cast("int").alias("tiles"),
+    # A set with very many copies is dealt to several tasks.
+    moved = split_join(linked.select("set_hash", "doc_id"), named, "set_hash", hot_limit(named))
+    moved = durable(
+        moved.filter(F.col("doc_id") != F.col("component_id"))
+        .select(F.col("doc_id").alias("node"), "component_id")
+        .distinct(),
+        "minhash-moved",
     )
-    exact = _tiled(sets, counts, "shingles").mapInPandas(_by_tile(_set_forest), "a long, b long")
-    links = copies.union(exact)
-    final = durable(components(links), "minhash-components").toDF("node", "component")
-    return signed.join(final, F.col("doc_id") == F.col("node"), "left").select(
+    return signed.join(moved, F.col("doc_id") == F.col("node"), "left").select(
         "doc_id",
         "n_shingles",
-        F.coalesce("component", "doc_id").alias("component_id"),
-        F.coalesce(F.col("doc_id") == F.coalesce("component", "doc_id"), F.lit(True)).alias("kept"),
+        F.coalesce("component_id", "doc_id").alias("component_id"),
+        F.coalesce(F.col("doc_id") == F.coalesce("component_id", "doc_id"), F.lit(True)).alias("kept"),
     )

@@ -98,3 +98,36 @@ def test_components_of_a_path_a_star_and_loops(spark):
     found = graph.components(spark.createDataFrame(edges, "a long, b long")).collect()
     expected = {i: 20 for i in range(20, 61)} | {i: 100 for i in range(100, 140)} | {8: 3, 3: 3}
     assert {r.node: r.component for r in found} == expected and len(found) == len(expected)
+
+
+def test_each_set_of_an_id_keeps_its_own_links(spark):
+    """Near copies of both texts of one id, and one id and text in more rows than a tile has members."""
+    rng = random.Random(9)
+    first, second = ([rng.choice("abcdefgh") + str(i) for i in range(90)] for _ in range(2))
+    near = [" ".join(w if i != 40 else "changed" for i, w in enumerate(t)) for t in (first, second)]
+    first, second = " ".join(first), " ".join(second)
+    check(spark.createDataFrame([(1, first), (1, second), (2, near[0]), (3, near[1])], LAYOUT))
+    check(spark.createDataFrame([(7, first), (7, second), (4, near[1]), (9, near[0]), (7, ""), (7, None)], LAYOUT))
+
+
+def test_one_row_repeated_beyond_a_tile(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "TILE", 4)
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(5, text)] * 60 + [(8, text + " tail"), (3, "w " + text), (6, "other words that are not linked")]
+    check(spark.createDataFrame(rows, LAYOUT).repartition(4))
+
+
+def test_large_disjoint_sets_do_not_agree():
+    rng = np.random.default_rng(6)
+    for size in (300, 1000, 3000, 20000):
+        sets = [np.unique(rng.integers(0, 2**63, size).astype(np.uint64)) for _ in range(8)]
+        codes = minhash.codes_of(minhash.signatures_of(sets, 200))
+        agreeing = (codes[:, None] == codes[None]).sum(axis=2)
+        assert agreeing[~np.eye(8, dtype=bool)].max() < 10
+
+
+def test_components_of_byte_strings_and_of_nothing(spark):
+    edges = [(b"b", b"a"), (b"c", b"b"), (b"z", b"y")]
+    found = graph.components(spark.createDataFrame(edges, "a binary, b binary")).collect()
+    assert {bytes(r.node): bytes(r.component) for r in found} == {b"a": b"a", b"b": b"a", b"c": b"a", b"y": b"y", b"z": b"y"}
+    assert graph.components(spark.createDataFrame([(1, 1)], "a long, b long")).count() == 0
