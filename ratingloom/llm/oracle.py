@@ -1,6 +1,6 @@
 """DuckDB SQL with the same result as those operator queries that SQL can state."""
 
-from ratingloom.llm.quality import MIN_GROUP, RULES, SPREAD
+from ratingloom.llm.quality import BASE_FAILED, BITS, PRIOR, RULES, SPREAD
 
 _BREAK = r"[\x20\x09-\x0D]+"
 _WORDS = f"list_filter(regexp_split_to_array(coalesce(text, ''), '{_BREAK}'), lambda x: x <> '')"
@@ -62,22 +62,28 @@ _HARD_NEGATIVES = """
 
 def _rules() -> str:
     return " union all ".join(
-        f"select n, lang, source, '{r.name}' as rule, {r.slack} as slack, "
-        f"case when {r.whole} > 0 then (1000000 * {r.part}) // {r.whole} end as v from measured"
+        f"select n, lang, source, '{r.name}' as rule, {BASE_FAILED} as failed, "
+        f"case when {r.whole} > 0 then (1000000 * (2 * {r.part} + 1)) // (2 * {r.whole} + 1) end as v from measured"
         for r in RULES
     )
 
 
 def _fence(keys: str) -> str:
-    """Quartile fence of every group; ``keys`` end with a comma."""
+    """Outer fence of every group; ``keys`` end with a comma."""
     over = f"partition by {keys} rule"
     return f"""
-        select {keys} rule, max(total) as total, any_value(slack)
-               + min(bucket) filter (below * 4 >= total * 3)
-               + {SPREAD} * (min(bucket) filter (below * 4 >= total * 3) - min(bucket) filter (below * 4 >= total)) as fence
-        from (select {keys} rule, slack, bucket, sum(n) over ({over} order by bucket) as below, sum(n) over ({over}) as total
-              from (select {keys} rule, slack, bucket, count(*) as n from buckets group by all))
-        group by {keys} rule"""
+        select {keys} rule, total, q3 {"* (q3 / q1) " * SPREAD} as fence
+        from (select {keys} rule, cast(max(total) as double) as total,
+                     cast(min(bucket) filter (below * 4 >= total) as double) as q1,
+                     cast(min(bucket) filter (below * 4 >= total * 3) as double) as q3
+              from (select {keys} rule, bucket, sum(n) over ({over} order by bucket) as below, sum(n) over ({over}) as total
+                    from (select {keys} rule, bucket, count(*) as n from buckets where not failed group by all))
+              group by {keys} rule)"""
+
+
+def _blended(group: str, wider: str) -> str:
+    weight = f"({group}.total / ({group}.total + cast({PRIOR} as double)))"
+    return f"({weight} * ln({group}.fence) + (cast(1 as double) - {weight}) * {wider})"
 
 
 _QUALITY = rf"""
@@ -97,19 +103,18 @@ _QUALITY = rf"""
                len(lines) - len(list_distinct(lines)) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words
         from words w left join repeated r on w.n = r.n),
     valued as ({_rules()}),
-    buckets as (select *, (v >> greatest(length(bin(v)) - 6, 0)) << greatest(length(bin(v)) - 6, 0) as bucket
+    buckets as (select *, ((v >> greatest(length(bin(v)) - {BITS}, 0)) + 1) << greatest(length(bin(v)) - {BITS}, 0) as bucket
                 from valued where v is not null),
     by_group as ({_fence('lang, source,')}),
     by_lang as ({_fence('lang,')}),
     by_all as ({_fence('')}),
     above as (
-        select v.n, bool_or(v.v > case when g.total >= {MIN_GROUP} then g.fence when l.total >= {MIN_GROUP} then l.fence
-                                       else a.fence end) as above
+        select v.n, bool_or(v.v > exp({_blended("g", _blended("l", "ln(a.fence)"))})) as above
         from buckets v
         join by_group g on v.rule = g.rule and v.lang is not distinct from g.lang and v.source is not distinct from g.source
         join by_lang l on v.rule = l.rule and v.lang is not distinct from l.lang
         join by_all a on v.rule = a.rule group by v.n),
-    judged as (select m.*, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed, coalesce(above, false) as above
+    judged as (select m.*, {BASE_FAILED} as base_failed, coalesce(above, false) as above
                from measured m left join above a on m.n = a.n)
     select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and not above as kept
     from judged"""

@@ -1,12 +1,18 @@
 """Quality rules with thresholds learned per language and source.
 
-Each document is measured inside its row. Quantile sketches of the measures are
-histograms whose bucket width follows the value (at most 1/32 of it), so a sketch
-is an ordinary count per bucket: it merges by addition, from tasks into groups and
-from (language, source) into the language and the whole. The upper fence of a
-group, third quartile plus some quartile distances, replaces a fixed cutoff.
-
-All measures are integers, so nothing depends on the order of a sum.
+Each document is measured inside its row. A measure is a rate with half a hit and
+half a unit added, so that a document without a hit still says how rare hits can be
+in a text of its size, and quartiles differ where most rates are zero. Quantile
+sketches of the measures are histograms whose bucket width follows the value (at
+most 1/128 of it), so a sketch is an ordinary count per bucket: it merges by
+addition, from tasks into groups and from (language, source) into the language and
+the whole. The upper fence of a group, the third quartile times a power of the
+ratio of the quartiles, replaces a fixed cutoff: Tukey's outer fence of the
+logarithms. Fences of smaller groups lean on those of the language and of the
+whole, without any size at which one takes over.
+
+Sketches hold the documents that pass the base rule, as those are judged by them.
+All counts are integers, so nothing depends on the order of a sum.
 """
 
 from dataclasses import dataclass
@@ -23,23 +29,26 @@ MILLION = 1_000_000
 
 @dataclass(frozen=True)
 class Rule:
-    """A measure in millionths; a document fails above third quartile + spread * quartile distance + slack."""
+    """A rate in millionths; a document fails above the fence of its group."""
 
     name: str
     part: str
     whole: str
-    slack: int
 
 
 RULES = (
-    Rule("symbol_share", "n_symbols", "word_chars", 30_000),
-    Rule("dup_line_share", "n_dup_lines", "n_lines", 300_000),
-    Rule("repeat_share", "n_repeat_words", "n_words", 350_000),
-    Rule("word_length", "word_chars", "n_words", 3_000_000),
+    Rule("symbol_share", "n_symbols", "word_chars"),
+    Rule("dup_line_share", "n_dup_lines", "n_lines"),
+    Rule("repeat_share", "n_repeat_words", "n_words"),
+    Rule("word_length", "word_chars", "n_words"),
 )
-SPREAD = 6
-# A group with fewer documents takes the fence of its language, then that of all documents.
-MIN_GROUP = 50
+# Outer fence: so many quartile distances above the third quartile, on the scale of logarithms.
+SPREAD = 3
+# The logarithm of a fence of n documents has the weight n / (n + PRIOR), that of the next wider group the rest.
+PRIOR = 50
+# Leading bits of a value that its bucket keeps.
+BITS = 8
+BASE_FAILED = "n_words < 50 or 100 * n_repeat_words > 50 * n_words"
 
 
 def measure(docs: DataFrame) -> DataFrame:
@@ -94,20 +103,21 @@ def measure(docs: DataFrame) -> DataFrame:
 
 
 def _value(rule: Rule) -> Column:
-    """The measure in millionths; null where there is nothing to measure."""
-    return F.expr(f"case when {rule.whole} > 0 then ({MILLION} * {rule.part}) div {rule.whole} end")
+    """The rate in millionths; null where there is nothing to measure."""
+    return F.expr(f"case when {rule.whole} > 0 then ({MILLION} * (2 * {rule.part} + 1)) div (2 * {rule.whole} + 1) end")
 
 
 def _bucket(value: str) -> Column:
-    """Lower bound of the bucket: the value with all but its six leading bits cleared."""
-    shift = f"greatest(length(bin({value})) - 6, 0)"
-    return F.expr(f"shiftleft(shiftright({value}, {shift}), {shift})")
+    """Upper end of the bucket, above all its values: those with the same leading bits."""
+    shift = f"greatest(length(bin({value})) - {BITS}, 0)"
+    return F.expr(f"shiftleft(shiftright({value}, {shift}) + 1, {shift})")
 
 
 def sketches(measured: DataFrame) -> DataFrame:
-    """Mergeable sketches: documents per ``lang, source, rule, bucket``."""
+    """Mergeable sketches: documents that pass the base rule, per ``lang, source, rule, bucket``."""
     pairs = F.array(*[F.struct(F.lit(r.name).alias("rule"), _value(r).alias("value")) for r in RULES])
-    values = measured.select("lang", "source", F.explode(pairs).alias("m")).select("lang", "source", "m.*")
+    passed = measured.filter(~F.expr(BASE_FAILED))
+    values = passed.select("lang", "source", F.explode(pairs).alias("m")).select("lang", "source", "m.*")
     known = values.filter(F.col("value").isNotNull())
     return known.groupBy("lang", "source", "rule", _bucket("value").alias("bucket")).agg(F.count("*").alias("n"))
 
@@ -120,37 +130,39 @@ def _fences(sketch: DataFrame, keys: list[str], spread: int, name: str) -> DataF
         "total", F.sum("n").over(group)
     )
     quartile = {
-        q: F.min(F.when(F.col("below") * 4 >= F.col("total") * q, F.col("bucket"))) for q in (1, 3)
+        q: F.min(F.when(F.col("below") * 4 >= F.col("total") * q, F.col("bucket"))).cast("double") for q in (1, 3)
     }
-    slack = F.lit(0)
-    for rule in RULES:
-        slack = F.when(F.col("rule") == rule.name, F.lit(rule.slack)).otherwise(slack)
+    fence, ratio = F.col("q3"), F.col("q3") / F.col("q1")
+    for _ in range(spread):
+        fence = fence * ratio
     return (
         counted.groupBy(*keys, "rule")
-        .agg(quartile[1].alias("q1"), quartile[3].alias("q3"), F.max("total").alias(f"{name}_n"))
-        .withColumn(f"{name}_fence", F.col("q3") + spread * (F.col("q3") - F.col("q1")) + slack)
+        .agg(quartile[1].alias("q1"), quartile[3].alias("q3"), F.max("total").cast("double").alias(f"{name}_n"))
+        .withColumn(f"{name}_fence", fence)
         .drop("q1", "q3")
     )
 
 
-def thresholds(sketch: DataFrame, spread: int = SPREAD, min_group: int = MIN_GROUP) -> DataFrame:
-    """One row per ``lang, source`` with a fence per rule, from the smallest group that is large enough."""
+def thresholds(sketch: DataFrame, spread: int = SPREAD, prior: int = PRIOR) -> DataFrame:
+    """Fences of every ``lang, source, rule``: ``group_n, group_fence, lang_n, lang_fence, all_fence`` and the ``fence`` in force."""
     groups = _fences(sketch, ["lang", "source"], spread, "group")
     languages = _fences(sketch, ["lang"], spread, "lang").withColumnsRenamed({"lang": "lang_key", "rule": "lang_rule"})
     whole = _fences(sketch, [], spread, "all").withColumnRenamed("rule", "all_rule")
     joined = groups.join(
         languages, groups["lang"].eqNullSafe(languages["lang_key"]) & (groups["rule"] == languages["lang_rule"])
     ).join(whole, F.col("rule") == F.col("all_rule"))
-    fence = (
-        F.when(F.col("group_n") >= min_group, F.col("group_fence"))
-        .when(F.col("lang_n") >= min_group, F.col("lang_fence"))
-        .otherwise(F.col("all_fence"))
+
+    def blended(name: str, wider: Column) -> Column:
+        weight = F.col(f"{name}_n") / (F.col(f"{name}_n") + F.lit(float(prior)))
+        return weight * F.ln(f"{name}_fence") + (F.lit(1.0) - weight) * wider
+
+    return joined.select(
+        "lang", "source", "rule", "group_n", "group_fence", "lang_n", "lang_fence", "all_fence",
+        F.exp(blended("group", blended("lang", F.ln("all_fence")))).alias("fence"),
     )
-    one = {r.name: F.max(F.when(F.col("rule") == r.name, fence)).alias(f"{r.name}_fence") for r in RULES}
-    return joined.groupBy("lang", "source").agg(*one.values())
 
 
-def quality_rules(docs: DataFrame, spread: int = SPREAD, min_group: int = MIN_GROUP) -> DataFrame:
+def quality_rules(docs: DataFrame, spread: int = SPREAD, prior: int = PRIOR) -> DataFrame:
     """Measures and verdict of every document of ``documents(doc_id, text, lang, source)``.
 
     ``base_failed``: fewer than 50 words, or more than half of them repeated.
@@ -160,9 +172,9 @@ def quality_rules(docs: DataFrame, spread: int = SPREAD, min_group: int = MIN_GR
     kept. Further columns of the input are ignored. An empty table gives no rows.
     """
     measured = durable(measure(docs), "quality-measures")
-    fences = thresholds(sketches(measured), spread, min_group).withColumnsRenamed(
-        {"lang": "fence_lang", "source": "fence_source"}
-    )
+    one = {r.name: F.max(F.when(F.col("rule") == r.name, F.col("fence"))).alias(f"{r.name}_fence") for r in RULES}
+    fences = thresholds(sketches(measured), spread, prior).groupBy("lang", "source").agg(*one.values())
+    fences = fences.withColumnsRenamed({"lang": "fence_lang", "source": "fence_source"})
     joined = measured.join(
         fences,
         measured["lang"].eqNullSafe(fences["fence_lang"]) & measured["source"].eqNullSafe(fences["fence_source"]),
@@ -171,7 +183,7 @@ def quality_rules(docs: DataFrame, spread: int = SPREAD, min_group: int = MIN_GR
     above = F.lit(False)
     for rule in RULES:
         above = above | F.coalesce(_value(rule) > F.col(f"{rule.name}_fence"), F.lit(False))
-    base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    base = F.expr(BASE_FAILED)
     return joined.select(
         "doc_id",
         "n_words",
