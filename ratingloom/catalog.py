@@ -52,6 +52,25 @@ def csv_ratings_roundtrip(spark, folder):
     return files.read_ratings_csv(spark, path)
 
 
+def csv_rejects(spark, folder):
+    """Lines of a file that do not fit, with the reason, and the number of those that do."""
+    path, t = scratch_path(spark, "flawed-csv"), F.col("timestamp")
+    fields = [F.col(c).cast("string") for c in ("userId", "movieId", "rating", "timestamp")]
+    line = (
+        F.when(t % 97 == 0, F.concat(F.lit("x"), F.concat_ws(",", *fields)))
+        .when(t % 89 == 0, F.concat_ws(",", *fields, F.lit("1")))
+        .when(t % 83 == 0, F.concat_ws(",", *fields[:3]))
+        .when(t % 79 == 0, F.concat_ws(",", *fields[:2], F.lit("good"), fields[3]))
+        .otherwise(F.concat_ws(",", *fields))
+    )
+    lines = fx.ratings(spark, folder).select(line.alias("userId,movieId,rating,timestamp"))
+    # Whole lines as they are: no separator and no quotes.
+    lines.write.csv(path, header=True, sep="\x01", quote="", escape="")
+    good, rejects = files.read_ratings_checked(spark, path)
+    rejects = rejects.filter(F.col("file").contains(path.rsplit("/", 1)[-1])).select("line", "reason")
+    return rejects.union(good.agg(F.count("timestamp").cast("string"), F.lit("good")))
+
+
 def csv_movies_roundtrip(spark, folder):
     """Titles get a comma and quotes, which the reader must undo."""
     path = scratch_path(spark, "movies-csv")
@@ -321,6 +340,12 @@ def topn_exclude_seen(spark, folder):
     return _rounded(_top(spark, folder, seen=seen))
 
 
+def topn_pruned(spark, folder):
+    """The lists of ``topn_from_factors`` by slices in order of their norm, which later ones are skipped."""
+    factors = fx.factors(spark, folder)
+    return _rounded(scoring.top_n_pruned(factors, factors, TOP_N, items_per_slice=100).recommendations)
+
+
 def topn_bad_vectors(spark, folder):
     """Lists of the vectors that can be scored, beside the number of those that cannot."""
     factors = fx.flawed_factors(spark, folder)
@@ -371,6 +396,14 @@ def precision_recall_at_k(spark, folder):
     return _rounded(metrics.precision_recall_at_k(test, _top(spark, folder)))
 
 
+def precision_recall_nested(spark, folder):
+    """The same from stored lists of structs, one row per user."""
+    path = scratch_path(spark, "nested-lists")
+    metrics.nested_lists(_top(spark, folder)).write.parquet(path)
+    test = _split(fx.indexed(spark, folder), "test")
+    return _rounded(metrics.precision_recall_nested(test, spark.read.parquet(path)))
+
+
 def precision_recall_sampled(spark, folder):
     test = _split(fx.indexed(spark, folder), "test")
     return _rounded(metrics.precision_recall_at_k(test, _top(spark, folder), sample=0.5))
@@ -584,6 +617,7 @@ QUERIES: dict[str, Query] = {
     fn.__name__: fn
     for fn in (
         csv_ratings_roundtrip,
+        csv_rejects,
         csv_movies_roundtrip,
         tags_count,
         split_roundtrip_counts,
@@ -628,6 +662,7 @@ QUERIES: dict[str, Query] = {
         random_users,
         topn_from_factors,
         topn_exclude_seen,
+        topn_pruned,
         topn_bad_vectors,
         topn_clamped,
         topn_stars,
@@ -636,6 +671,7 @@ QUERIES: dict[str, Query] = {
         batch_recommend,
         error_metrics,
         precision_recall_at_k,
+        precision_recall_nested,
         precision_recall_sampled,
         catalog_coverage,
         popularity_bias,

@@ -62,8 +62,27 @@ def filter_report(before: DataFrame, after: DataFrame) -> DataFrame:
     return joined.withColumn("removed", F.col("ratings_before") - F.col("ratings_after"))
 
 
+def filter_report_of_counts(before: DataFrame, after: DataFrame) -> DataFrame:
+    """``filter_report`` out of the stored counts ``(side, n)`` of every user and item, without their ratings."""
+    user, item = F.col("side") == USER_SIDE, F.col("side") == ITEM_SIDE
+    both = before.select("side", "n", F.lit("before").alias("at")).union(after.select("side", "n", F.lit("after")))
+    columns = []
+    for name in ("before", "after"):
+        here = F.col("at") == name
+        columns += [
+            F.coalesce(F.sum(F.when(user & here, F.col("n"))), F.lit(0)).alias(f"ratings_{name}"),
+            F.count_if(user & here).alias(f"users_{name}"),
+            F.count_if(item & here).alias(f"items_{name}"),
+        ]
+    return both.agg(*columns).withColumn("removed", F.col("ratings_before") - F.col("ratings_after"))
+
+
 def filter_inactive(
-    ratings: DataFrame, min_user_ratings: int = 20, min_item_ratings: int = 5, iterations: int = 1
+    ratings: DataFrame,
+    min_user_ratings: int = 20,
+    min_item_ratings: int = 5,
+    iterations: int = 1,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Ratings whose user and item both have enough ratings in ``ratings``.
 
@@ -71,12 +90,14 @@ def filter_inactive(
     minimum; each of ``iterations`` filters the result of the one before and
     stores it. The counts are written once: the planner then knows their size and
     broadcasts the small side of each semi-join, or shuffles both beyond that. The
-    side of fewer keys comes first, so that fewer rows reach the other.
+    side of fewer keys comes first, so that fewer rows reach the other. ``counts``
+    are the stored ``rating_counts`` where they are at hand.
     """
     if iterations > 1:
-        once = filter_inactive(ratings, min_user_ratings, min_item_ratings)
+        once = filter_inactive(ratings, min_user_ratings, min_item_ratings, counts=counts)
         return filter_inactive(durable(once, "active"), min_user_ratings, min_item_ratings, iterations - 1)
-    counts = durable(rating_counts(ratings), "rating-counts", partition_by="side")
+    if counts is None:
+        counts = durable(rating_counts(ratings), "rating-counts", partition_by="side")
     users = users_of(counts).filter(F.col("n") >= min_user_ratings)
     items = items_of(counts).filter(F.col("n") >= min_item_ratings)
     limits = hot_limits(counts, "side")

@@ -1,6 +1,6 @@
 """Cleaning of raw rating triples and the quality counts around it."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ratingloom.schemas import MAX_RATING, MIN_RATING, NO_GENRES, RATINGS
@@ -27,19 +27,25 @@ def clean_ratings(ratings: DataFrame) -> DataFrame:
     return _typed(ratings).dropna("any").filter(_in_range())
 
 
+def _report_counts() -> list[Column]:
+    missing = _has_gap()
+    return [
+        F.count("*").alias("total"),
+        F.count_if(missing).alias("missing"),
+        F.count_if(~missing & ~_in_range()).alias("out_of_range"),
+        F.count_if(~missing & _in_range()).alias("kept"),
+    ]
+
+
 def clean_report(ratings: DataFrame) -> DataFrame:
     """One row: total, missing, out-of-range, kept and removed counts, in one pass."""
-    missing = _has_gap()
-    return (
-        _typed(ratings)
-        .agg(
-            F.count("*").alias("total"),
-            F.count_if(missing).alias("missing"),
-            F.count_if(~missing & ~_in_range()).alias("out_of_range"),
-            F.count_if(~missing & _in_range()).alias("kept"),
-        )
-        .withColumn("removed", F.col("total") - F.col("kept"))
-    )
+    return _typed(ratings).agg(*_report_counts()).withColumn("removed", F.col("total") - F.col("kept"))
+
+
+def clean_observed(ratings: DataFrame) -> tuple[DataFrame, Observation]:
+    """``clean_ratings`` and the counts of ``clean_report`` but ``removed``, known once the result has been written."""
+    seen = Observation("clean_report")
+    return _typed(ratings).observe(seen, *_report_counts()).dropna("any").filter(_in_range()), seen
 
 
 def null_rating() -> Column:

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from ratingloom.functions import hash_below, relative_gap, safe_ratio
 from ratingloom.operators.sampling import SEED
+from ratingloom.operators.skew import hot_limit, split_join
 from ratingloom.schemas import RANKING_KS, RELEVANT_RATING
+from ratingloom.session import durable
 
 COLD_BELOW, WARM_FROM = 10, 50
 
@@ -90,6 +92,46 @@ def precision_recall_at_k(
     return users.agg(*means).selectExpr(f"stack({len(ks)}, {', '.join(stacked)}) as (k, precision, recall)")
 
 
+def nested_lists(recs: DataFrame) -> DataFrame:
+    """``user_idx, recommendations``: one list per user, in order of rank, of ``item_idx``, ``score`` and what else ``recs`` has.
+
+    Lists are as long as the ranks reach, some dozen entries, whatever the data.
+    """
+    slots = ["rank"] + [c for c in recs.columns if c not in ("user_idx", "rank")]
+    return recs.groupBy("user_idx").agg(F.array_sort(F.collect_list(F.struct(*slots))).alias("recommendations"))
+
+
+def precision_recall_nested(
+    test: DataFrame, lists: DataFrame, ks: Sequence[int] = RANKING_KS, threshold: float = RELEVANT_RATING
+) -> DataFrame:
+    """``precision_recall_at_k`` of stored ``nested_lists``.
+
+    Only the item ids of the lists are read. Relevant items of a user are counted,
+    not collected; collected are those that are in the user's list, so no array is
+    longer than a list. Users with very many ratings are dealt to several tasks.
+    """
+    relevant = test.filter(F.col("rating") >= threshold).select("user_idx", "item_idx")
+    counts = relevant.groupBy("user_idx").agg(F.count("*").alias("n"))
+    items = F.slice(F.col("recommendations")["item_idx"], 1, max(ks)).alias("items")
+    users = lists.select("user_idx", items).join(counts, "user_idx").withColumn("n_relevant", F.col("n"))
+    users = durable(users, "nested-users")
+    found = (
+        split_join(relevant, users, "user_idx", hot_limit(users))
+        .filter(F.array_contains("items", F.col("item_idx")))
+        .groupBy("user_idx")
+        .agg(F.collect_set("item_idx").alias("found"))
+    )
+    users = users.join(found, "user_idx", "left")
+    means, stacked = [], []
+    for k in ks:
+        first = F.slice("items", 1, k)
+        hits = F.coalesce(F.size(F.array_intersect(first, F.col("found"))), F.lit(0))
+        means.append(F.avg(safe_ratio(hits, F.size(first))).alias(f"p_{k}"))
+        means.append(F.avg(safe_ratio(hits, F.col("n_relevant"))).alias(f"r_{k}"))
+        stacked.append(f"{k}, p_{k}, r_{k}")
+    return users.agg(*means).selectExpr(f"stack({len(ks)}, {', '.join(stacked)}) as (k, precision, recall)")
+
+
 def item_exposure(train: DataFrame, recs: DataFrame, **slots: Column) -> DataFrame:
     """Per item: ``popularity`` in train and the number of recommended slots.
 

@@ -168,7 +168,26 @@ def row_count(name: str, table: DataFrame) -> DataFrame:
 
 def dataset_statistics(ratings: DataFrame) -> DataFrame:
     """One row of nine statistics, from one scan of ``ratings``."""
-    groups = rating_groups(ratings, (USER, ITEM, ALL))
+    return _statistics(rating_groups(ratings, (USER, ITEM, ALL)))
+
+
+def statistics_of_counts(counts: DataFrame, average: float | None, deviation: float | None) -> DataFrame:
+    """``dataset_statistics`` out of the stored counts ``(side, n)`` of every user and item of ratings without nulls.
+
+    ``average`` and ``deviation`` are those of all ratings.
+    """
+    nothing = F.lit(None).cast("double")
+    sides = counts.select(
+        F.col("side").alias("grp"), F.col("n").alias("num_ratings"), F.col("n").alias("num_rows"),
+        nothing.alias("avg_rating"), nothing.alias("std_rating"),
+    )
+    whole = counts.agg(F.coalesce(F.sum(F.when(F.col("side") == USER, F.col("n"))), F.lit(0)).alias("n")).select(
+        F.lit(ALL), "n", "n", F.lit(average).cast("double"), F.lit(deviation).cast("double")
+    )
+    return _statistics(sides.union(whole))
+
+
+def _statistics(groups: DataFrame) -> DataFrame:
     # The row of the whole table passes through the histogram as its only entry.
     whole = ("num_rows", "avg_rating", "std_rating")
     histogram = groups.groupBy("grp", "num_ratings").agg(

@@ -33,12 +33,7 @@ def _problem(rank: int) -> Column:
 
 def vector_rank(user_factors: DataFrame, item_factors: DataFrame) -> int:
     """The most frequent vector length, of items where there are any; the smallest of equals."""
-    for factors in (item_factors, user_factors):
-        sizes = factors.filter(F.col("features").isNotNull()).select(F.size("features").alias("size"))
-        row = sizes.groupBy("size").count().orderBy(F.desc("count"), "size").first()
-        if row:
-            return row["size"]
-    return 0
+    return _most_frequent(_lengths([item_factors, user_factors]))
 
 
 def rejected_factors(user_factors: DataFrame, item_factors: DataFrame, rank: int | None = None) -> DataFrame:
@@ -58,6 +53,7 @@ class _Grid:
     cells: int
     slices: int
     rank: int
+    cores: int = 1
 
     def cell(self, column: str) -> Column:
         return F.pmod(F.xxhash64(column), F.lit(self.cells)).cast("int").alias("cell")
@@ -71,32 +67,62 @@ def _numbers(parts: int | Column) -> Column:
     return F.explode(F.sequence(F.lit(0), last))
 
 
+def _lengths(factors: list[DataFrame]) -> list[dict[int, tuple[int, int]]]:
+    """For each table, by vector length (null vectors: -1): rows, and rows whose entries are all finite.
+
+    One job for all tables. A length needs a vector that long, so there are no
+    more of them than the longest vector has entries.
+    """
+    usable = F.col("features").isNotNull() & ~F.exists(
+        "features", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
+    )
+    parts = [
+        f.select(F.lit(i).alias("side"), F.coalesce(F.size("features"), F.lit(-1)).alias("length"), usable.alias("fine"))
+        for i, f in enumerate(factors)
+    ]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.union(part)
+    rows = rows.groupBy("side", "length").agg(F.count("*").alias("n"), F.count_if("fine").alias("fine")).collect()
+    return [{max(r["length"], -1): (r["n"], r["fine"]) for r in rows if r["side"] == i} for i in range(len(factors))]
+
+
+def _most_frequent(sides: list[dict[int, tuple[int, int]]]) -> int:
+    """The most frequent length of the first table that has vectors; the smallest of equals."""
+    for side in sides:
+        lengths = {length: n for length, (n, _) in side.items() if length >= 0}
+        if lengths:
+            return min(lengths, key=lambda length: (-lengths[length], length))
+    return 0
+
+
 def _checked(
     user_factors: DataFrame, item_factors: DataFrame, rejects: str, users_per_cell: int | None, items_per_slice: int | None
 ) -> tuple[DataFrame, DataFrame, _Grid]:
     """Vectors fit for scoring and their grid. ``rejects``: ``fail`` or ``skip`` those that are not."""
     if rejects not in ("fail", "skip"):
         raise ValueError("rejects must be fail or skip")
-    rank = vector_rank(user_factors, item_factors)
-    problem = _problem(rank)
+    of_users, of_items = _lengths([user_factors, item_factors])
+    rank = _most_frequent([of_items, of_users])
     counts = [
-        f.agg(F.count("*").alias("n"), F.count_if(problem.isNotNull()).alias("bad")).first()
-        for f in (user_factors, item_factors)
+        {"n": sum(n for n, _ in side.values()), "good": side.get(rank, (0, 0))[1]} for side in (of_users, of_items)
     ]
-    if rejects == "fail" and any(c["bad"] for c in counts):
+    bad = [c["n"] - c["good"] for c in counts]
+    if rejects == "fail" and any(bad):
         raise ValueError(
-            f"{counts[0]['bad']} user and {counts[1]['bad']} item vectors are null, not finite or not of length "
+            f"{bad[0]} user and {bad[1]} item vectors are null, not finite or not of length "
             f"{rank}; rejected_factors lists them, rejects='skip' leaves them out"
         )
-    if any(c["bad"] for c in counts):
-        user_factors, item_factors = user_factors.filter(problem.isNull()), item_factors.filter(problem.isNull())
-    n_users, n_items = (c["n"] - c["bad"] for c in counts)
+    if any(bad):
+        fit = _problem(rank).isNull()
+        user_factors, item_factors = user_factors.filter(fit), item_factors.filter(fit)
+    n_users, n_items = (c["good"] for c in counts)
     fit = max(BLOCK_BYTES // (8 * max(rank, 1)), 1)
     cores = user_factors.sparkSession.sparkContext.defaultParallelism
     slices = max(math.ceil(n_items / (items_per_slice or fit)), 1)
     to_fill_cores = min(math.ceil(2 * cores / slices), math.ceil(n_users / MIN_CELL))
     cells = max(math.ceil(n_users / (users_per_cell or fit)), to_fill_cores, 1)
-    return user_factors, item_factors, _Grid(cells, slices, rank)
+    return user_factors, item_factors, _Grid(cells, slices, rank, cores)
 
 
 def _task_keys(spark: SparkSession, tasks: int) -> DataFrame:
@@ -167,35 +193,38 @@ def top_n_from_factors(
         F.col("id").alias("item_id"), F.col("features").alias("vector"), grid.slice("id")
     ).withColumn("cell", _numbers(grid.cells))
 
-    most = 1
+    blocks = grid.cells * grid.slices
+    block = F.col("cell").cast("long") * grid.slices + F.col("slice")
     if seen is not None:
-        pairs = durable(
-            seen.select(F.col("user_idx").alias("id"), F.col("item_idx").alias("item")).distinct(), "seen-pairs"
-        ).select("id", "item", grid.cell("id"), grid.slice("item"))
-        crowded = pairs.groupBy("cell", "slice").agg(F.count("*").alias("n")).groupBy("cell").agg(F.max("n").alias("n"))
-        parts = durable(
-            crowded.filter(F.col("n") > pairs_per_block).select(
-                "cell", F.ceil(F.col("n") / pairs_per_block).cast("int").alias("parts")
-            ),
-            "crowded-cells",
+        # A pair may come twice; it counts twice here and is left out once.
+        pairs = seen.select(F.col("user_idx").alias("id"), F.col("item_idx").alias("item")).select(
+            "id", "item", grid.cell("id"), grid.slice("item")
         )
-        most = parts.agg(F.max("parts")).first()[0] or 1
         no_vector = F.lit(None).cast(user_factors.schema["features"].dataType).alias("features")
         users = users.unionByName(
             pairs.select("id", "item", no_vector, F.lit(None).cast("int").alias("depth"), "cell", "slice")
         )
-    if most > 1:
-        divided = F.coalesce("parts", F.lit(1))
-        users = users.join(parts, "cell", "left").withColumn(
-            "part", F.pmod(F.xxhash64("id", F.lit(1)), divided).cast("int")
+        per_block = pairs.groupBy("cell", "slice").agg(F.count("*").alias("n"))
+        crowded = per_block.groupBy("cell").agg(F.max("n").alias("n")).filter(F.col("n") > pairs_per_block)
+        # Fewer cells than there are times pairs_per_block pairs. Their first part keeps its block, the others follow
+        # behind the last one, so that no number is without rows.
+        parts = F.ceil(F.col("n") / pairs_per_block).cast("int")
+        before = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+        crowded = crowded.select("cell", parts.alias("parts"))
+        crowded = durable(
+            crowded.withColumn("ahead", F.coalesce(F.sum(F.col("parts") - 1).over(before), F.lit(0))), "crowded-cells"
         )
-        items = items.join(parts, "cell", "left").withColumn("part", _numbers(divided))
-    else:
-        users, items = users.withColumn("part", F.lit(0)), items.withColumn("part", F.lit(0))
-    block = (F.col("cell").cast("long") * grid.slices + F.col("slice")) * most + F.col("part")
+        more = crowded.agg(F.sum(F.col("parts") - 1)).first()[0] or 0
+        if more:
+            divided = F.coalesce("parts", F.lit(1))
+            users = users.join(crowded, "cell", "left").withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), divided))
+            items = items.join(crowded, "cell", "left").withColumn("part", _numbers(divided))
+            behind = F.lit(blocks) + (F.col("ahead") + F.col("part") - 1) * grid.slices + F.col("slice")
+            block = F.when(F.col("part") == 0, block).otherwise(behind)
+            blocks += more * grid.slices
     left = users.select("id", "item", "features", "depth", block.alias("block"))
     right = items.select("item_id", "vector", block.alias("block"))
-    best = _block_product(left, right, grid.cells * grid.slices * most, _top_kernel(n), schemas.RECOMMENDATIONS)
+    best = _block_product(left, right, blocks, _top_kernel(n), schemas.RECOMMENDATIONS)
     if grid.slices == 1:
         return best
     ranked = rank_top_n(best.drop("rank"), n)
@@ -206,6 +235,99 @@ def top_n_from_factors(
     return ranked.join(depths, "user_idx").filter(F.col("rank") <= F.col("depth")).drop("depth")
 
 
+def _norm(vector: str) -> Column:
+    return F.sqrt(F.aggregate(vector, F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double")))
+
+
+@dataclass(frozen=True)
+class Pruned:
+    """Lists of ``top_n_pruned``, and per user how many of the slices were multiplied."""
+
+    recommendations: DataFrame
+    visited: DataFrame
+    slices: int
+
+
+def top_n_pruned(
+    user_factors: DataFrame,
+    item_factors: DataFrame,
+    n: int,
+    seen: DataFrame | None = None,
+    items_per_slice: int | None = None,
+    rejects: str = "fail",
+) -> Pruned:
+    """The rows of ``top_n_from_factors``, without the products that cannot reach a list.
+
+    Items lie in slices in descending order of their norm. Every user meets the
+    first slice. No score in a later one exceeds the user's norm times the largest
+    norm there (Cauchy and Schwarz), so a slice whose bound is below the user's
+    n-th score so far is skipped, and all behind it. With one slice nothing can be
+    skipped; where norms differ much, as those of items of very different
+    popularity do, most slices are. ``visited (user_idx, slices)`` tells for every
+    user how many were not. Null and bad vectors, ties, ``seen`` and empty tables
+    are treated as in ``top_n_from_factors``.
+    """
+    user_factors, item_factors, grid = _checked(user_factors, item_factors, rejects, None, items_per_slice)
+    users = durable(user_factors.select("id", "features", _norm("features").alias("norm")), "user-norms")
+    order = [F.col("norm").desc(), F.col("id")]
+    items = item_factors.select("id", "features", _norm("features").alias("norm"))
+    if grid.slices > 1:
+        items = items.repartitionByRange(grid.slices, *order).withColumn("slice", F.spark_partition_id())
+    else:
+        items = items.withColumn("slice", F.lit(0))
+    items = durable(items, "item-slices", partition_by="slice")
+
+    def best(some_users: DataFrame, slices: Column) -> DataFrame:
+        chosen = items.filter(slices).select("id", "features")
+        return top_n_from_factors(some_users.select("id", "features"), chosen, n, seen, items_per_slice=items_per_slice)
+
+    # The first slice of a range partitioning may be empty of a small table; the first filled one counts.
+    tops = {r["slice"]: r["norm"] for r in items.groupBy("slice").agg(F.max("norm").alias("norm")).collect()}
+    filled = sorted(tops)
+    if len(filled) < 2:
+        return Pruned(best(users, F.lit(True)), users.select(F.col("id").alias("user_idx"), F.lit(len(filled)).alias("slices")), len(filled))
+    found = durable(best(users, F.col("slice") == filled[0]), "first-slice")
+    floors = found.filter(F.col("rank") == n).select(F.col("user_idx").alias("floor_id"), F.col("score").alias("floor"))
+    # One number per slice of 64 MB of vectors; a margin covers the rounding of norms and products.
+    bounds = F.array(*[F.lit(tops[s] * (1 + 1e-9)) for s in filled[1:]])
+    reached = F.size(F.filter(bounds, lambda top: F.col("floor").isNull() | (top * F.col("norm") >= F.col("floor"))))
+    users = durable(
+        users.join(floors, F.col("id") == F.col("floor_id"), "left").select("id", "features", reached.alias("reached")),
+        "reached-slices",
+    )
+    rest = _sliced_product(users, items, filled, n, seen, grid)
+    lists = found.select("user_idx", "item_idx", "score").union(rest.select("user_idx", "item_idx", "score"))
+    visited = users.select(F.col("id").alias("user_idx"), (F.col("reached") + 1).alias("slices"))
+    return Pruned(rank_top_n(lists, n).select("user_idx", "item_idx", "score", "rank"), visited, len(filled))
+
+
+def _sliced_product(
+    users: DataFrame, items: DataFrame, filled: list[int], n: int, seen: DataFrame | None, grid: _Grid
+) -> DataFrame:
+    """Best items of each user in the ``reached`` slices behind the first, slice by slice."""
+    place = F.array_position(F.array(*map(F.lit, filled)), F.col("slice")).cast("int") - 1
+    cells = max(grid.cells, math.ceil(2 * grid.cores / len(filled)))
+    cell = F.pmod(F.xxhash64("id"), F.lit(cells)).cast("int")
+    block = F.col("cell").cast("long") * len(filled) + F.col("slice")
+    left = users.filter("reached > 0").select(
+        "id", F.lit(None).cast("int").alias("item"), "features", F.lit(n).alias("depth"), cell.alias("cell"),
+        F.explode(F.sequence(F.lit(1), "reached")).alias("slice"),
+    )
+    items = items.select("id", "features", place.alias("slice")).filter("slice > 0")
+    if seen is not None:
+        where = items.select(F.col("id").alias("item"), "slice")
+        pairs = seen.select(F.col("user_idx").alias("id"), F.col("item_idx").alias("item")).join(where, "item")
+        nothing = F.lit(None).cast(users.schema["features"].dataType).alias("features")
+        left = left.unionByName(
+            pairs.select("id", "item", nothing, F.lit(None).cast("int").alias("depth"), cell.alias("cell"), "slice")
+        )
+    left = left.select("id", "item", "features", "depth", block.alias("block"))
+    right = items.select(
+        F.col("id").alias("item_id"), F.col("features").alias("vector"), "slice", _numbers(cells).alias("cell")
+    ).select("item_id", "vector", block.alias("block"))
+    return _block_product(left, right, cells * len(filled), _top_kernel(n), schemas.RECOMMENDATIONS)
+
+
 def score_pairs(
     rows: DataFrame,
     user_factors: DataFrame,
@@ -231,29 +353,41 @@ def score_pairs(
         grid.slice("item_idx"),
     )
     crowded = placed.groupBy("cell", "slice").agg(F.count("*").alias("n"))
-    parts = durable(
-        crowded.select("cell", "slice", F.ceil(F.col("n") / pairs_per_block).cast("int").alias("parts")), "row-blocks"
-    )
-    most = parts.agg(F.max("parts")).first()[0] or 1
-    block = (F.col("cell").cast("long") * grid.slices + F.col("slice")) * most
+    parts = crowded.select("cell", "slice", F.ceil(F.col("n") / pairs_per_block).cast("int").alias("parts"))
+    plain = F.col("cell").cast("long") * grid.slices + F.col("slice")
+    # Further parts of a crowded block are numbered behind all blocks. There are fewer than the rows
+    # make times pairs_per_block, so rows meet a small table and move only once.
+    before = Window.orderBy("cell", "slice").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = F.coalesce(F.sum(F.col("parts") - 1).over(before), F.lit(0)).alias("ahead")
+    parts = durable(parts, "row-blocks")
+    split = durable(parts.filter("parts > 1").select("cell", "slice", "parts", ahead), "row-blocks")
+    more = split.agg(F.sum(F.col("parts") - 1)).first()[0] or 0
+    blocks = grid.cells * grid.slices + more
+    behind = F.lit(grid.cells * grid.slices) + F.col("ahead") + F.col("part") - 1
+    block = F.when(F.col("part") == 0, plain).otherwise(behind)
     # Blocks without rows are absent here, so no vector is sent to them.
+    parts = parts.join(split.drop("parts"), ["cell", "slice"], "left")
     users = user_factors.select("id", "features", grid.cell("id")).join(parts, "cell")
     users = users.withColumn("part", _numbers(F.col("parts")))
     items = item_factors.select(F.col("id").alias("item_id"), F.col("features").alias("vector"), grid.slice("id"))
     items = items.join(parts, "slice").withColumn("part", _numbers(F.col("parts")))
-    placed = placed.join(parts, ["cell", "slice"]).withColumn("part", F.pmod("spread", F.col("parts")))
+    if more:
+        placed = placed.join(split, ["cell", "slice"], "left")
+        placed = placed.withColumn("part", F.pmod("spread", F.coalesce("parts", F.lit(1))))
+    else:
+        placed = placed.withColumn("part", F.lit(0)).withColumn("ahead", F.lit(0))
     left = placed.select(
         "id", "item", "row", F.lit(None).cast(user_factors.schema["features"].dataType).alias("features"),
-        (block + F.col("part")).alias("block"),
+        block.alias("block"),
     ).unionByName(
         users.select(
             "id", F.lit(None).cast("int").alias("item"), F.lit(None).cast(placed.schema["row"].dataType).alias("row"),
-            "features", (block + F.col("part")).alias("block"),
+            "features", block.alias("block"),
         )
     )
-    right = items.select("item_id", "vector", (block + F.col("part")).alias("block"))
+    right = items.select("item_id", "vector", block.alias("block"))
     schema = T.StructType(rows.schema.fields + [T.StructField("prediction", T.FloatType())])
-    return _block_product(left, right, grid.cells * grid.slices * most, _score_kernel(rows.columns), schema)
+    return _block_product(left, right, blocks, _score_kernel(rows.columns), schema)
 
 
 def rank_top_n(scores: DataFrame, n: int) -> DataFrame:

@@ -1,6 +1,6 @@
 """Train, validation and test split by time bucket."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ratingloom.functions import bucket, hash32
@@ -48,3 +48,17 @@ def split_shares(with_split_column: DataFrame) -> DataFrame:
     counts = with_split_column.groupBy("split").agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n").alias("total"))
     return counts.select("split", "n", (F.col("n") * 100 / total.scalar()).alias("share_pct"))
+
+
+def split_observed(with_split_column: DataFrame) -> tuple[DataFrame, Observation]:
+    """The rows themselves and the number of rows of each split, known once they have been written."""
+    seen = Observation("split_shares")
+    counts = [F.count_if(F.col("split") == name).alias(name) for name in (TRAIN, VALIDATION, TEST)]
+    return with_split_column.observe(seen, *counts), seen
+
+
+def shares_of(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """``split_shares`` out of the observed number of rows of each split."""
+    total = sum(counts.values())
+    rows = [(name, n, n * 100 / total) for name, n in counts.items() if n]
+    return spark.createDataFrame(rows, "split string, n long, share_pct double")

@@ -231,6 +231,22 @@ _AT_K_KEYS = "select m.metric, 'test' as segment, k, true as present from ks cro
 
 _QUERIES = {
     "csv_ratings_roundtrip": "select * from ratings",
+    "csv_rejects": """
+        with written as (
+            select *, concat_ws(',', userId, movieId, rating) as head, concat_ws(',', userId, movieId, rating, timestamp) as whole
+            from ratings),
+        rejects as (
+            select case when timestamp % 97 = 0 then 'x' || whole
+                        when timestamp % 89 = 0 then whole || ',1'
+                        when timestamp % 83 = 0 then head
+                        when timestamp % 79 = 0 then concat_ws(',', userId, movieId, 'good', timestamp) end as line,
+                   case when timestamp % 97 = 0 then 'userId is no int'
+                        when timestamp % 89 = 0 then 'more than 4 fields'
+                        when timestamp % 83 = 0 then 'fewer than 4 fields'
+                        when timestamp % 79 = 0 then 'rating is no float' end as reason
+            from written)
+        select * from rejects where reason is not null
+        union all select cast(count(*) as varchar), 'good' from rejects where reason is null""",
     "csv_movies_roundtrip": "select movieId, 'Say \"' || title || '\", twice' as title, genres from movies",
     "tags_count": "select 'tags' as name, count(*) as n from events",
     "split_roundtrip_counts": """
@@ -329,6 +345,7 @@ _QUERIES = {
         select id from factors
         order by cast('0x' || substr(md5('42:' || cast(id as varchar)), 1, 8) as bigint), id limit 5""",
     "topn_from_factors": "select user_idx, item_idx, round(score, 6) as score, rank from recs",
+    "topn_pruned": "select user_idx, item_idx, round(score, 6) as score, rank from recs",
     "topn_exclude_seen": """
         select * from (
             select user_idx, item_idx, round(score, 6) as score,
@@ -372,6 +389,8 @@ _QUERIES = {
         from predictions group by split""",
     "precision_recall_at_k": """
         select k, round(avg(p), 6) as precision, round(avg(r), 6) as recall from user_metrics group by k""",
+    "precision_recall_nested": """
+        select k, round(avg(p), 6) as precision, round(avg(r), 6) as recall from user_metrics group by k""",
     "precision_recall_sampled": f"""
         select k, round(avg(p), 6) as precision, round(avg(r), 6) as recall from user_metrics
         where {_sampled('user_idx', _HALF)} group by k""",

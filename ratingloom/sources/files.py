@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 
 from ratingloom import schemas
 
+# Column that holds the text of a line that does not fit its layout.
+_LINE = "_corrupt_record"
 SPLITS = ("train", "validation", "test")
 
 
@@ -22,6 +24,52 @@ def read_ratings_csv(spark: SparkSession, path: str) -> DataFrame:
     return _read_csv(spark, path, schemas.RATINGS)
 
 
+def read_ratings_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The ratings of well-formed lines, and the rejected lines."""
+    return _read_checked(spark, path, schemas.RATINGS)
+
+
+def _read_checked(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """Rows of the lines that fit ``schema``, and ``file, line, reason`` of those that do not.
+
+    A line fits if it has one field per column and every field is empty or of the
+    column's type. ``line`` is its text; ``reason`` names the first field that is
+    wrong, or tells that there are too few or too many. Either result reads the
+    files on its own and parses whole lines, whatever columns are asked for.
+    Empty lines are none.
+    """
+    # No separator and no quotes: a line is one field, and each file's header is left out.
+    raw = spark.read.schema("line string").csv(path, header=True, sep="\x01", quote="", escape="")
+    raw = raw.select("line", F.col("_metadata.file_path").alias("file")).filter(F.trim("line") != "")
+    options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _LINE}
+
+    def layout(fields: list[T.StructField]) -> str:
+        return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+
+    mark = T.StructField(_LINE, T.StringType())
+    lines = raw.withColumn("row", F.from_csv("line", layout([*schema.fields, mark]), options))
+    wrong = F.col("row")[_LINE].isNotNull()
+
+    # The same line as text, with room for one field more.
+    texts = [T.StructField(f"_{i}", T.StringType()) for i in range(len(schema.fields) + 1)]
+    reason = F.lit("malformed")
+    for i, field in reversed(list(enumerate(schema.fields))):
+        text = F.col("texts")[f"_{i}"]
+        unreadable = text.isNotNull() & text.try_cast(field.dataType).isNull()
+        reason = F.when(unreadable, f"{field.name} is no {field.dataType.simpleString()}").otherwise(reason)
+    count = len(schema.fields)
+    full = F.col("texts")[_LINE].isNull()
+    reason = F.when(full | F.col("texts")[f"_{count}"].isNotNull(), f"more than {count} fields").otherwise(reason)
+    short = F.from_csv("line", layout([*texts[:count], mark]), options)[_LINE].isNotNull() & ~full
+    rejects = (
+        lines.filter(wrong)
+        .withColumn("texts", F.from_csv("line", layout([*texts, mark]), options))
+        .withColumn("short", short & F.col("texts")[f"_{count}"].isNull())
+        .select("file", "line", F.when(F.col("short"), f"fewer than {count} fields").otherwise(reason).alias("reason"))
+    )
+    return lines.filter(~wrong).select("row.*").drop(_LINE), rejects
+
+
 def read_movies_csv(spark: SparkSession, path: str) -> DataFrame:
     return _read_csv(spark, path, schemas.MOVIES)
 
@@ -80,6 +128,11 @@ def read_factors(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.FACTORS).parquet(path)
 
 
+def record(spark: SparkSession, values: dict[str, int]) -> DataFrame:
+    """One row of whole numbers."""
+    return spark.createDataFrame([tuple(values.values())], ", ".join(f"{name} long" for name in values))
+
+
 def write_json_record(record: DataFrame, path: str) -> None:
     """JSON lines for a report of a few rows (statistics, metrics, metadata)."""
     record.coalesce(1).write.mode("overwrite").json(path)

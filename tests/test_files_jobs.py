@@ -3,7 +3,7 @@ from pathlib import Path
 import pytest
 
 from ratingloom import session
-from ratingloom.operators import als
+from ratingloom.operators import activity, als, profiling
 from ratingloom.plans import evaluate, explore, prepare, recommend, train
 from ratingloom.session import shared_folder
 from ratingloom.sources import files
@@ -23,6 +23,28 @@ def test_unreadable_fields_become_null(spark, tmp_path):
     assert rows == [(1, 2, 3.5, 9), (None, 2, None, 9)]
 
 
+def test_lines_that_do_not_fit_are_rejected_with_their_reason(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    head = "userId,movieId,rating,timestamp\n"
+    (tmp_path / "a" / "1.csv").write_text(head + '1,2,3.5,9\nx,2,3,9\n1,2,3\n1,2,3,4,5\n1,2,bad,9\n,2,3,9\n"1","2","3",zz\n\n1,2,3,\n')
+    (tmp_path / "a" / "2.csv").write_text(head + "7,2,1e1,9\n99999999999,1,1,1\n1,2,3,4,5,6,7\n")
+    good, rejects = files.read_ratings_checked(spark, str(tmp_path / "a"))
+    assert sorted(map(str, (tuple(r) for r in good.collect()))) == [
+        "(1, 2, 3.0, None)", "(1, 2, 3.5, 9)", "(7, 2, 10.0, 9)", "(None, 2, 3.0, 9)"
+    ]
+    assert good.select("userId").count() == 4
+    found = sorted((r.file[-5:], r.line, r.reason) for r in rejects.collect())
+    assert found == [
+        ("1.csv", '"1","2","3",zz', "timestamp is no bigint"),
+        ("1.csv", "1,2,3", "fewer than 4 fields"),
+        ("1.csv", "1,2,3,4,5", "more than 4 fields"),
+        ("1.csv", "1,2,bad,9", "rating is no float"),
+        ("1.csv", "x,2,3,9", "userId is no int"),
+        ("2.csv", "1,2,3,4,5,6,7", "more than 4 fields"),
+        ("2.csv", "99999999999,1,1,1", "userId is no int"),
+    ]
+
+
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
@@ -139,3 +161,30 @@ def test_full_evaluation_scores_once(spark, raw, tmp_path, monkeypatch):
     assert dict(report.dtypes) == {"metric": "string", "segment": "string", "k": "int", "value": "double"}
     width = spark.conf.get("spark.sql.shuffle.partitions")
     assert width == "8"
+
+
+def test_preparation_reads_each_table_for_the_next_one_only(spark, raw, tmp_path, monkeypatch):
+    """Reports come from the writes: the raw files are read once, and no written table for a report."""
+    plans, reports = [], []
+    write = prepare.durable
+
+    def noted(df, *args, **kwargs):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, *args, **kwargs)
+
+    monkeypatch.setattr(prepare, "durable", noted)
+    monkeypatch.setattr(prepare.files, "write_json_record", lambda df, path: reports.append(df._jdf.queryExecution().optimizedPlan().toString()))
+    prepare.prepare(files.read_ratings_csv(spark, str(raw / "ratings.csv")), files.read_movies_csv(spark, str(raw / "movies.csv")), str(tmp_path))
+    assert sum("csv" in plan for plan in plans) == 1 and "CollectMetrics" in plans[0]
+    assert len(reports) == 4 and not any("timestamp#" in plan for plan in reports)
+
+
+def test_statistics_of_counts_equal_those_of_ratings(spark):
+    rows = [(u, m, 0.5 + (u * m) % 9 / 2, 1) for u in range(9) for m in range(u + 1)]
+    ratings = spark.createDataFrame(rows, "userId int, movieId int, rating float, timestamp long")
+    whole = profiling.rating_stats(ratings).first()
+    counts = activity.rating_counts(ratings)
+    expected = profiling.dataset_statistics(ratings).first()
+    assert profiling.statistics_of_counts(counts, whole.avg_rating, whole.std_rating).first() == expected
+    empty = profiling.statistics_of_counts(counts.limit(0), None, None).first()
+    assert empty == profiling.dataset_statistics(ratings.limit(0)).first()

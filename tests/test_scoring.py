@@ -153,3 +153,50 @@ def test_request_size_is_checked(spark, n):
     one = factors(spark, [[1.0]])
     with pytest.raises(ValueError):
         scoring.recommend(spark.createDataFrame([(0,)], "user_id int"), one, one, n=n)
+
+
+def lists(df):
+    return sorted((r.user_idx, r.rank, r.item_idx, round(r.score, 9)) for r in df.collect())
+
+
+def test_pruned_lists_are_the_same_and_slices_are_skipped(spark):
+    rng = np.random.default_rng(8)
+    scale = 1.0 / np.arange(1, 801) ** 1.2
+    items = spark.createDataFrame([(i, (rng.normal(size=6) * scale[i]).tolist()) for i in range(800)], "id int, features array<float>")
+    users = spark.createDataFrame([(u, rng.normal(size=6).tolist()) for u in range(60)], "id int, features array<float>")
+    seen = spark.createDataFrame([(u, i) for u in range(60) for i in range(u % 40)], "user_idx int, item_idx int")
+    for rated in (None, seen):
+        pruned = scoring.top_n_pruned(users, items, 5, rated, items_per_slice=50)
+        assert lists(pruned.recommendations) == lists(scoring.top_n_from_factors(users, items, 5, rated))
+        visited = [r.slices for r in pruned.visited.collect()]
+        assert len(visited) == 60 and sum(visited) < 0.5 * 60 * pruned.slices
+
+
+def test_pruning_keeps_ties_short_lists_and_single_slices(spark):
+    items = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(30)], "id int, features array<float>")
+    users = spark.createDataFrame([(0, [1.0, 0.0]), (1, [-1.0, 0.0]), (2, [0.0, 0.0])], "id int, features array<float>")
+    for size in (4, 1000):
+        for n in (3, 50):
+            pruned = scoring.top_n_pruned(users, items, n, items_per_slice=size)
+            assert lists(pruned.recommendations) == lists(scoring.top_n_from_factors(users, items, n))
+    nothing = scoring.top_n_pruned(users, items.limit(0), 3)
+    assert nothing.recommendations.count() == 0
+
+
+def test_crowded_cells_get_blocks_without_gaps(spark, monkeypatch):
+    """Parts of one crowded cell are numbered behind all blocks, so the number of tasks follows the pairs."""
+    blocks = []
+    product = scoring._block_product
+
+    def noted(users, items, count, *rest):
+        blocks.append(count)
+        return product(users, items, count, *rest)
+
+    monkeypatch.setattr(scoring, "_block_product", noted)
+    rng = np.random.default_rng(4)
+    factors = spark.createDataFrame([(i, rng.normal(size=3).tolist()) for i in range(60)], "id int, features array<float>")
+    seen = spark.createDataFrame([(u, i) for u in (7, 8, 9) for i in range(50)] * 2, "user_idx int, item_idx int")
+    top = scoring.top_n_from_factors(factors, factors, 5, seen, users_per_cell=6, items_per_slice=30, pairs_per_block=20)
+    plain = scoring.top_n_from_factors(factors, factors, 5, seen)
+    assert lists(top) == lists(plain)
+    assert blocks[0] < blocks[1] + 2 * (20 + 3 * 50 * 2 / 20 + 3)
