@@ -1,12 +1,15 @@
 """Licence scan by a trained paragraph classifier.
 
-Features are word n-grams of one to three words, taken from public licence
-notices; the classifier is a multinomial logistic regression that is trained on
-variants of the notices (words left out) against paragraphs of the corpus as the
-unknown class. A second, one-dimensional regression on held-out variants turns
-the margin over the unknown class into a calibrated probability; below one half
-a paragraph stays unknown. What is predicted is compared with the templates of
-its family and confirmed where enough of the n-grams agree.
+A paragraph is a run of lines up to a blank line or the end of a sentence at the end
+of a line; marks of comments are taken off and wrapped lines joined, so that a notice
+is judged as a whole however it is set. Features are word n-grams of one to three
+words, taken from public licence notices and from common forms of naming a licence;
+the classifier is a multinomial logistic regression that is trained on variants of
+both (words left out) against paragraphs of the corpus as the unknown class. A
+second, one-dimensional regression turns the margin over the unknown class into a
+calibrated probability; it rests on whole notices and forms that a first regression
+has not seen. Below one half a paragraph stays unknown. What is predicted is compared
+with the templates of its family and confirmed where enough of the n-grams agree.
 
 Every n-gram of the notices is a feature, whatever words the background sample
 holds; the regression weighs them. A paragraph without any word of the notices
@@ -53,7 +56,46 @@ TEMPLATES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("proprietary", "Copyright. All rights reserved. No part of this publication may be reproduced, distributed, or transmitted in any form without the prior written permission of the publisher."),
 )
+# Names of licences, and how texts refer to them by name.
+NAMES = (
+    ("Apache", "Apache License, Version 2.0"),
+    ("Apache", "Apache License 2.0"),
+    ("MIT", "MIT License"),
+    ("BSD", "BSD 2-Clause License"),
+    ("BSD", "BSD 3-Clause License"),
+    ("ISC", "ISC License"),
+    ("GPL", "GNU General Public License, version 3"),
+    ("GPL", "GNU General Public License v2.0"),
+    ("GPL", "GNU GPL v3"),
+    ("LGPL", "GNU Lesser General Public License, version 2.1"),
+    ("LGPL", "GNU Lesser General Public License v3.0"),
+    ("LGPL", "GNU LGPL v3"),
+    ("AGPL", "GNU Affero General Public License, version 3"),
+    ("AGPL", "GNU Affero General Public License v3.0"),
+    ("AGPL", "GNU AGPL v3"),
+    ("MPL", "Mozilla Public License, version 2.0"),
+    ("EPL", "Eclipse Public License 2.0"),
+    ("CC-BY", "Creative Commons Attribution 4.0 International License"),
+    ("CC-BY", "CC BY 4.0"),
+    ("CC-BY-SA", "Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("CC-BY-SA", "CC BY-SA 4.0"),
+    ("CC-BY-NC", "Creative Commons Attribution-NonCommercial 4.0 International License"),
+    ("CC-BY-NC", "CC BY-NC 4.0"),
+    ("CC0", "CC0 1.0 Universal"),
+    ("Unlicense", "Unlicense"),
+)
+FORMS = (
+    "Released under the {}.",
+    "Licensed under the {}.",
+    "This project is licensed under the terms of the {}.",
+    "Distributed under the {}. See the LICENSE file for details.",
+    "This work is licensed under a {}.",
+    "The code in this repository is available under the {}.",
+)
+NOTICES = TEMPLATES + tuple((family, form.format(name)) for form in FORMS for family, name in NAMES)
 UNKNOWN = "unknown"
+# Marks at the ends of a line that belong to a comment, not to its text.
+_MARKS = r"^[\s]*(?:(?://+|/\*+|\*+/?|#+|--+|;+|%+|<!--+|\\\\+|>+|dnl\b|REM\b)[\s]*)*|[\s]*(?:\*+/|--+>)?[\s]*$"
 # Bounds of the training sample: background documents (by hash of the id, about as many), variants of a notice.
 BACKGROUND = 300
 VARIANTS = 24
@@ -88,16 +130,36 @@ def _once(column: Column) -> Column:
 
 
 def _templates(spark: SparkSession) -> DataFrame:
-    """``template, family, words`` of the fixed notices."""
-    rows = F.array(*[F.struct(F.lit(f).alias("family"), F.lit(t).alias("text")) for f, t in TEMPLATES])
+    """``template, family, held, words`` of all notices; ``held`` are the forms kept for calibration, every third."""
+    n = len(TEMPLATES)
+    held = [i >= n and (i - n) // len(NAMES) % 3 == 1 for i in range(len(NOTICES))]
+    rows = F.array(
+        *[F.struct(F.lit(f).alias("family"), F.lit(h).alias("held"), F.lit(t).alias("text")) for (f, t), h in zip(NOTICES, held)]
+    )
     table = spark.range(1).select(F.posexplode(rows).alias("template", "t"))
-    return table.select("template", "t.family", _words(F.col("t.text")).alias("words"))
+    return table.select("template", "t.family", "t.held", _words(F.col("t.text")).alias("words"))
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """``doc_id, paragraph, text``: lines that hold a word, numbered from 0 with the others."""
-    lines = docs.select(F.col("doc_id"), F.posexplode(F.split("text", "\n")).alias("paragraph", "text"))
-    return lines.filter(F.col("text").rlike("[A-Za-z0-9]"))
+    """``doc_id, paragraph, text``: paragraphs that hold a word; ``paragraph`` is the number of the first line, from 0.
+
+    A paragraph ends at a blank line and behind a line that ends a sentence.
+    Marks of comments at the ends of its lines are left out, and its lines joined
+    by a space.
+    """
+    # Each line is led by its number between two control characters, which texts do not keep.
+    plain = F.translate("text", "\x01\x02\r", "")
+    lines = F.transform(
+        F.split(plain, "\n"),
+        lambda line, i: F.when(line.rlike("[A-Za-z0-9]"), F.concat(F.lit("\x01"), i.cast("string"), F.lit("\x02"), F.regexp_replace(line, _MARKS, ""))).otherwise(""),
+    )
+    ended = F.regexp_replace(F.array_join(lines, "\n"), r"([.!?:;][\"')\]]*)\n", "$1\n\n")
+    found = docs.select("doc_id", F.explode(F.split(ended, "\n{2,}")).alias("raw")).filter(F.col("raw").contains("\x01"))
+    return found.select(
+        "doc_id",
+        F.regexp_extract("raw", "\x01([0-9]+)\x02", 1).cast("int").alias("paragraph"),
+        F.regexp_replace(F.regexp_replace("raw", "\n?\x01[0-9]+\x02", " "), "^ ", "").alias("text"),
+    )
 
 
 @dataclass(frozen=True)
@@ -121,11 +183,12 @@ def _margin(logits: Column, unknown: int) -> Column:
 def train(docs: DataFrame, background: int = BACKGROUND, variants: int = VARIANTS) -> Classifier:
     """Train on variants of the notices and on paragraphs of about ``background`` documents.
 
-    The sample is drawn by a hash of the id; a licence line in it is no background.
+    The sample is drawn by a hash of the id; a licence paragraph in it is no
+    background. An empty table leaves the notices and their single words.
     """
     spark = docs.sparkSession
-    unknown = len({f for f, _ in TEMPLATES})
-    families = sorted({f for f, _ in TEMPLATES}) + [UNKNOWN]
+    unknown = len({f for f, _ in NOTICES})
+    families = sorted({f for f, _ in NOTICES}) + [UNKNOWN]
     templates = _templates(spark).withColumn("grams", _ngrams("words"))
     # All notices together have some hundred words and about two thousand n-grams.
     known = sorted(r["gram"] for r in templates.select(F.explode("grams").alias("gram")).distinct().collect())
@@ -133,46 +196,56 @@ def train(docs: DataFrame, background: int = BACKGROUND, variants: int = VARIANT
     sample = docs.filter(share < background / max(docs.count(), 1)).select("doc_id", "text")
     sampled = paragraphs(sample).select(_once(_words(F.col("text"))).alias("words"))
     sampled = sampled.select("words", _once(_ngrams("words")).alias("grams"))
-    notice = F.lit(False)
+    known_triples = []
     for _, words in sorted((r["template"], r["words"]) for r in templates.select("template", "words").collect()):
         triples = sorted({" ".join(words[i : i + 3]) for i in range(len(words) - 2)})
-        held = F.size(F.array_intersect("grams", F.array(*map(F.lit, triples))))
-        notice = notice | (held >= NOTICE * len(triples))
+        known_triples += [F.array(*map(F.lit, triples))] if triples else []
+    notice = F.exists(
+        F.array(*known_triples), lambda t: F.size(F.array_intersect("grams", t)) >= NOTICE * F.size(t)
+    )
     plain = durable(sampled.filter(~notice), "licence-background")
 
     label = F.create_map(*[x for i, f in enumerate(families) for x in (F.lit(f), F.lit(float(i)))])
     number = F.explode(F.sequence(F.lit(0), F.lit(variants - 1)))
     # Variant v lacks about v % 6 of 20 words.
     left = F.pmod(F.col("variant"), F.lit(6))
-    varied = templates.select("family", "template", "words", number.alias("variant")).select(
+    varied = templates.select("family", "template", "held", "words", number.alias("variant")).select(
         label[F.col("family")].alias("label"),
-        "variant",
+        "held",
         F.filter(
             "words", lambda w, i: F.pmod(F.xxhash64(w, i, F.col("template"), F.col("variant")), F.lit(20)) >= left
         ).alias("words"),
     )
 
     def of_unknown(words: Column) -> list[Column]:
-        group = F.pmod(F.xxhash64(words), F.lit(variants)).cast("int")
-        return [F.lit(float(unknown)).alias("label"), group.alias("variant"), words.alias("words")]
+        held = F.pmod(F.xxhash64(words), F.lit(3)) == 1
+        return [F.lit(float(unknown)).alias("label"), held.alias("held"), words.alias("words")]
 
     lines = plain.select(*of_unknown(F.col("words")))
     # One word of a notice alone decides nothing.
     scraps = templates.select(F.explode("words").alias("word")).distinct().select(*of_unknown(F.array("word")))
+    # Nor do all its words in another order: the n-grams tell.
+    shuffled = F.transform(
+        F.array_sort(F.transform("words", lambda w, i: F.struct(F.xxhash64(w, i, "variant").alias("at"), w.alias("w")))),
+        lambda x: x["w"],
+    )
+    mixed = templates.select("words", number.alias("variant")).filter("variant < 4").select(shuffled.alias("words"))
+    scraps = scraps.union(mixed.select(*of_unknown(F.col("words"))))
     rows = varied.union(lines).union(scraps).withColumn("grams", _ngrams("words"))
     vectors = CountVectorizerModel.from_vocabulary(known, "grams", "features")
     vectors.setBinary(True)
-    held = (F.pmod(F.col("variant"), F.lit(3)) == 1).alias("held")
-    rows = durable(vectors.transform(rows).select("label", "features", held).coalesce(1), "licence-training")
-    model = LogisticRegression(family="multinomial", maxIter=40, regParam=0.001).fit(rows.filter("not held"))
+    rows = durable(vectors.transform(rows).select("label", "features", "held").coalesce(1), "licence-training")
+    regression = LogisticRegression(family="multinomial", maxIter=40, regParam=0.001)
 
+    # What a model makes of notices it has not seen, in wording that it has not seen.
     raw = vector_to_array("rawPrediction").alias("logits")
-    scored = model.transform(rows.filter("held")).select("label", raw)
+    scored = regression.fit(rows.filter("not held")).transform(rows.filter("held")).select("label", raw)
     margins = scored.select(
         (F.col("label") != unknown).cast("double").alias("label"),
         array_to_vector(F.array(_margin(F.col("logits"), unknown))).alias("features"),
     )
     calibrated = LogisticRegression(maxIter=40, regParam=0.01).fit(margins)
+    model = regression.fit(rows)
     return Classifier(
         families,
         [g for g in known if " " not in g],
@@ -187,13 +260,14 @@ def scan(docs: DataFrame, classifier: Classifier, confirm: float = CONFIRM) -> D
     """Licence paragraphs of ``documents(doc_id, text)``.
 
     ``doc_id, paragraph, text, family, probability, template, similarity,
-    confirmed``: lines that the classifier gives to a family with a calibrated
-    probability of one half or more; ``template`` is the most similar notice of
-    that family, by shared n-grams over the smaller number of n-grams, the first
-    of equals. All other lines are unknown and have no row. Null and empty texts
-    have no lines; the same line number and text of a repeated row is reported
-    once; rows without id are scanned like any other. Further columns are
-    ignored; an empty table gives no rows.
+    confirmed``: paragraphs (numbered by their first line) that the classifier
+    gives to a family with a calibrated probability of one half or more;
+    ``template`` is the most similar of ``NOTICES`` of that family, by shared
+    n-grams over the smaller number of n-grams, the first of equals. All other
+    paragraphs are unknown and have no row. Null and empty texts have none; the
+    same place and text of a repeated row is reported once; rows without id are
+    scanned like any other. Further columns are ignored; an empty table gives no
+    rows.
     """
     spark = docs.sparkSession
     known = F.array(*[F.lit(w) for w in classifier.words])
@@ -214,49 +288,36 @@ def scan(docs: DataFrame, classifier: Classifier, confirm: float = CONFIRM) -> D
         ).alias("family"),
         (1 / (1 + F.exp(-(classifier.slope * margin + classifier.offset)))).alias("probability"),
     )
-    # Joins go by a hash of the line; its text stays behind.
-    key = ["doc_id", "paragraph", "line"]
-    scored = scored.filter("probability >= 0.5").withColumn("line", F.xxhash64("text")).dropDuplicates(key)
-    candidates = durable(scored, "licence-found")
-    exploded = candidates.select(*key, F.size("grams").alias("n"), F.explode("grams").alias("gram"))
-    found = candidates.select(*key, "family", "probability")
-
-    templates = _templates(spark).withColumn("grams", _ngrams("words"))
-    template_grams = templates.select(
-        "template", "family", F.size("grams").alias("size"), F.explode("grams").alias("gram")
-    )
-    predicted = found.select(*[F.col(c).alias(f"of_{c}") for c in key], "family", "probability")
-
-    def same(prefix: str) -> Column:
-        found = F.lit(True)
-        for c in key:
-            found = found & F.col(c).eqNullSafe(F.col(f"{prefix}_{c}"))
-        return found
-
-    pairs = (
-        exploded.join(predicted, same("of"))
-        .join(template_grams, ["family", "gram"])
-        .groupBy(*key, "family", "probability", "template", "n", "size")
-        .agg(F.count("*").alias("shared"))
-        .withColumn("similarity", F.col("shared") / F.least("n", "size"))
-    )
-    nearest = pairs.groupBy(*key, "family", "probability").agg(
-        F.max(F.struct("similarity", (-F.col("template")).alias("order"))).alias("best")
-    )
-    matched = nearest.select(
-        *[F.col(c).alias(f"of_{c}") for c in key],
-        (-F.col("best.order")).alias("template"),
-        F.col("best.similarity").alias("best_similarity"),
-    )
-    similarity = F.coalesce("best_similarity", F.lit(0.0))
-    texts = candidates.select(*[F.col(c).alias(f"text_{c}") for c in key], "text")
-    return found.join(matched, same("of"), "left").join(texts, same("text")).select(
+    found = scored.filter("probability >= 0.5").withColumn("line", F.xxhash64("text"))
+    found = found.dropDuplicates(["doc_id", "paragraph", "line"])
+    return _compared(found, spark, confirm)
+
+
+def _compared(found: DataFrame, spark: SparkSession, confirm: float) -> DataFrame:
+    """``found`` with the most similar template of its family, by n-grams compared inside the row."""
+    templates = _templates(spark).withColumn("grams", _ngrams("words")).select("template", "family", "grams").collect()
+    by_family: dict[str, list[Column]] = {}
+    for row in sorted(templates, key=lambda r: r["template"]):
+        one = F.struct(F.lit(row["template"]).alias("template"), F.array(*map(F.lit, row["grams"])).alias("grams"))
+        by_family.setdefault(row["family"], []).append(one)
+    best = None
+    for family, rows in by_family.items():
+        compared = F.transform(
+            F.array(*rows),
+            lambda t: F.struct(
+                (F.size(F.array_intersect(t["grams"], F.col("grams"))) / F.least(F.size("grams"), F.size(t["grams"]))).alias("similarity"),
+                (-t["template"]).alias("order"),
+            ),
+        )
+        case = (F.col("family") == family, F.array_max(compared))
+        best = F.when(*case) if best is None else best.when(*case)
+    return found.select("*", _once(best).alias("best")).select(
         "doc_id",
         "paragraph",
         "text",
         "family",
         "probability",
-        "template",
-        similarity.alias("similarity"),
-        (similarity >= confirm).alias("confirmed"),
+        F.when(F.col("best.similarity") > 0, -F.col("best.order")).alias("template"),
+        F.col("best.similarity").alias("similarity"),
+        (F.col("best.similarity") >= confirm).alias("confirmed"),
     )
