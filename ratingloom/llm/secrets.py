@@ -46,8 +46,10 @@ _WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}(?:\r?\n[ \t]*[A
 _SEPARATOR = re.compile(r"[/_-]")
 _GLUED = re.compile(r"(?<=[/_-])(?:H4sI|e[A-P])")
 # Bytes unfolded at once, and of a window of compressed data that is scanned at once; it ends at a space,
-# or at HELD bytes without one, and begins again OVERLAP bytes before the last one's end.
-PIECE, WINDOW, HELD, OVERLAP = 1 << 18, 1 << 21, 1 << 24, 1 << 14
+# or at HELD bytes without one, and the next begins OVERLAP bytes before its end, or up to three more.
+PIECE, WINDOW, HELD, OVERLAP = 1 << 18, 1 << 21, 1 << 22, 1 << 14
+_ALPHABET = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
+_WRAPS = b"\r\n\t"
 
 
 @dataclass(frozen=True)
@@ -167,11 +169,26 @@ def _windows(pieces: Iterable[bytes]) -> Iterator[bytes]:
         # An even cut keeps the two bytes of UTF-16 together.
         cut -= cut % 2
         yield held[:cut]
-        held = held[cut - OVERLAP :]
+        held = held[_in_step(held, cut - OVERLAP) :]
     if held:
         yield held
 
 
+def _in_step(data: bytes, at: int) -> int:
+    """The last place up to ``at`` where four characters of a base64 run begin, if it lies in one.
+
+    A window that begins there decodes the rest of the run as the whole run would
+    be decoded, whether it is wrapped into lines or not.
+    """
+    head = data[:at]
+    start = len(head.rstrip(_ALPHABET + _WRAPS))
+    over = sum(len(part) for part in head[start:].translate(None, _WRAPS).split()) % 4
+    while over:
+        at -= 1
+        over -= data[at] in _ALPHABET
+    return at
+
+
 def _unfolded(data: bytes) -> tuple[str, Iterator[bytes]] | None:
     """Way and windows of what gzip or zlib data unfolds to, through all its compressed layers."""
     if not _packed(data):
@@ -332,7 +349,11 @@ def digests(found: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every finding in ``text`` replaced by ``mask``; overlapping findings become one."""
+    """``docs`` with every finding in ``text`` replaced by ``mask``; overlapping findings become one.
+
+    Null and empty texts stay as they are, repeated rows are masked alike, an
+    empty table gives none; further columns pass through.
+    """
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
