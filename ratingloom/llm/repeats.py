@@ -245,8 +245,8 @@ def _exact(texts: list[bytes], windows: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.array([f[0] for f in found], dtype=np.int64), np.array([f[1] for f in found], dtype=np.int64)
 
 
-def _refined(rows: pd.DataFrame) -> pd.DataFrame:
-    """Intervals of the rows' documents that repeat earlier text."""
+def _refined(rows: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """Intervals of the rows' documents that repeat earlier text, and the rows with a window that does not."""
     rows = rows.sort_values(["id", "text_key", "first"], kind="stable")
     # The same place twice is one row that was in the input twice.
     rows = rows.drop_duplicates(["anchor", "id", "text_key", "first"])
@@ -262,7 +262,8 @@ def _refined(rows: pd.DataFrame) -> pd.DataFrame:
     ends = np.concatenate((opens[1:], [True])) if len(stretch) else opens
     row = stretch[opens]
     first = rows["first"].to_numpy(np.int64)[row]
-    return pd.DataFrame(
+    origins = rows[np.bincount(stretch, minlength=len(rows)) < n]
+    found = pd.DataFrame(
         {
             "id": rows["id"].to_numpy(np.int64)[row],
             "text_key": rows["text_key"].to_numpy(np.int64)[row],
@@ -270,10 +271,15 @@ def _refined(rows: pd.DataFrame) -> pd.DataFrame:
             "end": first + offset[ends] + LENGTH,
         }
     )
+    return found, origins
 
 
 def _refine_sorted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Whole buckets of rows sorted by anchor, a few MB at a time."""
+    """Buckets of rows sorted by anchor and place, a few MB at a time.
+
+    Of a bucket larger than that only the rows stay that hold the first of equal
+    windows: one for each window of a divided anchor, and less than ``HOT`` others.
+    """
     held: list[pd.DataFrame] = []
     size = 0
     for frame in frames:
@@ -288,14 +294,12 @@ def _refine_sorted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if size < _REFINED:
             continue
         rows = pd.concat(held, ignore_index=True)
-        # A bucket larger than a block waits here until its end.
-        last = rows["anchor"] == rows["anchor"].iat[-1]
-        if not last.all():
-            yield _refined(rows[~last])
-        held = [rows[last]]
-        size = held[0]["text"].str.len().sum()
+        found, origins = _refined(rows)
+        yield found
+        # The next rows may belong to the last bucket, which has no end yet.
+        held, size = [origins[origins["anchor"] == rows["anchor"].iat[-1]]], 0
     if held and sum(map(len, held)):
-        yield _refined(pd.concat(held, ignore_index=True))
+        yield _refined(pd.concat(held, ignore_index=True))[0]
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -347,16 +351,14 @@ def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     found = texts.mapInArrow(
         _emit(*filters), "anchor long, id long, text_key long, first int, n int, text binary"
     )
-    ordered = found.repartition("anchor").sortWithinPartitions("anchor")
+    ordered = found.repartition("anchor").sortWithinPartitions("anchor", "id", "text_key", "first")
     refined = ordered.mapInPandas(_refine_sorted, "id long, text_key long, start long, end long")
     spans = (
         refined.groupBy("id", "text_key")
         .agg(F.collect_list(F.struct("start", "end")).alias("spans"))
         .select(F.col("id").alias("span_id"), F.col("text_key").alias("span_key"), "spans")
     )
-    joined = rows.join(
-        spans.hint("shuffle_hash"), (F.col("id") == F.col("span_id")) & (F.col("text_key") == F.col("span_key")), "left"
-    )
+    joined = rows.join(spans, (F.col("id") == F.col("span_id")) & (F.col("text_key") == F.col("span_key")), "left")
     return joined.select("doc_id", "text", "spans.start", "spans.end").mapInArrow(
         _remove, "doc_id long, kept binary, n_removed long, n_spans long"
     )

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from ratingloom.llm import repeats
@@ -74,3 +75,30 @@ def test_exact_fallback_agrees_with_refinement():
     stretch, offset, _ = repeats.refine(texts, windows)
     other = repeats._exact(texts, windows)
     assert list(zip(stretch, offset)) == list(zip(*other))
+
+
+def test_bucket_far_over_a_block_is_refined_in_parts(monkeypatch):
+    """Many rows of one divided anchor, more than a block holds: only firsts stay, all others are reported."""
+    monkeypatch.setattr(repeats, "_REFINED", 2000)
+    window, other = b"w" * 100, b"v" * 100
+    rows = [(7, i, 0, i % 5, 1, other if i % 50 == 3 else window) for i in range(2000)]
+    rows += [(9, i, 0, 0, 11, bytes(range(110))) for i in range(40)]
+    table = pd.DataFrame(rows, columns=["anchor", "id", "text_key", "first", "n", "text"])
+    held = []
+    refined = repeats._refined
+
+    def noted(part):
+        held.append(len(part))
+        return refined(part)
+
+    monkeypatch.setattr(repeats, "_refined", noted)
+    frames = (table[i : i + 64] for i in range(0, len(table), 64))
+    found = pd.concat(list(repeats._refine_sorted(frames)))
+    got = {tuple(r) for r in found[["id", "start", "end"]].itertuples(index=False)}
+    assert got == {(i, i % 5, i % 5 + 100) for i in range(2000) if i not in (0, 3)} | {(i, 0, 110) for i in range(1, 40)}
+    assert max(held) < 120
+
+
+def test_null_id_and_null_text_rows(spark):
+    passage = "".join(f"{i} " for i in range(80))
+    check(spark.createDataFrame([(None, None)] * 30 + [(None, passage)] * 3 + [(1, None)], LAYOUT).repartition(3))
