@@ -109,5 +109,10 @@ def temporary_tables(spark: SparkSession) -> Iterator[None]:
     finally:
         _written.reset(token)
         for name in written:
-            path = spark._jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            remove(spark, name)
+
+
+def remove(spark: SparkSession, name: str) -> None:
+    """Delete a stored table."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
