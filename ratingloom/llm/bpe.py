@@ -197,6 +197,24 @@ class Vocabulary:
         return b"".join(map(self.token_bytes.__getitem__, numbers)).decode("utf-8", "replace")
 
 
+def pieces(text: str, limit: int) -> Iterator[str]:
+    """``text`` in pieces of about ``limit`` characters that are encoded and decoded as in the whole text.
+
+    A piece begins at a space between two other characters: there a word begins
+    whatever stands before. A text without such a place stays whole.
+    """
+    start = 0
+    while len(text) - start > limit:
+        at = text.find(" ", start + limit)
+        while 0 < at < len(text) - 1 and (text[at - 1].isspace() or text[at + 1].isspace()):
+            at = text.find(" ", at + 1)
+        if not 0 < at < len(text) - 1:
+            break
+        yield text[start:at]
+        start = at
+    yield text[start:]
+
+
 def load_vocabulary(path: str) -> Vocabulary:
     with open(path, encoding="utf-8") as file:
         return Vocabulary(file.read())
@@ -233,9 +251,18 @@ def transcode(docs: DataFrame, vocabulary_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
+        divisible = not any(" " in token for token in vocabulary.special)
         for part, texts in blocks(batches):
-            ids = vocabulary.encode(texts)
-            decoded = [vocabulary.decode(x) for x in ids]
+            if len(texts) == 1 and divisible:
+                # A long text is encoded piece by piece, so that what is held at once does not grow with it.
+                encoded, shown = [], []
+                for piece in pieces(texts[0], BLOCK):
+                    encoded += vocabulary.encode([piece])
+                    shown.append(vocabulary.decode(encoded[-1]))
+                ids, decoded = [b"".join(encoded)], ["".join(shown)]
+            else:
+                ids = vocabulary.encode(texts)
+                decoded = [vocabulary.decode(x) for x in ids]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(ids, pa.binary()), pa.array(decoded, pa.string())],
                 names=["doc_id", "ids", "decoded"],

@@ -296,7 +296,10 @@ def plan_mixture(
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus: rows of ``docs`` once per copy taken, in shards, shuffled inside each.
 
-    The result has one partition per shard or fewer; ``docs`` keeps its columns.
+    The result has one partition per shard or fewer; ``docs`` keeps its columns. A
+    null source is a source of its own, a null text has size 0 and is never
+    needed for a target; every repeated row is taken as often as its document; an
+    empty table gives none.
     """
     mixture, _ = plan_mixture(docs.select("doc_id", "source", "text"), **options)
     # Rows ride as one column, so their names cannot meet those of the mix.

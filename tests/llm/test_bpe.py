@@ -110,3 +110,20 @@ def test_fields_are_encoded_together(spark, library):
 def test_wrong_rule_is_refused(small):
     with pytest.raises(ValueError):
         attribution.section_tokens(small, PATH, rule="middle")
+
+
+def test_pieces_of_a_long_text_give_the_ids_of_the_whole(spark, monkeypatch):
+    """Irregular white space, special tokens and other scripts on both sides of every cut."""
+    monkeypatch.setattr(bpe, "BLOCK", 64)
+    rng = random.Random(12)
+    parts = ["word", "it's", "12", " ", "  ", "\n", "\t ", "漢字", "é", "🙂", "<|endoftext|>", "...", "\u00a0", "\x1c", "x "]
+    texts = [" ".join(rng.choice(parts) for _ in range(400)) for _ in range(12)] + ["a" * 500, " " * 300, "b " * 200, ""]
+    for text in texts:
+        assert "".join(bpe.pieces(text, 64)) == text
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for r in bpe.transcode(docs, path).collect():
+        ids = library.encode(texts[r.doc_id], add_special_tokens=False).ids
+        assert np.frombuffer(r.ids, dtype="<u4").tolist() == ids
+        assert r.decoded == library.decode(ids, skip_special_tokens=False)
