@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratingloom.llm import bpe, langid, minhash, mixing, secrets
-from ratingloom.session import durable
+from ratingloom.session import durable, remove, scratch_path, temporary_tables
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +36,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, every secret in their text masked; ``n_chars`` is that of the new text."""
+    """All documents, every secret in their text masked; ``n_chars`` is that of the new text.
+
+    Null and empty texts and repeated rows stay as they are; an empty table gives none.
+    """
     masked = secrets.redact(docs)
     if "n_chars" not in docs.columns:
         return masked
@@ -44,12 +47,18 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixture: documents as often as their source's target asks, up to twice, in shuffled shards."""
+    """The mixture: documents as often as their source's target asks, up to twice, in shuffled shards.
+
+    A null source is one of its own, repeated rows are taken alike; an empty table gives none.
+    """
     return mixing.mix(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text of the mixture with the digests of ids and decoded text."""
+    """Token ids of every text of the mixture with the digests of ids and decoded text.
+
+    A null text counts as empty; every row has its own, also a repeated one; an empty table gives none.
+    """
     coded = bpe.transcode(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return bpe.digests(coded, "ids")
 
@@ -67,8 +76,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; each result is written and read again.
+
+    What a stage stores for itself goes when its result is written, and that
+    result when the next one is; the last table stays for the rows returned.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = durable(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name}")
+        with temporary_tables(spark):
+            kept = stage(spark, docs, sf_dir)
+            kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)
