@@ -94,8 +94,9 @@ FORMS = (
 )
 NOTICES = TEMPLATES + tuple((family, form.format(name)) for form in FORMS for family, name in NAMES)
 UNKNOWN = "unknown"
-# Marks at the ends of a line that belong to a comment, not to its text.
-_MARKS = r"^[\s]*(?:(?://+|/\*+|\*+/?|#+|--+|;+|%+|<!--+|\\\\+|>+|dnl\b|REM\b)[\s]*)*|[\s]*(?:\*+/|--+>)?[\s]*$"
+# Marks of comments before and behind the text of a line.
+_OPENING = r"^[\s]*(?:(?://+|/\*+|\*+/?|#+|--+|;+|%+|<!--+|\\\\+|>+|dnl\b|REM\b)[\s]*)*"
+_CLOSING = r"[\s]*(?:\*+/|--+>)[\s]*$"
 # Bounds of the training sample: background documents (by hash of the id, about as many), variants of a notice.
 BACKGROUND = 300
 VARIANTS = 24
@@ -149,9 +150,19 @@ def paragraphs(docs: DataFrame) -> DataFrame:
     """
     # Each line is led by its number between two control characters, which texts do not keep.
     plain = F.translate("text", "\x01\x02\r", "")
+
+    def bare(line: Column) -> Column:
+        # Most lines begin with a letter and end without a mark; they need no pattern.
+        opened = F.ltrim(line)
+        marked = ~F.substring(opened, 1, 1).rlike("[A-Za-z0-9]") | opened.startswith("dnl") | opened.startswith("REM")
+        text = F.when(marked, F.regexp_replace(line, _OPENING, "")).otherwise(opened)
+        return F.when(text.contains("*/") | text.contains("-->"), F.regexp_replace(text, _CLOSING, "")).otherwise(F.rtrim(text))
+
     lines = F.transform(
         F.split(plain, "\n"),
-        lambda line, i: F.when(line.rlike("[A-Za-z0-9]"), F.concat(F.lit("\x01"), i.cast("string"), F.lit("\x02"), F.regexp_replace(line, _MARKS, ""))).otherwise(""),
+        lambda line, i: F.when(
+            line.rlike("[A-Za-z0-9]"), F.concat(F.lit("\x01"), i.cast("string"), F.lit("\x02"), bare(line))
+        ).otherwise(""),
     )
     ended = F.regexp_replace(F.array_join(lines, "\n"), r"([.!?:;][\"')\]]*)\n", "$1\n\n")
     found = docs.select("doc_id", F.explode(F.split(ended, "\n{2,}")).alias("raw")).filter(F.col("raw").contains("\x01"))
