@@ -3,12 +3,23 @@
 from collections.abc import Callable
 
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratingloom import fixtures as fx
 from ratingloom.functions import clamp_rating, star_string
-from ratingloom.operators import activity, als, cleaning, indexing, metrics, profiling, sampling, scoring, splitting
+from ratingloom.operators import (
+    activity,
+    als,
+    cleaning,
+    indexing,
+    metrics,
+    profiling,
+    sampling,
+    scoring,
+    sketches,
+    splitting,
+)
 from ratingloom.plans.evaluate import evaluate
 from ratingloom.plans.explore import explore
 from ratingloom.plans.prepare import PrepareConfig, prepare
@@ -102,6 +113,14 @@ def split_roundtrip_counts(spark, folder):
     return result
 
 
+def clustered_roundtrip(spark, folder):
+    """Processed ratings stored side by side per user, read again by split."""
+    path = scratch_path(spark, "clustered")
+    files.write_clustered(fx.indexed(spark, folder), path, 6)
+    parts = [df.withColumn("split", F.lit(name)) for name, df in files.read_splits(spark, path).items()]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
 def stats_json_roundtrip(spark, folder):
     path = scratch_path(spark, "stats-json")
     stats = profiling.dataset_statistics(fx.processed(spark, folder))
@@ -213,6 +232,31 @@ def split_shares(spark, folder):
 # Profile
 
 
+def profile_sketches(spark, folder):
+    """Whether sketches of four loads, merged, are within their stated error, and equal to those of one load."""
+    rows = fx.ratings(spark, folder)
+    loads = durable(sketches.load_sketches(rows, F.pmod("timestamp", F.lit(4))), "load-sketches")
+    whole = durable(sketches.load_sketches(rows, F.lit(0)), "load-sketches")
+    parts, single = (durable(sketches.estimates(sketches.merged(t)), "estimates") for t in (loads, whole))
+    exact = durable(profiling.rating_totals(rows), "totals")
+    r, median = F.col("rating").cast("double"), parts.select("median").scalar()
+    ranks = durable(rows.agg(F.avg((r < median).cast("int")).alias("below"), F.avg((r <= median).cast("int")).alias("up_to")), "ranks")
+
+    def near(name: str) -> Column:
+        truth = exact.select(name).scalar()
+        return F.abs(F.col(name) - truth) <= 4 * sketches.DISTINCT_ERROR * truth
+
+    below, up_to = (ranks.select(name).scalar() for name in ("below", "up_to"))
+    same = [F.col(name) == single.select(name).scalar() for name in ("num_users", "num_items")]
+    return parts.select(
+        F.col("n").alias("n_ratings"),
+        near("num_users").alias("users_near"),
+        near("num_items").alias("items_near"),
+        ((below <= 0.5 + sketches.RANK_ERROR) & (up_to >= 0.5 - sketches.RANK_ERROR)).alias("median_near"),
+        (same[0] & same[1]).alias("same_as_one_load"),
+    )
+
+
 def dataset_counts(spark, folder):
     return profiling.dataset_counts(fx.ratings(spark, folder), fx.movies(spark, folder), fx.tags(spark, folder))
 
@@ -343,7 +387,7 @@ def topn_exclude_seen(spark, folder):
 def topn_pruned(spark, folder):
     """The lists of ``topn_from_factors`` by slices in order of their norm, which later ones are skipped."""
     factors = fx.factors(spark, folder)
-    return _rounded(scoring.top_n_pruned(factors, factors, TOP_N, items_per_slice=100).recommendations)
+    return _rounded(scoring.top_n_pruned(factors, factors, TOP_N, items_per_slice=5000).recommendations)
 
 
 def topn_bad_vectors(spark, folder):
@@ -621,6 +665,7 @@ QUERIES: dict[str, Query] = {
         csv_movies_roundtrip,
         tags_count,
         split_roundtrip_counts,
+        clustered_roundtrip,
         stats_json_roundtrip,
         metrics_json_roundtrip,
         model_roundtrip,
@@ -641,6 +686,7 @@ QUERIES: dict[str, Query] = {
         split_by_hash,
         filter_inactive_twice,
         split_shares,
+        profile_sketches,
         dataset_counts,
         rating_distribution,
         rating_stats,

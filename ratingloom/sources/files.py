@@ -91,6 +91,20 @@ def write_processed(with_split: DataFrame, folder: str) -> None:
     with_split.write.mode("overwrite").partitionBy("split").parquet(f"{folder}/ratings_processed")
 
 
+def write_clustered(stored: DataFrame, folder: str, files: int) -> None:
+    """``ratings_processed`` with the ratings of a user side by side, in about ``files`` files.
+
+    ``stored`` is a written table of indexed ratings with ``split``, as range
+    partitioning looks at it twice. Rows are in ranges of split and user and
+    sorted by user, item and time, so that each file and row group holds few users and a
+    filter by user reads little. A user with very many ratings is spread over
+    several files by item.
+    """
+    order = ["split", "user_idx", "item_idx", "timestamp"]
+    ranged = stored.repartitionByRange(files, *order).sortWithinPartitions(*order)
+    ranged.write.mode("overwrite").partitionBy("split").parquet(f"{folder}/ratings_processed")
+
+
 def _processed_with_split(spark: SparkSession, folder: str) -> DataFrame:
     layout = T.StructType(schemas.INDEXED.fields + [T.StructField("split", T.StringType())])
     return spark.read.schema(layout).parquet(f"{folder}/ratings_processed")

@@ -81,10 +81,39 @@ def test_save_and_load(spark, model, tmp_path):
     assert history == [{"params": {"rank": 4}}]
     assert loaded.userFactors.exceptAll(model.userFactors).count() == 0
     assert loaded.itemFactors.exceptAll(model.itemFactors).count() == 0
-    model.write().save(str(tmp_path / "bare"))
+    model.write().overwrite().save(str(tmp_path / "bare"))
     assert als.load_model(spark, str(tmp_path / "bare"))[1] == []
 
 
+def test_half_written_version_is_never_loaded(spark, model, tmp_path, monkeypatch):
+    path = str(tmp_path / "store")
+    first = als.save_model(model, path, [{"run": 1}])
+    write, calls = als.write_json_record, []
+
+    for stop_at in (1, 2):
+        def failing(record, target):
+            calls.append(target)
+            if len(calls) == stop_at:
+                raise OSError("lost")
+            write(record, target)
+
+        calls.clear()
+        monkeypatch.setattr(als, "write_json_record", failing)
+        with pytest.raises(OSError):
+            als.save_model(model, path, [{"run": 2}])
+        monkeypatch.setattr(als, "write_json_record", write)
+        assert als.load_model(spark, path)[1] == [{"run": 1}]
+    # A manifest folder whose file has not been written yet.
+    (tmp_path / "store" / "manifests" / "99999999999999999999-x").mkdir()
+    assert als.load_model(spark, path)[1] == [{"run": 1}]
+    last = [als.save_model(model, path, [{"run": n}]) for n in range(3, 7)]
+    assert als.load_model(spark, path)[1] == [{"run": 6}]
+    assert [v for v, _ in als.model_versions(spark, path)] == last[-als.KEEP_VERSIONS :]
+    assert als.load_model(spark, path, last[-2])[1] == [{"run": 5}]
+    with pytest.raises(ValueError):
+        als.load_model(spark, path, first)
+
+
 def test_factor_info(spark, model):
     row = als.factor_info(model.userFactors, model.itemFactors, model.rank).first()
     assert (row.num_user_factors, row.num_item_factors, row["rank"]) == (50, 40, 4)

@@ -188,3 +188,19 @@ def test_statistics_of_counts_equal_those_of_ratings(spark):
     assert profiling.statistics_of_counts(counts, whole.avg_rating, whole.std_rating).first() == expected
     empty = profiling.statistics_of_counts(counts.limit(0), None, None).first()
     assert empty == profiling.dataset_statistics(ratings.limit(0)).first()
+
+
+def test_clustered_layout_bounds_files_and_rows_read(spark, tmp_path):
+    rows = [(u, i, 1.0, u * 7 + i, u, i, "train" if i % 5 else "test") for u in range(200) for i in range(50)]
+    layout = "userId int, movieId int, rating float, timestamp long, user_idx int, item_idx int, split string"
+    stored = session.durable(spark.createDataFrame(rows, layout).repartition(16), "indexed")
+    files.write_clustered(stored, str(tmp_path), 10)
+    parts = list((tmp_path / "ratings_processed").rglob("*.parquet"))
+    assert 10 <= len(parts) <= 12
+    train = files.read_splits(spark, str(tmp_path))["train"]
+    assert train.count() == 200 * 40
+    # The statistics of all but one or two files exclude any one user.
+    import pyarrow.parquet as pq
+
+    ranges = [pq.ParquetFile(p).metadata.row_group(0).column(4).statistics for p in parts if "split=train" in str(p)]
+    assert all(sum(s.min <= u <= s.max for s in ranges) <= 2 for u in range(200))

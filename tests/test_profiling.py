@@ -3,8 +3,9 @@ import statistics
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from ratingloom.operators import profiling
+from ratingloom.operators import profiling, sketches
 
 LAYOUT = "userId int, movieId int, rating float"
 
@@ -49,3 +50,17 @@ def test_median_is_the_lower_of_two(spark):
 def test_ties_in_the_top_lists_go_by_id(spark):
     per_user = profiling.user_activity(table(spark, [(u, i, 3.0) for u in (3, 1, 2) for i in (1, 2)] + [(9, 1, 1.0)]))
     assert [r.userId for r in profiling.top_active_users(per_user, 3).collect()] == [1, 2, 3]
+
+
+def test_sketches_of_loads_merge_to_those_of_all(spark):
+    rows = [(u % 700, (u * 31) % 90, float(u % 50) / 10) for u in range(4000)] + [(None, None, None)]
+    ratings = table(spark, rows).withColumn("load", F.col("movieId") % 3)
+    loads = sketches.load_sketches(ratings, F.col("load"))
+    assert loads.count() == 4
+    got = sketches.estimates(sketches.merged(loads)).first()
+    whole = sketches.estimates(sketches.merged(sketches.load_sketches(ratings, F.lit(0)))).first()
+    assert (got.n, got.num_users, got.num_items) == (4001, whole.num_users, whole.num_items)
+    assert abs(got.num_users - 700) <= 30 and abs(got.num_items - 90) <= 4
+    assert abs(got.median - 2.5) <= 0.2 and abs(got.q1 - 1.2) <= 0.2 and abs(got.q3 - 3.7) <= 0.2
+    again = sketches.merged(sketches.merged(loads.filter("load = 0")).unionByName(sketches.merged(loads.filter("load is null or load > 0"))))
+    assert sketches.estimates(again).first().num_users == got.num_users
