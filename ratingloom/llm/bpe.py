@@ -11,6 +11,8 @@ A merge creates a symbol that only later ranks use, so ascending order over the
 block gives each word the same result as merging it alone.
 """
 
+import ctypes
+import gc
 import heapq
 import json
 from collections.abc import Iterator
@@ -220,6 +222,16 @@ def load_vocabulary(path: str) -> Vocabulary:
         return Vocabulary(file.read())
 
 
+def release_memory() -> None:
+    """Give back what this process no longer holds: a worker lives on for the tasks of later stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    # The C library keeps freed memory unless asked; not every one can be asked.
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def blocks(
     batches: Iterator[pa.RecordBatch], limit: int = BLOCK, column: int = -1
 ) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
@@ -233,8 +245,7 @@ def blocks(
                 part = batch.slice(start, i + 1 - start)
                 yield part, [t or "" for t in part.column(column).to_pylist()]
                 start, held = i + 1, 0
-    # A worker lives on; what it needed here goes back.
-    pa.default_memory_pool().release_unused()
+    release_memory()
 
 
 def transcode(docs: DataFrame, vocabulary_path: str) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratingloom.llm.bpe import blocks
+from ratingloom.llm.bpe import blocks, release_memory
 
 KINDS = ("assign", "access", "hex")
 # The forms of the secrets and their least lengths.
@@ -368,5 +368,6 @@ def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
                     done = max(done, end)
                 texts.append("".join([*out, text[done:]]) if spans else text)
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+        release_memory()
 
     return docs.mapInArrow(run, docs.schema)
