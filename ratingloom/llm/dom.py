@@ -43,9 +43,6 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 # Deeper elements are flattened into the one at this depth, as browsers do at some depth.
 DEPTH = 100
-# Siblings of one element that take part in an alignment: the first and the last of them, in the template and in a page.
-SEED_SIBLINGS = 256
-PAGE_SIBLINGS = 8192
 # An element with so many links that make up most of its text is a menu.
 MENU_LINKS = 3
 MENU_SHARE = 0.8
@@ -282,7 +279,7 @@ def layout(node: Node) -> str:
 
 def packed(node: Node) -> list:
     """The tree as nested lists: mark, hash of a leaf's text, kids. Kids of what is left out are not kept."""
-    kids = [] if node.out else _ends(node.kids, SEED_SIBLINGS)
+    kids = [] if node.out else node.kids
     return [node.mark, node.hash, [packed(kid) for kid in kids]]
 
 
@@ -295,11 +292,6 @@ def size(node: Node) -> int:
     return 1 + sum(size(kid) for kid in node.kids)
 
 
-def _ends(kids: list[Node], most: int) -> list[Node]:
-    """All kids, or the first and the last of very many: what lies between is a varying region."""
-    return kids if len(kids) <= most else kids[: most // 2] + kids[-(most // 2) :]
-
-
 def align(template: Node, page: Node) -> dict[int, Node]:
     """Simple tree matching: the nodes of ``page`` that meet a node of ``template``, by its place in preorder.
 
@@ -308,6 +300,7 @@ def align(template: Node, page: Node) -> dict[int, Node]:
     text meets its like.
     """
     memo: dict[tuple[int, int], tuple[int, list[tuple[Node, Node]]]] = {}
+    signs: dict[int, bytes] = {}
 
     def match(a: Node, b: Node) -> int:
         if a.mark != b.mark:
@@ -318,15 +311,22 @@ def align(template: Node, page: Node) -> dict[int, Node]:
             return 1
         key = (id(a), id(b))
         if key not in memo:
-            left, right = _ends(a.kids, SEED_SIBLINGS), _ends(b.kids, PAGE_SIBLINGS)
-            weights = np.zeros((len(left), len(right)), dtype=np.int64)
-            marks: dict[str, list[int]] = {}
-            for j, y in enumerate(right):
-                marks.setdefault(y.mark, []).append(j)
-            for i, x in enumerate(left):
-                for j in marks.get(x.mark, ()):
-                    weights[i, j] = match(x, right[j])
-            memo[key] = _best_order(weights, left, right)
+            left, right = a.kids, b.kids
+            if _sign(a, signs) == _sign(b, signs):
+                # Equal trees: only matching every node with its twin reaches the greatest sum.
+                memo[key] = sum(match(x, y) for x, y in zip(left, right)), list(zip(left, right))
+            else:
+                marks: dict[str, list[int]] = {}
+                for j, y in enumerate(right):
+                    marks.setdefault(y.mark, []).append(j)
+
+                def weights(x: Node) -> np.ndarray:
+                    row = np.zeros(len(right), dtype=np.int64)
+                    for j in marks.get(x.mark, ()):
+                        row[j] = match(x, right[j])
+                    return row
+
+                memo[key] = _best_order(weights, left, right)
         return 1 + memo[key][0]
 
     found: dict[int, Node] = {}
@@ -348,25 +348,55 @@ def align(template: Node, page: Node) -> dict[int, Node]:
     return found
 
 
-def _best_order(weights: np.ndarray, left: list[Node], right: list[Node]) -> tuple[int, list[tuple[Node, Node]]]:
-    """Greatest sum of weights of pairs that keep both orders, and the pairs."""
+def _best_order(weights, left: list[Node], right: list[Node]) -> tuple[int, list[tuple[Node, Node]]]:
+    """Greatest sum of weights of pairs that keep both orders, and the pairs.
+
+    ``weights(x)`` gives the row of ``x`` against all of ``right``. Rows are summed one at a time;
+    a byte per pair keeps the way back, so memory grows by one byte, not sixteen, a pair.
+    """
     if len(left) == 1:
-        j = int(weights[0].argmax())
-        return int(weights[0, j]), [(left[0], right[j])] if weights[0, j] else []
-    best = np.zeros((len(left) + 1, len(right) + 1), dtype=np.int64)
-    for i, row in enumerate(weights, 1):
-        taken = np.where(row > 0, best[i - 1, :-1] + row, 0)
-        best[i, 1:] = np.maximum.accumulate(np.maximum(best[i - 1, 1:], taken))
+        row = weights(left[0])
+        j = int(row.argmax())
+        return int(row[j]), [(left[0], right[j])] if row[j] else []
+    # Way back from a cell: 0 its row is skipped, 1 its column is skipped, 2 its pair is taken.
+    back = np.zeros((len(left) + 1, len(right) + 1), dtype=np.uint8)
+    last = np.zeros(len(right) + 1, dtype=np.int64)
+    for i, x in enumerate(left, 1):
+        row = weights(x)
+        best = np.zeros_like(last)
+        taken = np.where(row > 0, last[:-1] + row, 0)
+        best[1:] = np.maximum.accumulate(np.maximum(last[1:], taken))
+        back[i, 1:] = np.where(best[1:] == last[1:], 0, np.where(best[1:] == best[:-1], 1, 2))
+        last = best
     pairs, i, j = [], len(left), len(right)
     while i and j:
-        if best[i, j] == best[i - 1, j]:
+        if back[i, j] == 0:
             i -= 1
-        elif best[i, j] == best[i, j - 1]:
+        elif back[i, j] == 1:
             j -= 1
         else:
             i, j = i - 1, j - 1
             pairs.append((left[i], right[j]))
-    return int(best[-1, -1]), pairs
+    return int(last[-1]), pairs
+
+
+def _sign(node: Node, signs: dict[int, bytes]) -> bytes:
+    """Digest of all that an alignment sees of a tree: marks, texts of leaves, kids of what is not left out."""
+    stack, order = [node], []
+    while stack:
+        top = stack.pop()
+        if id(top) in signs:
+            continue
+        order.append(top)
+        if not top.out:
+            stack.extend(top.kids)
+    for n in reversed(order):
+        digest = xxhash.xxh3_128(n.mark.encode("utf-8", "replace"))
+        digest.update(n.hash.to_bytes(8, "little", signed=True) if n.tag == "#" else b"\0" * 8)
+        for kid in [] if n.out else n.kids:
+            digest.update(signs[id(kid)])
+        signs[id(n)] = digest.digest()
+    return signs[id(node)]
 
 
 def text_digest(root: Node) -> int:

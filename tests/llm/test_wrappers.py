@@ -141,3 +141,16 @@ def test_driver_pages_against_a_plain_reading(spark, folder):
         inner = re.sub("<(br|b)>", " ", re.search("<article>(.*)</article>", raw[r.page_id], re.S)[1])
         blocks = (" ".join(html.unescape(re.sub("<[^>]*>", "", part)).split()) for part in re.split("</?(?:p|h1)>", inner))
         assert r.text == "\n".join(b for b in blocks if b) and r.n_chars == len(r.text)
+
+
+def test_template_block_amid_very_many_siblings_is_aligned(spark):
+    def long_site(i):
+        parts = [f"<p>Line {k} of story {i}.</p>" for k in range(300)]
+        parts.insert(150, "<div class=mid>Subscribe today</div>")
+        return site(i, body="".join(parts))
+
+    rows = [(i, "https://long.example/", long_site(i)) for i in range(30)]
+    got = extracted(spark, rows)
+    for i in range(30):
+        lines = [f"Title {i}", *(f"Line {k} of story {i}." for k in range(300))]
+        assert got[i].text == "\n".join(lines) and got[i].n_template == 3
