@@ -200,3 +200,15 @@ def test_crowded_cells_get_blocks_without_gaps(spark, monkeypatch):
     plain = scoring.top_n_from_factors(factors, factors, 5, seen)
     assert lists(top) == lists(plain)
     assert blocks[0] < blocks[1] + 2 * (20 + 3 * 50 * 2 / 20 + 3)
+
+
+def test_rows_of_a_block_are_bounded_by_n(spark, matrices, monkeypatch):
+    # A cell holds no more users than BLOCK_ROWS // n, so that a block returns at most BLOCK_ROWS rows.
+    users, items = matrices
+    monkeypatch.setattr(scoring, "BLOCK_ROWS", 200)
+    grids = []
+    checked = scoring._checked
+    monkeypatch.setattr(scoring, "_checked", lambda *a, **k: grids.append(checked(*a, **k)[2]) or checked(*a, **k))
+    top = scoring.top_n_from_factors(factors(spark, users), factors(spark, items), 10)
+    assert grids[0].cells >= len(users) * 10 // 200
+    assert ranks(top) == brute_force(users, items, 10)
