@@ -12,8 +12,13 @@ from ratingloom.sources import files
 
 
 def explore(ratings: DataFrame, movies: DataFrame, tags: DataFrame) -> dict[str, DataFrame]:
-    """All tables of the report; ``ratings`` is scanned once and its groups stored."""
-    groups = durable(p.rating_groups(ratings), "rating-groups", partition_by="grp")
+    """All tables of the report; ``ratings`` is scanned once and its groups stored.
+
+    The groups are aggregated and sorted by ``grp`` for the write in tasks of a
+    bounded share of ``ratings``, whatever the session's shuffle width.
+    """
+    with wide_shuffles(ratings):
+        groups = durable(p.rating_groups(ratings), "rating-groups", partition_by="grp")
     users = groups.filter(p.in_set(p.USER)).select("userId", "num_ratings", "avg_rating")
     items = groups.filter(p.in_set(p.ITEM)).select("movieId", "num_ratings", "avg_rating")
     values = groups.filter(p.in_set(p.VALUE))

@@ -204,3 +204,18 @@ def test_clustered_layout_bounds_files_and_rows_read(spark, tmp_path):
 
     ranges = [pq.ParquetFile(p).metadata.row_group(0).column(4).statistics for p in parts if "split=train" in str(p)]
     assert all(sum(s.min <= u <= s.max for s in ranges) <= 2 for u in range(200))
+
+
+def test_explore_stores_its_groups_at_the_width_of_the_input(spark, raw, monkeypatch):
+    widths = []
+
+    def durable(df, name, partition_by=None):
+        widths.append(int(spark.conf.get("spark.sql.shuffle.partitions")))
+        return session.durable(df, name, partition_by)
+
+    monkeypatch.setattr(explore, "durable", durable)
+    monkeypatch.setattr(session, "_BYTES_PER_TASK", 1_000)
+    ratings = files.read_ratings_csv(spark, f"{raw}/ratings.csv")
+    report = explore.explore(ratings, files.read_movies_csv(spark, f"{raw}/movies.csv"), files.read_tags_csv(spark, f"{raw}/tags.csv"))
+    assert widths and widths[0] > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert report["totals"].first().total_ratings == 1202
