@@ -106,15 +106,13 @@ _COUNT = pa.schema([("host", pa.string()), ("place", pa.int32()), ("text_hash",
 _COUNT_DDL = "host string, place int, text_hash long, page long"
 
 
-def induce(pages: DataFrame) -> DataFrame:
-    """Wrapper of every host of ``pages(url, html)``: ``host, seed, constants``.
+def _named(pages: DataFrame) -> DataFrame:
+    return pages.select(host(F.col("url")).alias("host"), "html").filter("host <> '' AND html IS NOT NULL")
 
-    ``seed`` is the packed tree of the host's most common layout (ties: the least
-    digest), ``constants`` the places in it whose text is template, with the
-    text's hash. Pages without host, and null pages, take no part.
-    """
-    named = pages.select(host(F.col("url")).alias("host"), "html").filter("host <> '' AND html IS NOT NULL")
-    seeds = durable(
+
+def _seeds_of(named: DataFrame) -> DataFrame:
+    """``host, seed``: the packed tree of the host's most common layout (ties: the least digest)."""
+    return durable(
         named.mapInArrow(_seeds, _SEED_DDL)
         .groupBy("host", "layout")
         .agg(F.sum("n").alias("n"), F.min(F.struct("nodes", "seed")).alias("least"))
@@ -122,7 +120,10 @@ def induce(pages: DataFrame) -> DataFrame:
         .agg(F.min(F.struct(-F.col("n"), "layout", "least"))["least"]["seed"].alias("seed")),
         "seeds",
     )
-    seen = named.join(seeds, "host").select("host", "html", "seed").mapInArrow(_counts, _COUNT_DDL).distinct()
+
+
+def _wrappers(seeds: DataFrame, seen: DataFrame) -> DataFrame:
+    """Wrappers of ``seeds`` by the distinct ``seen (host, place, text_hash, page)``."""
     per_text = seen.groupBy("host", "place", "text_hash").agg(F.count("*").alias("n"))
     per_place = per_text.groupBy("host", "place").agg(F.max(F.struct("n", "text_hash")).alias("most"))
     # Place -1 counts the host's different pages.
@@ -138,6 +139,19 @@ def induce(pages: DataFrame) -> DataFrame:
     return durable(seeds.join(wrappers, "host"), "wrappers")
 
 
+def induce(pages: DataFrame) -> DataFrame:
+    """Wrapper of every host of ``pages(url, html)``: ``host, seed, constants``.
+
+    ``seed`` is the packed tree of the host's most common layout (ties: the least
+    digest), ``constants`` the places in it whose text is template, with the
+    text's hash. Pages without host, and null pages, take no part.
+    """
+    named = _named(pages)
+    seeds = _seeds_of(named)
+    seen = named.join(seeds, "host").select("host", "html", "seed").mapInArrow(_counts, _COUNT_DDL).distinct()
+    return _wrappers(seeds, seen)
+
+
 def _lower_end(share: Column, n: Column) -> Column:
     """Lower end of Wilson's interval for a share among ``n``."""
     middle = share + _Z2 / (2 * n)
@@ -184,11 +198,75 @@ def extract(pages: DataFrame, wrappers: DataFrame | None = None) -> DataFrame:
     without host, or of a host without proven template, lose no block to a
     wrapper; unclosed and misplaced tags are mended; an empty table gives no row.
     """
-    if wrappers is None:
-        wrappers = induce(pages)
     layout = pages.select("page_id", "url").schema
-    joined = pages.select("page_id", "url", "html", host(F.col("url")).alias("host")).join(wrappers, "host", "left")
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in layout)
+    if wrappers is None:
+        return _extract_once(pages, ddl)
+    joined = pages.select("page_id", "url", "html", host(F.col("url")).alias("host")).join(wrappers, "host", "left")
     return joined.select("page_id", "url", "html", "seed", "constants").mapInArrow(
         _extract, f"{ddl}, text string, n_chars long, n_template long"
     )
+
+
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each page parsed once: its digest and aligned leaves for the wrapper, its content leaves with their places."""
+    for batch in batches:
+        digests, seen, content = [], [], []
+        for html, seed in zip(batch.column("html"), batch.column("seed")):
+            page = dom.parse(html.as_py())
+            places: dict[int, int] = {}
+            if seed.is_valid and html.is_valid:
+                # As _counts: copies of a page are one page.
+                digests.append(dom.text_digest(page))
+                found = dom.align(_tree(seed.as_py()), page)
+                seen.append([(place, node.hash) for place, node in found.items() if node.tag == "#"])
+                places = {id(node): place for place, node in found.items()}
+            else:
+                digests.append(None)
+                seen.append([])
+            content.append([(places.get(id(leaf)), leaf.hash, leaf.text) for leaf in dom.content_leaves(page)])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("page_id"), batch.column("url"), batch.column("host"), pa.array(digests, pa.int64()),
+             pa.array(seen, _PLACED), pa.array(content, _CONTENT)],
+            names=["page_id", "url", "host", "page", "seen", "content"],
+        )
+
+
+_PLACED = pa.list_(pa.struct([("place", pa.int32()), ("text_hash", pa.int64())]))
+_CONTENT = pa.list_(pa.struct([("place", pa.int32()), ("text_hash", pa.int64()), ("text", pa.string())]))
+_PARSED_DDL = (
+    "host string, page long, seen array<struct<place int, text_hash long>>, "
+    "content array<struct<place int, text_hash long, text string>>"
+)
+
+
+def _extract_once(pages: DataFrame, ddl: str) -> DataFrame:
+    """``extract`` with the wrappers of ``pages`` themselves; the pages are parsed for seeds, then once more."""
+    rows = pages.select("page_id", "url", "html", host(F.col("url")).alias("host"))
+    seeds = _seeds_of(_named(pages))
+    parsed = durable(
+        rows.join(seeds, "host", "left")
+        .select("page_id", "url", "html", "host", "seed")
+        .mapInArrow(_parsed, f"{ddl}, {_PARSED_DDL}"),
+        "parsed-pages",
+    )
+    counted = parsed.filter(F.col("page").isNotNull())
+    seen = counted.select("host", F.lit(-1).alias("place"), F.lit(0).cast("long").alias("text_hash"), "page").unionByName(
+        counted.select("host", F.inline("seen"), "page")
+    ).distinct()
+    constants = _wrappers(seeds, seen).select("host", F.map_from_entries("constants").alias("constants"))
+    joined = parsed.join(constants, "host", "left")
+
+    def template(x: Column) -> Column:
+        at = F.try_element_at(F.col("constants"), F.coalesce(x["place"], F.lit(-2)))
+        return F.coalesce(at == x["text_hash"], F.lit(False))
+
+    kept = F.filter("content", lambda x: ~template(x))
+    text = F.array_join(F.transform(kept, lambda x: x["text"]), "\n")
+    return joined.select(
+        "page_id",
+        "url",
+        text.alias("text"),
+        F.char_length(text).cast("long").alias("n_chars"),
+        (F.size("content") - F.size(kept)).cast("long").alias("n_template"),
+    )

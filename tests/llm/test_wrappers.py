@@ -154,3 +154,11 @@ def test_template_block_amid_very_many_siblings_is_aligned(spark):
     for i in range(30):
         lines = [f"Title {i}", *(f"Line {k} of story {i}." for k in range(300))]
         assert got[i].text == "\n".join(lines) and got[i].n_template == 3
+
+
+def test_pages_are_not_parsed_a_third_time_for_their_text(spark):
+    rows = [(i, f"https://a.example/{i}", site(i)) for i in range(30)]
+    frame = wrappers.extract(table(spark, rows))
+    # Seeds and alignment parse each page; the text comes from what the alignment kept.
+    assert "MapInArrow" not in frame._jdf.queryExecution().executedPlan().toString()
+    assert frame.count() == 30
