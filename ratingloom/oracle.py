@@ -108,25 +108,29 @@ def _sampled(column: str, limit: int) -> str:
 
 _TENTH, _QUARTER, _HALF = 429496729, 1073741824, 2147483648
 
-_SUITE = f"""
+def _suite(ranking: str | None = None, catalog: str | None = None) -> str:
+    """The suite over all users, or over those of the given conditions."""
+    ranked = f" where {ranking}" if ranking else ""
+    chosen = f" and {catalog}" if catalog else ""
+    return f"""
     select 'rmse' as metric, split as segment, cast(null as int) as k,
            round(sqrt(avg((prediction - rating) * (prediction - rating))), 6) as value
     from predictions group by split
     union all
     select 'mae', split, null, round(avg(abs(prediction - rating)), 6) from predictions group by split
     union all
-    select 'precision', 'test', k, round(avg(p), 6) from user_metrics where {_sampled('user_idx', _HALF)} group by k
+    select 'precision', 'test', k, round(avg(p), 6) from user_metrics{ranked} group by k
     union all
-    select 'recall', 'test', k, round(avg(r), 6) from user_metrics where {_sampled('user_idx', _HALF)} group by k
+    select 'recall', 'test', k, round(avg(r), 6) from user_metrics{ranked} group by k
     union all
     select 'coverage', 'train', 100,
            round((select count(distinct item_idx) from ranked
-                  where rank <= 100 and user_idx in (select user_idx from train) and {_sampled('user_idx', _QUARTER)})
+                  where rank <= 100 and user_idx in (select user_idx from train){chosen})
                  / (select count(*) from popularity), 6)
     union all
     select 'popularity_bias', 'test', 20,
            round((select avg(popularity) from ranked r join popularity p on r.item_idx = p.item_idx
-                  where rank <= 20 and user_idx in (select user_idx from test) and {_sampled('user_idx', _QUARTER)})
+                  where rank <= 20 and user_idx in (select user_idx from test){chosen})
                  / (select avg(popularity) from popularity), 6)
     union all
     select 'rmse', segment, null, round(sqrt(avg((prediction - rating) * (prediction - rating))), 6)
@@ -135,6 +139,9 @@ _SUITE = f"""
           from train group by user_idx) s on p.user_idx = s.user_idx
     where p.split = 'test' and s.segment is not null group by s.segment"""
 
+
+_SUITE, _SUITE_SAMPLED = _suite(), _suite(_sampled("user_idx", _HALF), _sampled("user_idx", _QUARTER))
+
 _COUNTS_PER_USER = "select userId, count(rating) as n, avg(cast(rating as double)) as a from {0} group by userId"
 _COUNTS_PER_ITEM = "select movieId, count(rating) as n, avg(cast(rating as double)) as a from {0} group by movieId"
 
@@ -254,7 +261,7 @@ _QUERIES = {
         union all select 'movies', count(*) from movies
         union all select split, count(*) from indexed group by split""",
     "stats_json_roundtrip": _STATISTICS,
-    "metrics_json_roundtrip": _SUITE,
+    "metrics_json_roundtrip": _SUITE_SAMPLED,
     "model_roundtrip": """
         select 'user' as side, count(distinct user_idx) as n, cast(0 as bigint) as differing from train
         union all select 'item', count(distinct item_idx), 0 from train""",
@@ -417,10 +424,10 @@ _QUERIES = {
         select round(c, 6) as cold_rmse, round(w, 6) as warm_rmse, round((c / w - 1) * 100, 6) as gap_pct
         from (select max(rmse) filter (segment = 'cold') as c, max(rmse) filter (segment = 'warm') as w from segment_rmse)""",
     "evaluation_suite": _SUITE,
-    "metric_bars_by_segment": f"select segment, value as rmse from ({_SUITE}) where metric = 'rmse'",
+    "metric_bars_by_segment": f"select segment, value as rmse from ({_SUITE_SAMPLED}) where metric = 'rmse'",
     "metric_bars_by_k": f"""
         select k, max(value) filter (metric = 'precision') as precision, max(value) filter (metric = 'recall') as recall
-        from ({_SUITE}) where metric in ('precision', 'recall') group by k""",
+        from ({_SUITE_SAMPLED}) where metric in ('precision', 'recall') group by k""",
     "factor_first_mean": "select round(avg(cast(features[1] as double)), 6) as first_factor_mean from factors",
     "als_factor_info": """
         select count(distinct user_idx) as num_user_factors, count(distinct item_idx) as num_item_factors,

@@ -4,9 +4,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ratingloom import catalog
 from ratingloom.operators import als, metrics
 from ratingloom.plans.evaluate import evaluate, users_to_score
 
+FOLDER = "/root/testdata/sf0.01"
+
 
 @pytest.fixture(scope="module")
 def splits(spark):
@@ -39,3 +42,15 @@ def test_users_to_score_are_all_or_those_of_a_share(splits):
     assert sorted((r.user_idx, r.depth) for r in everyone) == [(u, 100) for u in range(40)]
     some = {r.user_idx for r in users_to_score(splits, 0.5, 0.25).collect()}
     assert 0 < len(some) < 40
+
+
+def _values(df):
+    return {(r.metric, r.segment, r["k"]): r.value for r in df.collect()}
+
+
+def test_suite_query_covers_every_user(spark):
+    got = _values(catalog.evaluation_suite(spark, FOLDER))
+    for r in catalog.precision_recall_at_k(spark, FOLDER).collect():
+        assert (got["precision", "test", r["k"]], got["recall", "test", r["k"]]) == (r.precision, r.recall)
+    part = _values(catalog.metrics_json_roundtrip(spark, FOLDER))
+    assert part.keys() == got.keys() and part != got
