@@ -54,3 +54,8 @@ def test_suite_query_covers_every_user(spark):
         assert (got["precision", "test", r["k"]], got["recall", "test", r["k"]]) == (r.precision, r.recall)
     part = _values(catalog.metrics_json_roundtrip(spark, FOLDER))
     assert part.keys() == got.keys() and part != got
+
+
+def test_bars_by_k_cover_every_user(spark):
+    bars, plain = catalog.metric_bars_by_k(spark, FOLDER), catalog.precision_recall_at_k(spark, FOLDER)
+    assert sorted(map(tuple, bars.collect())) == sorted(map(tuple, plain.collect()))
