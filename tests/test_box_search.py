@@ -72,3 +72,21 @@ def test_few_items_are_multiplied_at_low_rank():
     best = np.argsort(-(users @ items.T), axis=1)[:, :10]
     found = set(zip(user.tolist(), item.tolist()))
     assert all((u, i) in found for u in np.flatnonzero(~hard).tolist() for i in best[u].tolist())
+
+
+def test_shallow_lists_need_fewer_cells(spark):
+    from pyspark.sql import functions as F
+
+    users = spark.range(1000).select(F.col("id").cast("int"), F.array(F.lit(1.0).cast("float")).alias("features"))
+    deep = users.withColumn("depth", F.when(F.col("id") < 100, 100).otherwise(20))
+    grids, checked = [], scoring._checked
+    patch = pytest.MonkeyPatch()
+    patch.setattr(scoring, "BLOCK_ROWS", 2_000)
+    patch.setattr(scoring, "_checked", lambda *args: grids.append(checked(*args)[2]) or checked(*args))
+    try:
+        top = scoring.top_n_from_factors(deep, users, 100)
+        assert top.count() == 100 * 100 + 900 * 20
+    finally:
+        patch.undo()
+    # 28 rows a user on average, so 71 users a cell; at 100 rows there were 20.
+    assert grids[0].cells == 15
